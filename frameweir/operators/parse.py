@@ -36,6 +36,7 @@ def _reason() -> Column:
         .when(missing, "missing field")
         .when(depth(F.col("type")) != 0, "bad type")
         .when(~is_base64(F.col("data")), "bad base64")
+        .when((F.col("rows") < 0) | (F.col("cols") < 0), "bad length")
         .when(
             base64_bytes(F.col("data")) != byte_count(F.col("rows"), F.col("cols"), F.col("type")),
             "bad length",

@@ -14,6 +14,7 @@ SESSION_CONF = {
     "spark.sql.chunkBase64String.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
