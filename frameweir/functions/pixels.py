@@ -40,17 +40,27 @@ def cubic_taps(source: int, target: int) -> tuple[np.ndarray, np.ndarray]:
     return np.clip(places, 0, source - 1), np.rint(weights * 2**WEIGHT_BITS).astype(np.int32)
 
 
+def _weigh(block: np.ndarray, axis: int, target: int) -> np.ndarray:
+    """Weighted sums along one axis; the integers stay below 2**31."""
+    places, weights = cubic_taps(block.shape[axis], target)
+    along = [1] * block.ndim
+    along[axis] = target
+    total = 0
+    for k in range(4):
+        part = np.take(block, places[:, k], axis).astype(np.int32, copy=False)
+        part *= weights[:, k].reshape(along)
+        total = part if k == 0 else np.add(total, part, out=total)
+    return total
+
+
 def resize_block(block: np.ndarray, height: int, width: int) -> np.ndarray:
     """Cubic resize of frames of one geometry: (n, rows, cols, channels)."""
-    _, rows, cols, _ = block.shape
-    if (rows, cols) == (height, width):
+    if block.shape[1:3] == (height, width):
         return block
-    places, weights = cubic_taps(cols, width)
-    wide = sum(block[:, :, places[:, k], :] * weights[:, k][:, None] for k in range(4))
-    places, weights = cubic_taps(rows, height)
-    full = sum(wide[:, places[:, k], :, :] * weights[:, k][:, None, None] for k in range(4))
-    half = 1 << (2 * WEIGHT_BITS - 1)
-    return np.clip((full + half) >> (2 * WEIGHT_BITS), 0, 255).astype(np.uint8)
+    total = _weigh(_weigh(block, 2, width), 1, height)
+    total += 1 << (2 * WEIGHT_BITS - 1)
+    total >>= 2 * WEIGHT_BITS
+    return np.clip(total, 0, 255, out=total).astype(np.uint8)
 
 
 def _chunk(kind: bytes, body: bytes) -> bytes:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frameweir.session import materialize
+from frameweir.session import stored
 
 # Largest table that is sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -34,7 +34,7 @@ def lookup_join(
     shuffled, with the rows of a key spread over salts taken from the columns
     `spread`, so that one hot key does not end up in one task.
     """
-    small = materialize(small)
+    small = stored(small, "lookup")
     if table_bytes(small) <= limit:
         return big.join(F.broadcast(small), keys, "left")
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)))

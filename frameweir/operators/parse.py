@@ -63,27 +63,31 @@ def parse_messages(records: DataFrame) -> DataFrame:
     )
 
 
+def good_frames(parsed: DataFrame) -> DataFrame:
+    """The good frames of `parse_messages`, columns bound by name and type."""
+    typed = [F.col(field.name).cast(field.dataType).alias(field.name) for field in FRAME_SCHEMA]
+    return parsed.where(F.col("reason").isNull()).select(*_carried(parsed), *typed)
+
+
+def bad_messages(parsed: DataFrame) -> DataFrame:
+    """The other messages of `parse_messages`, each with its reason."""
+    rows = parsed.where(F.col("reason").isNotNull())
+    return rows.select(*_carried(parsed), "message", "reason")
+
+
 def frames(records: DataFrame, strict: bool = False) -> DataFrame:
-    """The good frames, columns bound by name and type.
+    """The good frames of topic records.
 
     Bad messages are left out (see `rejects`); with `strict` the first one
     fails the job instead.
     """
     parsed = parse_messages(records)
-    bad = F.col("reason").isNotNull()
     if strict:
         text = F.concat(F.lit("bad frame message: "), F.col("reason"))
-        parsed = parsed.where(F.when(bad, F.raise_error(text).cast("boolean")).otherwise(True))
-    else:
-        parsed = parsed.where(~bad)
-    typed = [F.col(field.name).cast(field.dataType).alias(field.name) for field in FRAME_SCHEMA]
-    return parsed.select(*_carried(records), *typed)
+        parsed = parsed.withColumn("reason", F.when(F.col("reason").isNotNull(), F.raise_error(text)))
+    return good_frames(parsed)
 
 
 def rejects(records: DataFrame) -> DataFrame:
-    """The messages that are no frames, each with a reason."""
-    return (
-        parse_messages(records)
-        .where(F.col("reason").isNotNull())
-        .select(*_carried(records), "message", "reason")
-    )
+    """The messages of topic records that are no frames, each with a reason."""
+    return bad_messages(parse_messages(records))

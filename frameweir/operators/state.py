@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from frameweir.operators.joins import lookup_join
 from frameweir.schema import ARRIVAL, FRAME_FIELDS, FRAME_ORDER, HISTORY_ORDER
-from frameweir.session import materialize
+from frameweir.session import stored
 
 _GROUP = ["cameraId", "batch_id"]
 
@@ -32,21 +32,25 @@ def last_per_batch(frames: DataFrame, fields: list[str]) -> DataFrame:
     )
 
 
-def _with_state(last: DataFrame) -> DataFrame:
-    """Add what the state held before each batch, and the saved count."""
+def _state_before() -> tuple[Column, Column]:
+    """Over one row per camera and batch: whether the camera had a state before
+    the batch, and its time text."""
     history = Window.partitionBy("cameraId").orderBy("batch_id")
     had_state = F.lag("batch_id").over(history).isNotNull()
-    return (
-        last.withColumn("had_state", had_state)
-        .withColumn("prev_timestamp", F.lag("timestamp").over(history))
-        .withColumn("n_saved", F.col("n_frames") - F.when(F.col("had_state"), 0).otherwise(1))
-    )
+    return had_state.alias("had_state"), F.lag("timestamp").over(history).alias("prev_timestamp")
 
 
 def emit_per_batch(frames: DataFrame) -> DataFrame:
-    """The emitted row of each camera and batch, payload included."""
+    """The emitted row of each camera and batch, payload included.
+
+    The frames are read once, down to the emitted rows. The window over a
+    camera's history then sees narrow rows only, one per batch.
+    """
     fields = [name for name in FRAME_FIELDS if name != "cameraId"]
-    return _with_state(last_per_batch(frames, [*fields, *ARRIVAL]))
+    last = stored(last_per_batch(frames, [*fields, *ARRIVAL]), "emitted")
+    before = last.select(*_GROUP, *_state_before())
+    n_saved = F.col("n_frames") - F.when(F.col("had_state"), 0).otherwise(1)
+    return last.join(before, _GROUP).withColumn("n_saved", n_saved)
 
 
 def frames_per_batch(frames: DataFrame) -> DataFrame:
@@ -56,8 +60,9 @@ def frames_per_batch(frames: DataFrame) -> DataFrame:
 
 def previous_timestamp(frames: DataFrame) -> DataFrame:
     """Time text the state held before each batch of a camera."""
-    emitted = _with_state(last_per_batch(frames, FRAME_ORDER))
-    return emitted.select(*_GROUP, "had_state", "prev_timestamp")
+    # Arrival only breaks ties, which hold the same time text.
+    last = frames.groupBy(*_GROUP).agg(F.max("timestamp").alias("timestamp"))
+    return last.select(*_GROUP, *_state_before())
 
 
 def final_state(frames: DataFrame) -> DataFrame:
@@ -102,10 +107,11 @@ def frame_order(frames: DataFrame) -> DataFrame:
     keys = ["cameraId", *HISTORY_ORDER]
     # Fixed in the shared folder, so that the slice numbers stay the same for
     # both uses below.
-    sliced = materialize(
+    sliced = stored(
         frames.select(*keys)
         .repartitionByRange(slices, *keys)
-        .withColumn("slice", F.spark_partition_id())
+        .withColumn("slice", F.spark_partition_id()),
+        "slices",
     )
     part = ["cameraId", "batch_id", "slice"]
     inside = Window.partitionBy(*part).orderBy(*FRAME_ORDER)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameweir.functions.frames import encode_base64, frame_json
+from frameweir.session import spread
 
 TOPIC = "video-stream-event"
 
@@ -20,6 +21,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table whose rows are costly to handle, spread over all cores."""
+    return spread(table(spark, folder, name))
+
+
 def event_records(spark: SparkSession, folder: str) -> DataFrame:
     """Topic records, one per event, tagged with the batch they arrive in.
 
@@ -48,7 +54,7 @@ def event_records(spark: SparkSession, folder: str) -> DataFrame:
     )
     lap = F.floor(F.col("event_id") / PERIOD)
     return (
-        table(spark, folder, "events")
+        scan(spark, folder, "events")
         .withColumn("offset", F.col("event_id") * STRIDE % PERIOD + lap * PERIOD)
         .select(
             F.when(~every(89), camera).cast("binary").alias("key"),
@@ -66,7 +72,7 @@ def event_records(spark: SparkSession, folder: str) -> DataFrame:
 def document_frames(spark: SparkSession, folder: str) -> DataFrame:
     """Each document's bytes as a gray frame of one row."""
     data = F.encode(F.col("text"), "UTF-8")
-    return table(spark, folder, "documents").select(
+    return scan(spark, folder, "documents").select(
         F.concat(F.lit("doc-"), "source").alias("cameraId"),
         F.col("doc_id").alias("frame_id"),
         F.lit(1).alias("rows"),
@@ -85,7 +91,7 @@ def _pixel(place):
 def embedding_frames(spark: SparkSession, folder: str) -> DataFrame:
     """Each embedding of 64 numbers as a gray frame of 8 x 8 pixels."""
     values = F.transform("embedding", lambda v: F.lpad(F.hex(_pixel(v)), 2, "0"))
-    return table(spark, folder, "embeddings").select(
+    return scan(spark, folder, "embeddings").select(
         F.concat(F.lit("cam-"), "label").alias("cameraId"),
         F.col("vec_id").alias("frame_id"),
         F.lit(8).alias("rows"),

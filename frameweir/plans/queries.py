@@ -28,7 +28,8 @@ from frameweir.plans.inputs import (
     event_records,
     table,
 )
-from frameweir.session import new_folder
+from frameweir.schema import HISTORY_ORDER
+from frameweir.session import new_folder, stored
 from frameweir.sinks.images import export_images
 from frameweir.sinks.topics import keyed_records, unkeyed_records
 from frameweir.sources.registry import camera_registry
@@ -266,8 +267,9 @@ def previous_timestamp(spark, folder):
 
 @query
 def save_flags(spark, folder):
-    flagged = state.save_flags(event_frames(spark, folder))
-    return flagged.select("cameraId", "batch_id", "timestamp", "partition", "offset", "saved")
+    # Two passes over the frames: parse once, and keep the narrow columns.
+    narrow = event_frames(spark, folder).select("cameraId", *HISTORY_ORDER)
+    return state.save_flags(stored(narrow, "frames"))
 
 
 @query
@@ -303,8 +305,9 @@ def _image_facts(images: DataFrame) -> DataFrame:
 
 @query
 def export_saved(spark, folder):
-    flagged = state.save_flags(event_frames(spark, folder))
-    return _image_facts(export_images(flagged.where("saved"), IMAGES))
+    # Three passes, of which two read the narrow columns only.
+    landed = stored(event_frames(spark, folder), "frames")
+    return _image_facts(export_images(state.save_flags(landed).where("saved"), IMAGES))
 
 
 @query

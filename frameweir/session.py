@@ -51,15 +51,19 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/frameweir/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute once into the shared folder and cut the lineage there.
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """Compute once into a table in the shared folder and go on from there.
 
-    The result survives lost executors, and it can be counted and then used
-    without being computed again.
+    The result survives lost executors, it can be measured before it is used,
+    and later uses read only the columns they need.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    folder = work_dir(spark)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    folder = new_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows spread over all cores, where the scan has fewer tasks than that.
+    Tables of many files stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

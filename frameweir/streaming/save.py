@@ -14,10 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameweir.operators.joins import lookup_join
-from frameweir.operators.parse import frames as good_frames
-from frameweir.operators.parse import rejects
+from frameweir.operators.parse import bad_messages, good_frames, parse_messages
 from frameweir.schema import ARRIVAL, FRAME_ORDER
-from frameweir.session import materialize
+from frameweir.session import stored
 from frameweir.sinks.images import export_images, write_images
 
 _STATE = "cameraId string, prev_timestamp string, batch_id bigint"
@@ -50,15 +49,17 @@ def save_batch(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        records = batch.persist()
+        # Parsed once; the text is kept where the frame is not.
+        text = F.when(F.col("reason").isNotNull(), F.col("message"))
+        parsed = parse_messages(batch).withColumn("message", text).persist()
         try:
-            save(records, batch_id)
+            save(parsed, batch_id)
         finally:
-            records.unpersist()
+            parsed.unpersist()
 
-    def save(records: DataFrame, batch_id: int) -> None:
-        spark = records.sparkSession
-        frames = good_frames(records)
+    def save(parsed: DataFrame, batch_id: int) -> None:
+        spark = parsed.sparkSession
+        frames = good_frames(parsed)
 
         def write(table: DataFrame, name: str) -> None:
             table.write.mode("overwrite").parquet(f"{folder}/{name}/batch_id={batch_id}")
@@ -72,10 +73,11 @@ def save_batch(
         before = _previous_state(spark, folder, batch_id).select(
             "cameraId", "prev_timestamp", F.lit(True).alias("had_state")
         )
-        cameras = materialize(
+        cameras = stored(
             now.join(before, "cameraId", "full").withColumn(
                 "had_state", F.coalesce("had_state", F.lit(False))
-            )
+            ),
+            "cameras",
         )
 
         seen = cameras.where(F.col("last").isNotNull())
@@ -86,11 +88,11 @@ def save_batch(
             .drop("first", "last")
         )
         write(flagged, "frames")
-        write(rejects(records), "rejects")
+        write(bad_messages(parsed), "rejects")
 
         if image_folder is not None:
-            stored = spark.read.parquet(f"{folder}/frames/batch_id={batch_id}")
-            images = export_images(stored.where("saved"), image_folder, order=FRAME_ORDER)
+            landed = spark.read.parquet(f"{folder}/frames/batch_id={batch_id}")
+            images = export_images(landed.where("saved"), image_folder, order=FRAME_ORDER)
             if image_files:
                 write(write_images(images), "report")
             else:
