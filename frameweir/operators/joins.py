@@ -26,15 +26,16 @@ def lookup_join(
     keys: list[str],
     spread: list[str],
     limit: int = BROADCAST_BYTES,
+    is_stored: bool = False,
 ) -> DataFrame:
     """Left join of `big` to `small`, which has one row per `keys`.
 
-    `small` is computed and measured first. Up to `limit` bytes it is
-    broadcast, so that `big` does not move. Beyond that both sides are
-    shuffled, with the rows of a key spread over salts taken from the columns
-    `spread`, so that one hot key does not end up in one task.
+    `small` is computed (unless it is a stored table) and measured first. Up to
+    `limit` bytes it is broadcast, so that `big` does not move. Beyond that
+    both sides are shuffled, with the rows of a key spread over salts taken
+    from the columns `spread`, so that one hot key does not end up in one task.
     """
-    small = stored(small, "lookup")
+    small = small if is_stored else stored(small, "lookup")
     if table_bytes(small) <= limit:
         return big.join(F.broadcast(small), keys, "left")
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)))

@@ -1,9 +1,10 @@
 """The per-camera step with payloads: save flags, emitted rows, images.
 
 Runs once per micro-batch, on Spark expressions only. The state is a table
-with one narrow row per camera. Batch `n` reads the snapshot that batch `n-1`
-wrote and writes its own to the other of two folders, so a batch that is run
-again after a failure finds the same input and overwrites the same output.
+with one narrow row per camera ever seen. Batch `n` reads the snapshot that
+batch `n-1` wrote and writes its own to the other of two folders, so a batch
+that is run again after a failure finds the same input and overwrites the same
+output.
 """
 
 from __future__ import annotations
@@ -16,18 +17,22 @@ from pyspark.sql import functions as F
 from frameweir.operators.joins import lookup_join
 from frameweir.operators.parse import bad_messages, good_frames, parse_messages
 from frameweir.schema import ARRIVAL, FRAME_ORDER
-from frameweir.session import stored
 from frameweir.sinks.images import export_images, write_images
 
-_STATE = "cameraId string, prev_timestamp string, batch_id bigint"
+_PLACE = "struct<timestamp: string, partition: int, offset: bigint>"
+_STATE = (
+    f"cameraId string, first {_PLACE}, last {_PLACE}, n_frames bigint,"
+    " prev_timestamp string, had_state boolean, batch_id bigint"
+)
 
 
-def _previous_state(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
-    if batch_id == 0:
+def _snapshot(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
+    """The cameras known after a batch."""
+    if batch_id < 0:
         return spark.createDataFrame([], _STATE)
-    snapshot = spark.read.schema(_STATE).parquet(f"{folder}/state/slot={(batch_id - 1) % 2}")
-    stale = F.raise_error(F.lit(f"the state of batch {batch_id - 1} is missing")).cast("boolean")
-    return snapshot.where(F.when(F.col("batch_id") == batch_id - 1, True).otherwise(stale))
+    table = spark.read.schema(_STATE).parquet(f"{folder}/state/slot={batch_id % 2}")
+    missing = F.raise_error(F.lit(f"the state of batch {batch_id} is missing")).cast("boolean")
+    return table.where(F.when(F.col("batch_id") == batch_id, True).otherwise(missing))
 
 
 def _at(place: str) -> Column:
@@ -70,19 +75,26 @@ def save_batch(
             F.max(place).alias("last"),
             F.count(F.lit(1)).alias("n_frames"),
         )
-        before = _previous_state(spark, folder, batch_id).select(
-            "cameraId", "prev_timestamp", F.lit(True).alias("had_state")
+        before = _snapshot(spark, folder, batch_id - 1).select(
+            "cameraId",
+            F.coalesce("last.timestamp", "prev_timestamp").alias("prev_timestamp"),
+            F.lit(True).alias("had_state"),
         )
-        cameras = stored(
-            now.join(before, "cameraId", "full").withColumn(
-                "had_state", F.coalesce("had_state", F.lit(False))
-            ),
-            "cameras",
+        cameras = now.join(before, "cameraId", "full").select(
+            "cameraId",
+            "first",
+            "last",
+            "n_frames",
+            "prev_timestamp",
+            F.coalesce("had_state", F.lit(False)).alias("had_state"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
         )
+        cameras.write.mode("overwrite").parquet(f"{folder}/state/slot={batch_id % 2}")
+        cameras = _snapshot(spark, folder, batch_id).drop("batch_id")
 
         seen = cameras.where(F.col("last").isNotNull())
         flagged = (
-            lookup_join(frames, seen, ["cameraId"], ARRIVAL)
+            lookup_join(frames, seen, ["cameraId"], ARRIVAL, is_stored=True)
             .withColumn("saved", F.col("had_state") | ~_at("first"))
             .withColumn("is_last", _at("last"))
             .drop("first", "last")
@@ -98,11 +110,4 @@ def save_batch(
             else:
                 write(images, "images")
 
-        state = cameras.select(
-            "cameraId",
-            F.coalesce("last.timestamp", "prev_timestamp").alias("prev_timestamp"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-        )
-        state.write.mode("overwrite").parquet(f"{folder}/state/slot={batch_id % 2}")
-
     return run
