@@ -154,6 +154,8 @@ _HEADER = """
   '89504E470D0A1A0A' as signature, 4 as width, 4 as height, 8 as bit_depth, 2 as colour_type, true as header_ok
 """
 
+_LINE = "'Key: ' || coalesce(key, 'null') || ';Value: ' || coalesce(message, 'null')"
+
 _EMIT_SQL = f"with {_EMITTED} select * from emitted"
 _FIRST_SQL = (
     f"with {_MESSAGES} {_FIRST.format(source='msg')} "
@@ -185,10 +187,7 @@ ORACLE: dict[str, str] = {
     "build_json": f"""with {_FRAMES}
         select "cameraId" as key, message as value from judged where reason is null""",
     "unkeyed_messages": "select cast(null as varchar) as key, text as value from conversations",
-    "key_value_lines": f"""with {_MESSAGES}
-        select "partition", "offset",
-               'Key: ' || coalesce(key, 'null') || ';Value: ' || coalesce(message, 'null') as line
-        from msg""",
+    "key_value_lines": f'with {_MESSAGES} select "partition", "offset", {_LINE} as line from msg',
     "first_records": _FIRST_SQL,
     "sampled_frames": f"""with {_FRAMES} {_FIRST.format(source='judged')}
         select batch_id, '/out/' || "cameraId" || '-T-' || "timestamp" || '.png' as path,
@@ -287,5 +286,6 @@ ORACLE: dict[str, str] = {
                e.had_state, e.prev_timestamp, e.n_frames
         from numbered n join emitted e on n."cameraId" = e."cameraId" and n.batch_id = e.batch_id""",
     "stream_first": _FIRST_SQL,
+    "stream_lines": f"with {_MESSAGES} select {_LINE} as line from msg",
     "stream_view": _PARSE_SQL,
 }

@@ -40,6 +40,7 @@ from frameweir.streaming.run import (
     run_available,
     sample_first,
     store_emitted,
+    store_lines,
 )
 from frameweir.streaming.save import save_batch
 
@@ -347,6 +348,13 @@ def stream_first(spark, folder):
     return first.select("batch_id", "partition", "offset", F.col("value").cast("string").alias("message"))
 
 
+@query
+def stream_lines(spark, folder):
+    records, out = replay(event_records(spark, folder)), new_folder(spark, "lines")
+    run_available(store_lines(records, out, checkpoint_for(records)))
+    return spark.read.text(out).select(F.col("value").alias("line"))
+
+
 @query
 def stream_view(spark, folder):
     """A SQL query over the parsed stream."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Iterator
 
@@ -50,11 +49,15 @@ def export_images(
 def _write(path: str, png: bytes) -> None:
     """Write to a side file and move it into place, so that a repeated or
     interrupted task leaves no half file."""
-    system, place = fs.FileSystem.from_uri(path if "://" in path else "file://" + os.path.abspath(path))
-    side = f"{place}.{uuid.uuid4().hex}.part"
+    folder, name = path.rsplit("/", 1)
+    if "://" in folder:
+        system, folder = fs.FileSystem.from_uri(folder)
+    else:
+        system = fs.LocalFileSystem()
+    side = f"{folder}/{name}.{uuid.uuid4().hex}.part"
     with system.open_output_stream(side) as file:
         file.write(png)
-    system.move(side, place)
+    system.move(side, f"{folder}/{name}")
 
 
 def write_images(images: DataFrame) -> DataFrame:

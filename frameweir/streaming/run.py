@@ -34,8 +34,16 @@ def print_query(table: DataFrame, query: str, view: str, checkpoint: str) -> Dat
 
 
 def print_lines(records: DataFrame, checkpoint: str) -> DataStreamWriter:
-    """Prints one line per record."""
-    return to_console(records.select(key_value_line().alias("line")), checkpoint, "append")
+    """Prints a look at the lines of each micro-batch; see `store_lines`."""
+    lines = to_console(records.select(key_value_line().alias("line")), checkpoint, "append")
+    return lines.option("truncate", False)
+
+
+def store_lines(records: DataFrame, folder: str, checkpoint: str) -> DataStreamWriter:
+    """Writes one line per record, all of them, to text files."""
+    lines = records.select(key_value_line().alias("value"))
+    writer = lines.writeStream.format("text").option("path", folder)
+    return writer.option("checkpointLocation", checkpoint)
 
 
 def per_batch(folder: str, change: Callable[[DataFrame], DataFrame] | None = None):

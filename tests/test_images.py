@@ -1,0 +1,177 @@
+"""Pixels, resize, image files and export."""
+
+import math
+import os
+import struct
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from frameweir.functions.pixels import png_bytes, resize_block
+from frameweir.operators.images import add_png, decode_frames, frame_pixels, resize_frames
+from frameweir.plans.collector import collect_frames
+from frameweir.sinks.images import export_images, write_images
+from tests.helpers import frame_rows
+
+SCHEMA = "id int, rows int, cols int, type int, bytes binary"
+
+
+def frame(seed, rows, cols, count):
+    return np.random.default_rng(seed).integers(0, 256, (rows, cols, count), dtype=np.uint8)
+
+
+def table(spark, frames):
+    rows = [(i, f.shape[0], f.shape[1], (f.shape[2] - 1) << 3, bytearray(f.tobytes())) for i, f in enumerate(frames)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def weight(x):
+    """The cubic kernel itself, at distance x."""
+    x = abs(x)
+    if x <= 1:
+        return 1.25 * x**3 - 2.25 * x**2 + 1
+    return -0.75 * x**3 + 3.75 * x**2 - 6 * x + 3 if x < 2 else 0.0
+
+
+def axis(source, target):
+    """Share of each source line in each target line; lines beyond the border
+    count as the border."""
+    share = np.zeros((target, source))
+    for i in range(target):
+        f = (i + 0.5) * source / target - 0.5
+        for k in range(math.floor(f) - 1, math.floor(f) + 3):
+            share[i, min(max(k, 0), source - 1)] += weight(f - k)
+    return share
+
+
+def resized_slowly(source, height, width):
+    """The resize as products of whole matrices, in floating point."""
+    rows, cols, _ = source.shape
+    out = np.einsum("yj,xi,jic->yxc", axis(rows, height), axis(cols, width), source.astype(float), optimize=True)
+    return np.clip(np.floor(out + 0.5), 0, 255)
+
+
+def read_png(data):
+    """Size, colour type and pixels of an image file without line filters."""
+    assert data[:8] == b"\x89PNG\r\n\x1a\n"
+    place, chunks = 8, {}
+    while place < len(data):
+        size, kind = struct.unpack(">I4s", data[place : place + 8])
+        body = data[place + 8 : place + 8 + size]
+        (crc,) = struct.unpack(">I", data[place + 8 + size : place + 12 + size])
+        assert crc == zlib.crc32(kind + body)
+        chunks[kind] = body
+        place += 12 + size
+    width, height, bits, colour = struct.unpack(">IIBB", chunks[b"IHDR"][:10])
+    assert bits == 8 and list(chunks) == [b"IHDR", b"IDAT", b"IEND"]
+    lines = np.frombuffer(zlib.decompress(chunks[b"IDAT"]), np.uint8).reshape(height, -1)
+    assert not lines[:, 0].any()
+    return colour, lines[:, 1:].reshape(height, width, -1)
+
+
+@pytest.mark.parametrize("size", [(8, 8), (3, 10), (7, 2), (1, 1)])
+@pytest.mark.parametrize("count", [1, 3])
+def test_resize_is_the_cubic_kernel(size, count):
+    source = frame(1, 5, 6, count)
+    got = resize_block(source[None], *size)[0].astype(int)
+    # The weights are rounded to 11 bits, so a value may round the other way.
+    assert np.abs(got - resized_slowly(source, *size)).max() <= 1
+    assert got.shape == (*size, count)
+
+
+def test_resize_doubling_is_exact():
+    source = frame(2, 4, 4, 3)
+    assert (resize_block(source[None], 8, 8)[0] == resized_slowly(source, 8, 8)).all()
+
+
+def test_resize_extremes_stay_in_range():
+    source = (np.indices((9, 9)).sum(axis=0) % 2 * 255).astype(np.uint8)[..., None]
+    for size in ((480, 640), (13, 17), (5, 4)):
+        assert np.abs(resize_block(source[None], *size)[0] - resized_slowly(source, *size)).max() <= 1
+
+
+def test_resize_to_default_size(spark):
+    frames = [frame(3, 8, 8, 1), frame(4, 6, 9, 3), frame(5, 8, 8, 1), frame(6, 480, 640, 3)]
+    got = {row.id: row for row in resize_frames(table(spark, frames)).collect()}
+    for i, source in enumerate(frames):
+        assert (got[i].rows, got[i].cols) == (480, 640)
+        pixels = np.frombuffer(bytes(got[i].bytes), np.uint8).reshape(480, 640, -1)
+        assert (pixels == resize_block(source[None], 480, 640)[0]).all()
+    sample = resized_slowly(frames[0], 480, 640)
+    pixels = np.frombuffer(bytes(got[0].bytes), np.uint8).reshape(480, 640, 1)
+    assert np.abs(pixels - sample).max() <= 1
+    assert (np.frombuffer(bytes(got[3].bytes), np.uint8) == frames[3].ravel()).all()
+
+
+def test_pixels(spark):
+    source = frame(7, 3, 2, 3)
+    got = frame_pixels(table(spark, [source]), ["id"]).collect()
+    assert len(got) == 18
+    assert all(source[row.y, row.x, row.channel] == row.value for row in got)
+
+
+@pytest.mark.parametrize("count, colour", [(1, 0), (3, 2), (4, 6)])
+def test_png(count, colour):
+    source = frame(8, 5, 7, count)
+    found, pixels = read_png(png_bytes(source))
+    assert found == colour
+    order = {1: [0], 3: [2, 1, 0], 4: [2, 1, 0, 3]}[count]
+    assert (pixels == source[:, :, order]).all()
+
+
+def test_png_that_cannot_be(spark):
+    assert png_bytes(frame(9, 2, 2, 2)) is None
+    got = add_png(table(spark, [frame(9, 2, 2, 2), frame(9, 2, 2, 1)])).orderBy("id").collect()
+    assert got[0].png is None and got[1].png is not None
+
+
+def exported(spark, tmp_path, **options):
+    frames = frame_rows(
+        spark,
+        [("a", 0, "2024-01-01 00:00:00.0", 1), ("a", 1, "2024-01-01 00:00:00.0", 2), ("b", 0, "2024-01-01 00:00:00.5", 3), ("b", 0, "2024-01-01 00:00:00.5", 4)],
+    )
+    return export_images(frames, f"{tmp_path}/", **options)
+
+
+def test_later_frame_of_a_path_wins(spark, tmp_path):
+    images = {row.path: read_png(bytes(row.png))[1].tobytes() for row in exported(spark, tmp_path).collect()}
+    assert images == {
+        f"{tmp_path}/a-T-2024-01-01-00-00-00-0.png": b"02",
+        f"{tmp_path}/b-T-2024-01-01-00-00-00-5.png": b"04",
+    }
+
+
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_image_files(spark, tmp_path, scheme):
+    images = exported(spark, tmp_path, raw_names=True)
+    images = images.withColumn("path", F.concat(F.lit(scheme), "path"))
+    report = write_images(images).collect()
+    assert all(row.error is None for row in report)
+    assert sorted(os.listdir(tmp_path)) == ["a-T-2024-01-01 00:00:00.0.png", "b-T-2024-01-01 00:00:00.5.png"]
+    for row in report:
+        data = open(row.path.removeprefix(scheme), "rb").read()
+        assert len(data) == row.n_bytes
+        read_png(data)
+
+
+def test_image_that_cannot_be_written(spark, tmp_path):
+    images = exported(spark, tmp_path).withColumn(
+        "path", F.when(F.col("path").contains("/a-"), F.lit(f"{tmp_path}/none/a.png")).otherwise(F.col("path"))
+    )
+    report = {os.path.basename(row.path)[0]: row for row in write_images(images).collect()}
+    assert report["a"].error and report["b"].error is None
+    assert [name[0] for name in os.listdir(tmp_path)] == ["b"]
+
+
+def test_collected_messages_hold_the_frame(spark):
+    source = frame(10, 6, 6, 3)
+    captured = table(spark, [source]).withColumn("cameraId", F.lit("a"))
+    message = collect_frames(captured, F.lit("2024-01-01 00:00:01").cast("timestamp")).first()
+    fields = "cameraId string, timestamp string, rows int, cols int, type int, data string"
+    parsed = spark.createDataFrame([(message.value,)], "v string").select(F.from_json("v", fields).alias("m")).select("m.*")
+    row = decode_frames(parsed).first()
+    assert (message.key, row.timestamp, row.rows, row.cols, row.type) == ("a", "2024-01-01 00:00:01.0", 480, 640, 16)
+    assert len(message.value) > 1228800
+    assert bytes(row.bytes) == resize_block(source[None], 480, 640).tobytes()

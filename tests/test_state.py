@@ -1,0 +1,113 @@
+"""The per-camera step as batch queries."""
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from frameweir.operators import state
+from frameweir.operators.joins import lookup_join, table_bytes
+from tests.helpers import expected_steps, frame_rows
+
+EMITTED = ["timestamp", "offset", "n_frames", "had_state", "prev_timestamp", "n_saved"]
+
+CASES = {
+    "first frame ever": [("a", 0, "t1", 1)],
+    "single frame of a known camera": [("a", 0, "t1", 1), ("a", 2, "t2", 2)],
+    "tie": [("a", 0, "t1", 2), ("a", 0, "t1", 1), ("a", 0, "t0", 3)],
+    "late batch": [("a", 0, "t5", 1), ("a", 1, "t1", 2), ("a", 1, "t2", 3), ("a", 2, "t9", 4)],
+    "new camera in a late batch": [("a", 0, "t1", 1), ("b", 3, "t2", 2), ("b", 3, "t1", 3), ("a", 3, "t1", 4)],
+}
+
+
+def check(spark, rows):
+    frames = frame_rows(spark, rows)
+    emitted, saved = expected_steps(rows)
+
+    got = state.emit_per_batch(frames).collect()
+    assert {(r.cameraId, r.batch_id): tuple(r[n] for n in EMITTED) for r in got} == emitted
+    payload = {row.offset: row.data for row in frames.collect()}
+    assert all(row.data == payload[row.offset] for row in got)
+    assert len(got) == len(emitted)
+
+    before = state.previous_timestamp(frames).collect()
+    assert {(r.cameraId, r.batch_id): (r.had_state, r.prev_timestamp) for r in before} == {
+        key: row[3:5] for key, row in emitted.items()
+    }
+    counts = state.frames_per_batch(frames).collect()
+    assert {(r.cameraId, r.batch_id): r.n_frames for r in counts} == {k: v[2] for k, v in emitted.items()}
+
+    flags = state.save_flags(frames).collect()
+    assert len(flags) == len(rows)
+    assert {r.offset for r in flags if r.saved} == saved
+    assert len(saved) == len(rows) - len({row[0] for row in rows})
+
+    final = {r.cameraId: (r.batch_id, r.timestamp, r.offset) for r in state.final_state(frames).collect()}
+    for camera in {row[0] for row in rows}:
+        batch = max(b for c, b in emitted if c == camera)
+        assert final[camera] == (batch, *emitted[camera, batch][:2])
+
+    order = {}
+    for row in state.frame_order(frames).collect():
+        order[row.offset] = (row.position, row.prev_offset, row.saved)
+    wanted, before = {}, {}
+    for row in sorted(rows, key=lambda r: (r[0], r[1], r[2], r[3])):
+        place = 1 + sum(r[:2] == row[:2] and (r[2], r[3]) < (row[2], row[3]) for r in rows)
+        previous = before.get(row[0])
+        wanted[row[3]] = (place, previous, previous is not None)
+        before[row[0]] = row[3]
+    assert order == wanted
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_cases(spark, name):
+    check(spark, CASES[name])
+
+
+def test_late_batch_moves_the_state_back(spark):
+    rows = [("a", 0, "t5", 1), ("a", 1, "t1", 2)]
+    assert state.final_state(frame_rows(spark, rows)).first().timestamp == "t1"
+
+
+row = st.tuples(st.sampled_from("abc"), st.integers(0, 3), st.sampled_from(["t1", "t10", "t2", "T"]))
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(row, min_size=1, max_size=25))
+def test_any_history(spark, rows):
+    check(spark, [(*r, offset) for offset, r in enumerate(rows)])
+
+
+def test_hot_camera_is_split(spark):
+    """One camera with most rows in one batch, all at the same time."""
+    many = spark.range(20000).select(
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("c"), F.col("id") % 7)).otherwise("hot").alias("cameraId"),
+        F.lit(0).alias("batch_id"),
+        F.lit("t").alias("timestamp"),
+        F.lit(0).alias("partition"),
+        F.col("id").alias("offset"),
+    )
+    got = state.frame_order(many)
+    assert got.where("not saved").count() == got.select("cameraId").distinct().count()
+    hot = got.where("cameraId = 'hot'").orderBy("offset").collect()
+    assert [r.position for r in hot] == list(range(1, 18001))
+    assert all(b.prev_offset == a.offset for a, b in zip(hot, hot[1:]))
+
+
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_lookup_join_is_the_same_either_way(spark, limit):
+    big = spark.range(3000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 50)) k", "id")
+    small = spark.range(40).selectExpr("concat('k', id) k", "id * 2 v").unionAll(
+        spark.sql("select 'hot' k, 7L v")
+    )
+    got = lookup_join(big, small, ["k"], ["id"], limit=limit)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        map(tuple, big.join(small, ["k"], "left").collect()), key=str
+    )
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert ("_salt" in plan) == (limit == 0)
+
+
+def test_table_bytes(spark):
+    assert table_bytes(spark.range(0)) == 0
+    assert table_bytes(spark.range(10)) >= 10

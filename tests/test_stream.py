@@ -1,0 +1,211 @@
+"""The streams: equal to the batch queries, through restarts and failures."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from frameweir.operators import state
+from frameweir.operators.parse import frames, rejects
+from frameweir.session import new_folder
+from frameweir.streaming import run, save
+from frameweir.streaming.emit import emit_stream
+from frameweir.sources.topics import read_topic_table
+from tests.helpers import expected_steps, message, records
+from tests.test_images import read_png
+
+STEPS = [
+    ("a", 0, "2024-01-01 00:00:03.0", 0),
+    ("a", 0, "2024-01-01 00:00:01.0", 1),
+    ("b", 0, "2024-01-01 00:00:01.0", 2),
+    ("a", 1, "2024-01-01 00:00:02.0", 3),
+    ("a", 1, "2024-01-01 00:00:02.0", 4),
+    ("c", 1, "2024-01-01 00:00:02.0", 5),
+    ("b", 2, "2024-01-01 00:00:01.0", 6),
+    ("c", 2, "2024-01-01 00:00:00.0", 7),
+    ("c", 2, "2024-01-01 00:00:09.0", 8),
+]
+
+
+class Topic:
+    """A topic table that grows by one micro-batch at a time."""
+
+    def __init__(self, spark):
+        self.spark, self.path = spark, new_folder(spark, "topic")
+        texts = [(batch, offset, message(camera, stamp, pixels=f"{offset:02d}".encode())) for camera, batch, stamp, offset in STEPS]
+        self.records = records(spark, [*texts, (1, 100, "Hello"), (2, 101, None)])
+        self.records.limit(0).drop("batch_id").write.parquet(self.path)
+
+    def land(self, *batches):
+        for batch in batches:
+            one = self.records.where(F.col("batch_id") == batch).drop("batch_id")
+            one.coalesce(1).write.mode("append").parquet(self.path)
+
+    def stream(self):
+        return read_topic_table(self.spark, self.path, files_per_trigger=1)
+
+
+@pytest.fixture
+def topic(spark):
+    return Topic(spark)
+
+
+def by_camera(rows):
+    return {(r.cameraId, r.batch_id): (r.timestamp, r.offset, r.n_frames, r.had_state, r.prev_timestamp, r.n_saved) for r in rows}
+
+
+def numbered(rows):
+    """Batch numbers as 0, 1, 2; the empty first file is a batch of its own."""
+    order = {b: i for i, b in enumerate(sorted({r.batch_id for r in rows}))}
+    return {(c, order[b]): row for (c, b), row in by_camera(rows).items()}
+
+
+@pytest.mark.parametrize("payload", [False, True])
+def test_emitted_rows(spark, topic, payload):
+    out, checkpoint = new_folder(spark, "out"), new_folder(spark, "checkpoint")
+    # One batch, then a restart from the checkpoint for the others.
+    topic.land(0)
+    run.run_available(run.store_emitted(topic.stream(), out, checkpoint, payload))
+    topic.land(1, 2)
+    run.run_available(run.store_emitted(topic.stream(), out, checkpoint, payload))
+    got = spark.read.option("basePath", out).parquet(out).collect()
+    assert numbered(got) == expected_steps(STEPS)[0]
+    assert all(row.task_partition is not None for row in got)
+    if payload:
+        data = {row.offset: row.data for row in frames(topic.records).collect()}
+        assert all(row.data == data[row.offset] and row.cols == 2 for row in got)
+
+
+def saved_stream(topic, out, checkpoint, **options):
+    writer = topic.stream().writeStream.foreachBatch(save.save_batch(out, **options))
+    return writer.option("checkpointLocation", checkpoint)
+
+
+def check_saved(spark, topic, out):
+    got = spark.read.option("basePath", f"{out}/frames").parquet(f"{out}/frames").collect()
+    emitted, saved = expected_steps(STEPS)
+    assert len(got) == len(STEPS)
+    assert {row.offset for row in got if row.saved} == saved
+    assert {row.offset for row in got if row.is_last} == {row[1] for row in emitted.values()}
+    order = {b: i for i, b in enumerate(sorted({r.batch_id for r in got}))}
+    for row in got:
+        step = emitted[row.cameraId, order[row.batch_id]]
+        assert (row.n_frames, row.had_state, row.prev_timestamp) == step[2:5]
+    bad = spark.read.parquet(f"{out}/rejects").select("offset", "message", "reason").collect()
+    assert sorted(map(tuple, bad)) == [(100, "Hello", "malformed"), (101, None, "empty")]
+
+
+def test_saved_rows_after_a_restart(spark, topic):
+    out, checkpoint = new_folder(spark, "out"), new_folder(spark, "checkpoint")
+    topic.land(0)
+    run.run_available(saved_stream(topic, out, checkpoint))
+    topic.land(1, 2)
+    run.run_available(saved_stream(topic, out, checkpoint))
+    check_saved(spark, topic, out)
+
+
+@pytest.mark.parametrize("broken", ["lookup_join", "bad_messages"])
+def test_saved_rows_after_a_failure(spark, topic, monkeypatch, broken):
+    """A batch that failed half-way, after its state or its frames were
+    written, is run again from the checkpoint."""
+    out, checkpoint = new_folder(spark, "out"), new_folder(spark, "checkpoint")
+    topic.land(0, 1, 2)
+    whole, calls = getattr(save, broken), []
+
+    def fails_once(*args, **kwargs):
+        calls.append(1)
+        if len(calls) == 3:
+            raise OSError("lost")
+        return whole(*args, **kwargs)
+
+    monkeypatch.setattr(save, broken, fails_once)
+    with pytest.raises(Exception, match="lost"):
+        run.run_available(saved_stream(topic, out, checkpoint))
+    run.run_available(saved_stream(topic, out, checkpoint))
+    check_saved(spark, topic, out)
+
+
+def test_lost_state_is_noticed(spark, topic):
+    out = new_folder(spark, "out")
+    step = save.save_batch(out)
+    step(topic.records.where("batch_id = 0").drop("batch_id"), 0)
+    with pytest.raises(Exception, match="the state of batch 2 is missing"):
+        step(topic.records.where("batch_id = 1").drop("batch_id"), 3)
+
+
+@pytest.mark.parametrize("files", [False, True])
+def test_saved_images(spark, topic, tmp_path, files):
+    out, checkpoint = new_folder(spark, "out"), new_folder(spark, "checkpoint")
+    topic.land(0, 1, 2)
+    options = {"image_folder": f"{tmp_path}/", "image_files": files}
+    run.run_available(saved_stream(topic, out, checkpoint, **options))
+    saved = sorted((s for s in STEPS if s[3] in expected_steps(STEPS)[1]), key=lambda s: (s[1], s[2], s[3]))
+    # A later frame of the same name replaces the earlier one.
+    wanted = {f"{c}-T-{stamp.replace(' ', '-').replace(':', '-').replace('.', '-')}.png": f"{n:02d}".encode() for c, _, stamp, n in saved}
+    if files:
+        got = {name: open(tmp_path / name, "rb").read() for name in os.listdir(tmp_path)}
+        report = spark.read.parquet(f"{out}/report").collect()
+        assert all(row.error is None for row in report)
+    else:
+        assert not os.listdir(tmp_path)
+        table = spark.read.option("basePath", f"{out}/images").parquet(f"{out}/images")
+        got = {os.path.basename(r.path): bytes(r.png) for r in table.orderBy("batch_id").collect()}
+    assert {name: read_png(png)[1].tobytes() for name, png in got.items()} == wanted
+
+
+def test_first_of_each_batch(spark, topic):
+    out = new_folder(spark, "out")
+    topic.land(0, 1, 2)
+    run.run_available(run.sample_first(topic.stream(), out, new_folder(spark, "checkpoint")))
+    assert sorted(r.offset for r in spark.read.parquet(out).collect()) == [0, 3, 6]
+
+
+def test_console(spark, topic):
+    topic.land(0)
+    stream = topic.stream()
+    writers = [
+        (run.print_emitted, stream, 2),
+        (run.print_lines, stream, 3),
+    ]
+    for start, table, rows in writers:
+        query = run.run_available(start(table, new_folder(spark, "checkpoint")))
+        assert "ConsoleTable" in query.lastProgress.sink.description
+        assert query.lastProgress.sink.numOutputRows == rows
+    text = "select cameraId, rows * cols as pixels from frame_events"
+    writer = run.print_query(frames(stream), text, "frame_events", new_folder(spark, "checkpoint"))
+    assert run.run_available(writer).lastProgress.sink.numOutputRows == 3
+
+
+def test_lines(spark, topic):
+    out = new_folder(spark, "lines")
+    topic.land(0, 1, 2)
+    run.run_available(run.store_lines(topic.stream(), out, new_folder(spark, "checkpoint")))
+    lines = [row.value for row in spark.read.text(out).collect()]
+    assert len(lines) == 11
+    assert "Key: null;Value: Hello" in lines and "Key: null;Value: null" in lines
+
+
+def test_rocksdb_state(spark, topic):
+    """The state store for many cameras gives the same rows."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        out = new_folder(spark, "out")
+        topic.land(0, 1, 2)
+        run.run_available(run.store_emitted(topic.stream(), out, new_folder(spark, "checkpoint")))
+        got = spark.read.option("basePath", out).parquet(out).collect()
+        assert numbered(got) == expected_steps(STEPS)[0]
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_batch_queries_agree(topic):
+    got = state.emit_per_batch(frames(topic.records)).collect()
+    assert by_camera(got) == expected_steps(STEPS)[0]
+    assert rejects(topic.records).count() == 2
+
+
+def test_stream_has_no_watermark(topic):
+    plan = emit_stream(frames(topic.stream()))._jdf.queryExecution().analyzed().toString()
+    assert "EventTimeWatermark" not in plan and "NoTimeout" in plan
