@@ -38,13 +38,19 @@ def _pads(text: Column) -> Column:
 
 def is_base64(text: Column) -> Column:
     """Whether a strict basic decoder takes the text: alphabet characters only,
-    no line breaks, padding either right or left out."""
+    no line breaks, padding either right or left out.
+
+    Spark's decoder passes over blanks and line breaks, so the bytes it gives
+    are fewer than a text of that length holds. Decoding is several times
+    faster than matching a pattern over a payload.
+    """
     size = F.octet_length(text)
     pads = _pads(text)
+    found = F.octet_length(F.try_to_binary(text, F.lit("base64")))
     return (
-        text.rlike(r"\A[A-Za-z0-9+/]*+={0,2}\z")
-        & ((size - pads) % 4 != 1)
+        ((size - pads) % 4 != 1)
         & ((pads == 0) | (size % 4 == 0))
+        & F.coalesce(found == base64_bytes(text), F.lit(False))
     )
 
 
@@ -55,7 +61,7 @@ def base64_bytes(text: Column) -> Column:
 
 def decode_base64(text: Column) -> Column:
     """The bytes, or null for text a strict decoder would not take."""
-    return F.when(is_base64(text), F.unbase64(text))
+    return F.when(is_base64(text), F.try_to_binary(text, F.lit("base64")))
 
 
 def frame_json(*fields: Column) -> Column:

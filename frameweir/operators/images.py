@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from frameweir.functions.frames import byte_at, channels, decode_base64
+from frameweir.functions.frames import byte_at, channels
 from frameweir.functions.pixels import png_bytes, resize_block
 
 # Pixel bytes a task handles at a time.
@@ -19,8 +19,8 @@ BLOCK_BYTES = 16 * 1024 * 1024
 
 
 def decode_frames(frames: DataFrame) -> DataFrame:
-    """Replace the base64 text `data` by the payload `bytes`."""
-    return frames.withColumn("bytes", decode_base64(F.col("data"))).drop("data")
+    """Replace the base64 text `data` of good frames by the payload `bytes`."""
+    return frames.withColumn("bytes", F.unbase64("data")).drop("data")
 
 
 def frame_pixels(frames: DataFrame, keys: list[str]) -> DataFrame:

@@ -31,7 +31,7 @@ def _reason() -> Column:
     for name in FRAME_FIELDS:
         missing = missing | F.col(name).isNull()
     return (
-        F.when(F.col("message").isNull() | (F.trim("message") == ""), "empty")
+        F.when(F.col("json").isNull(), "empty")  # what the JSON parser gives for no text
         .when(F.col(_CORRUPT).isNotNull(), "malformed")
         .when(missing, "missing field")
         .when(depth(F.col("type")) != 0, "bad type")
@@ -57,9 +57,9 @@ def parse_messages(records: DataFrame) -> DataFrame:
     parsed = F.from_json("message", _PARSE_SCHEMA, {"columnNameOfCorruptRecord": _CORRUPT})
     return (
         texts.select(*carried, "message", F.explode(F.array(parsed)).alias("json"))
-        .select(*carried, "message", "json.*")
+        .select(*carried, "message", "json", "json.*")
         .withColumn("reason", _reason())
-        .drop(_CORRUPT)
+        .drop("json", _CORRUPT)
     )
 
 
