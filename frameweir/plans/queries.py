@@ -34,14 +34,7 @@ from frameweir.sinks.images import export_images
 from frameweir.sinks.topics import keyed_records, unkeyed_records
 from frameweir.sources.registry import camera_registry
 from frameweir.streaming.replay import replay
-from frameweir.streaming.run import (
-    checkpoint_for,
-    per_batch,
-    run_available,
-    sample_first,
-    store_emitted,
-    store_lines,
-)
+from frameweir.streaming.run import per_batch, sample_first, store_emitted, store_lines
 from frameweir.streaming.save import save_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -327,39 +320,51 @@ def _stored(spark: SparkSession, path: str) -> DataFrame:
 
 @query
 def stream_emit(spark, folder):
-    records, out = replay(event_records(spark, folder)), new_folder(spark, "emitted")
-    run_available(store_emitted(records, out, checkpoint_for(records), payload=True))
+    out = new_folder(spark, "emitted")
+
+    def start(records, checkpoint):
+        return store_emitted(records, out, checkpoint, payload=True)
+
+    replay(event_records(spark, folder), start)
     return _stored(spark, out).drop("task_partition")
 
 
 @query
 def stream_save(spark, folder):
-    records, out = replay(event_records(spark, folder)), new_folder(spark, "saved")
-    writer = records.writeStream.foreachBatch(save_batch(out))
-    run_available(writer.option("checkpointLocation", checkpoint_for(records)))
+    out = new_folder(spark, "saved")
+
+    def start(records, checkpoint):
+        writer = records.writeStream.foreachBatch(save_batch(out))
+        return writer.option("checkpointLocation", checkpoint)
+
+    replay(event_records(spark, folder), start)
     return _stored(spark, f"{out}/frames").drop("topic")
 
 
 @query
 def stream_first(spark, folder):
-    records, out = replay(event_records(spark, folder)), new_folder(spark, "first")
-    run_available(sample_first(records, out, checkpoint_for(records)))
+    out = new_folder(spark, "first")
+    replay(event_records(spark, folder), lambda records, checkpoint: sample_first(records, out, checkpoint))
     first = _stored(spark, out)
     return first.select("batch_id", "partition", "offset", F.col("value").cast("string").alias("message"))
 
 
 @query
 def stream_lines(spark, folder):
-    records, out = replay(event_records(spark, folder)), new_folder(spark, "lines")
-    run_available(store_lines(records, out, checkpoint_for(records)))
+    out = new_folder(spark, "lines")
+    replay(event_records(spark, folder), lambda records, checkpoint: store_lines(records, out, checkpoint))
     return spark.read.text(out).select(F.col("value").alias("line"))
 
 
 @query
 def stream_view(spark, folder):
     """A SQL query over the parsed stream."""
-    records, out = replay(event_records(spark, folder)), new_folder(spark, "view")
-    frames(records).createOrReplaceTempView("frame_events")
-    writer = spark.sql("select * from frame_events").writeStream.foreachBatch(per_batch(out))
-    run_available(writer.option("checkpointLocation", checkpoint_for(records)))
+    out = new_folder(spark, "view")
+
+    def start(records, checkpoint):
+        frames(records).createOrReplaceTempView("frame_events")
+        writer = spark.sql("select * from frame_events").writeStream.foreachBatch(per_batch(out))
+        return writer.option("checkpointLocation", checkpoint)
+
+    replay(event_records(spark, folder), start)
     return _stored(spark, out)

@@ -2,27 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from frameweir.schema import RECORD_SCHEMA
 from frameweir.session import new_folder
 from frameweir.sources.topics import read_topic_table
+from frameweir.streaming.run import run_available
 
 
-def replay(records: DataFrame) -> DataFrame:
-    """A stream whose micro-batches are the batches of `records`.
+def replay(records: DataFrame, start: Callable[[DataFrame, str], DataStreamWriter]) -> None:
+    """Run a stream over `records`, one micro-batch per `batch_id`, in order.
 
-    The files of a stream are taken by age, so the batches are landed one after
-    the other, one file each; a batch is as large as one fetch from the broker.
+    `start` makes the writer from the stream and its checkpoint folder. Each
+    batch is landed in as many files as its size asks for, and the stream is
+    started again from its checkpoint to take them all at once; so a batch may
+    be of any size, and every border is also a restart.
     """
     spark = records.sparkSession
     stored, landed = new_folder(spark, "records"), new_folder(spark, "landing")
+    checkpoint = new_folder(spark, "checkpoint")
     names = RECORD_SCHEMA.fieldNames()
-    records.select("batch_id", *names).repartition("batch_id").write.partitionBy("batch_id").parquet(stored)
+    sized = records.select("batch_id", *names).hint("rebalance", "batch_id")
+    sized.write.partitionBy("batch_id").parquet(stored)
     table = spark.read.parquet(stored)
-    batches = table.select("batch_id").distinct().orderBy("batch_id")
-    for row in batches.toLocalIterator():
+    # One row per micro-batch; a stream, too, handles them one after the other.
+    for row in table.select("batch_id").distinct().orderBy("batch_id").toLocalIterator():
         one = table.where(F.col("batch_id") == row.batch_id).select(*names)
-        one.coalesce(1).write.mode("append").parquet(landed)
-    return read_topic_table(spark, landed, files_per_trigger=1)
+        one.write.mode("append").parquet(landed)
+        run_available(start(read_topic_table(spark, landed), checkpoint))

@@ -10,7 +10,6 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from frameweir.operators.parse import frames
 from frameweir.operators.records import first_of_batch, key_value_line
-from frameweir.session import new_folder
 from frameweir.streaming.emit import emit_stream
 
 
@@ -84,8 +83,3 @@ def run_available(writer: DataStreamWriter, timeout: int | None = None) -> Strea
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination(timeout)
     return query
-
-
-def checkpoint_for(table: DataFrame) -> str:
-    """A checkpoint folder for a stream that is run once."""
-    return new_folder(table.sparkSession, "checkpoint")
