@@ -12,10 +12,18 @@ BLANKS = "".join(chr(code) for code in range(33))
 MAX_DEVICE = 2**31 - 1
 
 
+def wall_clock() -> Column:
+    """The time at which each row is handled. Spark's `current_timestamp` is one
+    time for a whole query, which would give all its frames one name."""
+    millis = F.reflect(F.lit("java.lang.System"), F.lit("currentTimeMillis"))
+    return F.timestamp_millis(millis.cast("bigint"))
+
+
 def stamp_text(at: Column | None = None) -> Column:
     """Time as `yyyy-MM-dd HH:mm:ss.f`: whole milliseconds, trailing zeros cut,
-    at least one digit. Takes the current time when no column is given."""
-    text = (F.current_timestamp() if at is None else at).cast("string")
+    at least one digit. Takes the wall clock when no column is given; a given
+    column makes a run repeatable."""
+    text = (wall_clock() if at is None else at).cast("string")
     # The cast drops trailing zeros already, but only of the microseconds.
     millis = F.rtrim(F.substring(F.split_part(text, F.lit("."), F.lit(2)), 1, 3), F.lit("0"))
     return F.concat(

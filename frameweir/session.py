@@ -18,6 +18,10 @@ SESSION_CONF = {
 }
 
 
+# Scratch folder of each local session that names no shared folder.
+_LOCAL: dict[str, str] = {}
+
+
 def build_session(app: str = "frameweir", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings above; `conf` keys use `__` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -39,10 +43,12 @@ def work_dir(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="frameweir-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="frameweir-")
+        folder = _LOCAL[context.applicationId]
     return folder.rstrip("/")
 
 

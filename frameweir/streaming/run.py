@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from frameweir.operators.parse import frames
+from frameweir.operators.parse import bad_messages, frames, good_frames, parse_messages
 from frameweir.operators.records import first_of_batch, key_value_line
+from frameweir.schema import ARRIVAL
+from frameweir.sinks.images import export_images, write_images
 from frameweir.streaming.emit import emit_stream
 
 
@@ -66,6 +68,24 @@ def sample_first(records: DataFrame, folder: str, checkpoint: str) -> DataStream
     return writer.option("checkpointLocation", checkpoint)
 
 
+def sample_images(
+    records: DataFrame, image_folder: str, folder: str, checkpoint: str
+) -> DataStreamWriter:
+    """Exports the first record of each micro-batch only, as an image file under
+    its raw name. Tables under `folder`: `report` of the images written, and
+    `rejects` for first records that are no frames."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        first = parse_messages(_first(batch))
+        images = export_images(good_frames(first), image_folder, raw_names=True, order=ARRIVAL)
+        tables = {"report": write_images(images), "rejects": bad_messages(first)}
+        for name, table in tables.items():
+            table.write.mode("overwrite").parquet(f"{folder}/{name}/batch_id={batch_id}")
+
+    writer = records.writeStream.foreachBatch(run)
+    return writer.option("checkpointLocation", checkpoint)
+
+
 def store_emitted(
     records: DataFrame, folder: str, checkpoint: str, payload: bool = False
 ) -> DataStreamWriter:

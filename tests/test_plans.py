@@ -10,8 +10,10 @@ from frameweir.operators import state
 from frameweir.operators.images import resize_frames
 from frameweir.operators.parse import frames
 from frameweir.plans.inputs import embedding_frames, event_records, spread
-from frameweir.session import stored
+from frameweir.session import new_folder, stored, work_dir
 from frameweir.sinks.images import last_per_path
+from frameweir.sources.topics import read_topic_table
+from frameweir.streaming.emit import emit_stream
 
 
 @pytest.fixture(scope="module")
@@ -81,6 +83,28 @@ def test_filter_reaches_the_scan(landed):
     assert "PushedFilters: [IsNotNull(batch_id), EqualTo(batch_id,3)]" in steps
 
 
+def test_stream_reduces_tasks_before_the_state(spark, folder):
+    path = new_folder(spark, "topic")
+    event_records(spark, folder).drop("batch_id").write.parquet(path)
+    emitted = emit_stream(frames(read_topic_table(spark, path)))
+    steps = emitted._jdf.queryExecution().logical().toString()
+    assert steps.index("FlatMapGroupsInPandasWithState") < steps.index("MapInPandas")
+    assert "data#" not in steps[: steps.index("MapInPandas")]
+
+
+def test_folder_where_none_is_named(spark):
+    class Unset:
+        sparkContext = spark.sparkContext
+        conf = {}
+
+    assert work_dir(Unset) == work_dir(Unset)
+    Unset.sparkContext = type("Cluster", (), {"master": "yarn", "applicationId": "a"})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_dir(Unset)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert not named or new_folder(spark, "x").startswith(named.rstrip("/"))
+
+
 def test_spread_leaves_many_tasks_alone(spark):
     cores = spark.sparkContext.defaultParallelism
     assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores

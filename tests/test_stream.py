@@ -160,6 +160,19 @@ def test_first_of_each_batch(spark, topic):
     assert sorted(r.offset for r in spark.read.parquet(out).collect()) == [0, 3, 6]
 
 
+def test_images_of_first_records(spark, topic, tmp_path):
+    out = new_folder(spark, "out")
+    bad_first = records(spark, [(3, 200, "Hello"), (3, 201, message())])
+    topic.land(0, 1)
+    bad_first.drop("batch_id").coalesce(1).write.mode("append").parquet(topic.path)
+    writer = run.sample_images(topic.stream(), f"{tmp_path}/", out, new_folder(spark, "checkpoint"))
+    run.run_available(writer)
+    # By offset, not by time: 0 of the first batch, 3 of the second.
+    assert sorted(os.listdir(tmp_path)) == ["a-T-2024-01-01 00:00:02.0.png", "a-T-2024-01-01 00:00:03.0.png"]
+    assert [r.offset for r in spark.read.parquet(f"{out}/rejects").collect()] == [200]
+    assert all(r.error is None for r in spark.read.parquet(f"{out}/report").collect())
+
+
 def test_console(spark, topic):
     topic.land(0)
     stream = topic.stream()

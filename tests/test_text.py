@@ -29,6 +29,8 @@ def test_stamp(spark, time, text):
 def test_stamp_of_now(spark):
     now = spark.range(1).select(stamp_text().alias("s")).first().s
     assert len(now.split(".")[0]) == 19 and 1 <= len(now.split(".")[1]) <= 3
+    many = spark.range(2000000, numPartitions=1).select(stamp_text().alias("s"))
+    assert many.distinct().count() > 10
 
 
 def test_file_names(spark):
