@@ -27,7 +27,7 @@ def frame_pixels(frames: DataFrame, keys: list[str]) -> DataFrame:
     """One row per pixel value of each decoded frame: `y`, `x`, `channel`,
     `value`."""
     line = F.col("cols") * channels(F.col("type"))
-    place = F.posexplode(F.sequence(F.lit(0), F.octet_length("bytes") - 1)).alias("_i", "_p")
+    place = F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - 1)).alias("_p")
     return (
         frames.where(F.octet_length("bytes") > 0)
         .select(*keys, "cols", "type", "bytes", place)
