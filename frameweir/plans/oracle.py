@@ -214,11 +214,11 @@ ORACLE: dict[str, str] = {
                cast(48 as bigint) as n_expected, cast(octet_length(from_base64(data)) as integer) as n_bytes
         from good
         union all
-        select 'document', doc_id, 1, octet_length(encode(text)), 0, 1, octet_length(encode(text)),
-               octet_length(encode(text))
+        select 'document', doc_id, 1, cast(octet_length(encode(text)) as integer), 0, 1,
+               octet_length(encode(text)), cast(octet_length(encode(text)) as integer)
         from documents
         union all
-        select 'embedding', vec_id, 8, 8, 0, 1, 64, len(embedding) from embeddings""",
+        select 'embedding', vec_id, 8, 8, 0, 1, 64, cast(len(embedding) as integer) from embeddings""",
     "cameras": """with lists as (
           select c_custkey // 50 as site,
                  string_agg(' ' || c_name, ',' order by c_custkey) || ',,' as ids,
