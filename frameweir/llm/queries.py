@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frameweir.llm import quality, rules, secrets, simhash, toxicity
+from frameweir.llm import decontaminate, lines, mixing, quality, rules, secrets, simhash, toxicity
 from frameweir.llm.common import remainder, table
 
 
@@ -13,6 +13,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents")).drop("confirmed")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("items", "spans")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return rules.judge(docs, rules.fit_forest(docs, table(spark, sf_dir, "labels")))
@@ -24,6 +29,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_texts(docs, scorer).withColumn("held_out", part == 2)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("posterior")
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), length=3, max_bits=3)
 
@@ -36,10 +49,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_decontaminate": op2_decontaminate,
     "op3_quality_rules": op3_quality_rules,
     "op5_toxicity": op5_toxicity,
+    "op6_mixing": op6_mixing,
+    "op7_line_dedup": op7_line_dedup,
     "op8_simhash": op8_simhash,
     "op10_quality": op10_quality,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_decontaminate": decontaminate.ORACLE,
+    "op6_mixing": mixing.ORACLE,
+    "op7_line_dedup": lines.ORACLE,
+}
