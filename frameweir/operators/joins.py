@@ -10,9 +10,6 @@ from frameweir.session import stored
 # Largest table that is sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Number of copies of the looked-up table in the salted join.
-SALTS = 32
-
 
 def table_bytes(df: DataFrame) -> int:
     """Size of a table as text, an upper guide for its size in memory."""
@@ -24,20 +21,17 @@ def lookup_join(
     big: DataFrame,
     small: DataFrame,
     keys: list[str],
-    spread: list[str],
     limit: int = BROADCAST_BYTES,
     is_stored: bool = False,
 ) -> DataFrame:
     """Left join of `big` to `small`, which has one row per `keys`.
 
     `small` is computed (unless it is a stored table) and measured first. Up to
-    `limit` bytes it is broadcast, so that `big` does not move. Beyond that
-    both sides are shuffled, with the rows of a key spread over salts taken
-    from the columns `spread`, so that one hot key does not end up in one task.
+    `limit` bytes it is broadcast, so that `big` does not move. Beyond that both
+    sides are shuffled by the keys; rows of a hot key are on the side of `big`
+    only, where the adaptive skew join splits them.
     """
     small = small if is_stored else stored(small, "lookup")
     if table_bytes(small) <= limit:
         return big.join(F.broadcast(small), keys, "left")
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-    return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
+    return big.join(small.hint("merge"), keys, "left")

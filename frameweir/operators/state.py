@@ -90,7 +90,7 @@ def is_saved() -> Column:
 
 def save_flags(frames: DataFrame) -> DataFrame:
     """All frames with `saved`: false for the first frame of a camera."""
-    joined = lookup_join(frames, first_frames(frames), ["cameraId"], ARRIVAL)
+    joined = lookup_join(frames, first_frames(frames), ["cameraId"])
     return joined.withColumn("saved", is_saved()).drop("first")
 
 

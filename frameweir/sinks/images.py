@@ -29,7 +29,7 @@ def last_per_path(frames: DataFrame, order: list[str]) -> DataFrame:
         .where(F.col("_n") > 1)
         .drop("_n")
     )
-    joined = lookup_join(frames, shared, ["path"], ARRIVAL)
+    joined = lookup_join(frames, shared, ["path"])
     return joined.where(F.col("_last").isNull() | (F.struct(*order) == F.col("_last"))).drop("_last")
 
 

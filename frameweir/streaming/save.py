@@ -94,7 +94,7 @@ def save_batch(
 
         seen = cameras.where(F.col("last").isNotNull())
         flagged = (
-            lookup_join(frames, seen, ["cameraId"], ARRIVAL, is_stored=True)
+            lookup_join(frames, seen, ["cameraId"], is_stored=True)
             .withColumn("saved", F.col("had_state") | ~_at("first"))
             .withColumn("is_last", _at("last"))
             .drop("first", "last")

@@ -100,7 +100,7 @@ def test_lookup_join_is_the_same_either_way(spark, limit):
     small = spark.range(40).selectExpr("concat('k', id) k", "id * 2 v").unionAll(
         spark.sql("select 'hot' k, 7L v")
     )
-    got = lookup_join(big, small, ["k"], ["id"], limit=limit)
+    got = lookup_join(big, small, ["k"], limit=limit)
     assert sorted(map(tuple, got.collect()), key=str) == sorted(
         map(tuple, big.join(small, ["k"], "left").collect()), key=str
     )
