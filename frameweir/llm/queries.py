@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frameweir.llm import decontaminate, lines, mixing, quality, rules, secrets, simhash, toxicity
+from frameweir.llm import decontaminate, lines, lm, mixing, pii, quality, rules, secrets, simhash, toxicity
 from frameweir.llm.common import remainder, table
 
 
@@ -23,6 +23,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(docs, rules.fit_forest(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 5) == 1)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, part = table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 4)
     scorer = toxicity.fit(docs, table(spark, sf_dir, "labels"), part != 2)
@@ -41,6 +45,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), length=3, max_bits=3)
 
 
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(table(spark, sf_dir, "documents")).drop("replaced")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, part = table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 5)
     model = quality.fit(docs, table(spark, sf_dir, "labels"), part != 0)
@@ -51,10 +59,12 @@ QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_decontaminate": op2_decontaminate,
     "op3_quality_rules": op3_quality_rules,
+    "op4_language_model": op4_language_model,
     "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
     "op7_line_dedup": op7_line_dedup,
     "op8_simhash": op8_simhash,
+    "op9_surrogates": op9_surrogates,
     "op10_quality": op10_quality,
 }
 
