@@ -9,6 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from frameweir.operators.joins import table_bytes
+from frameweir.session import stored
+
 # Text that is worked on at a time inside a task. Temporary arrays take up to
 # about thirty times as much; a longer text makes a piece of its own.
 PIECE_BYTES = 1 << 21
@@ -30,11 +33,29 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))
 
 
-def row_key(doc_id: Column, text: Column) -> Column:
-    """A key for one document row. Only repeats of the same id and text share it,
-    so no key is hot where ids differ."""
-    known = F.coalesce(doc_id.cast("string"), F.lit("-"))
-    return F.sha2(F.concat(known, F.lit("\n"), F.coalesce(text, F.lit(""))), 256)
+def row_id() -> Column:
+    """A key for one document row, from its doc_id and text: 128 bits of hash. Only
+    repeats of the same id and text share it, so no key is hot where ids differ."""
+    return F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "text", "doc_id").alias("b"))
+
+
+def with_row(docs: DataFrame) -> DataFrame:
+    """(row, rid, doc_id, text): all columns of `docs` inside a struct, so that they
+    meet no other names."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_id().alias("rid"), "doc_id", "text")
+
+
+def row_columns(docs: DataFrame, **other: Column) -> list[Column]:
+    """The columns of `docs` out of the struct, some of them replaced."""
+    return [other.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
+
+
+def without(rows: DataFrame, keys: DataFrame, limit: int = 16 << 20) -> DataFrame:
+    """The rows whose rid is not among `keys` (rid, each once). The keys are computed
+    and measured; up to `limit` bytes they are broadcast, more are shuffled."""
+    keys = stored(keys, "keys")
+    small = table_bytes(keys) <= limit
+    return rows.join(F.broadcast(keys) if small else keys.hint("merge"), "rid", "left_anti")
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, use: Column | None = None) -> DataFrame:

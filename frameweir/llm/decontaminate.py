@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from frameweir.llm.common import ascii_lower, row_key
+from frameweir.llm.common import ascii_lower, row_columns, row_id, with_row, without
 from frameweir.session import stored
 
 # Fixed pattern: what stands between words after A-Z were lower-cased.
@@ -106,6 +106,16 @@ def hit_windows(docs: DataFrame, windows: DataFrame, widths: list[int], gram: in
     return found
 
 
+def all_hits(docs: DataFrame, windows: DataFrame, gram: int, limit: int) -> DataFrame | None:
+    """`hit_windows` for all windows of the items; None if the items have none."""
+    widths = sorted(x[0] for x in windows.select("width").distinct().collect())  # a handful of numbers
+    if not widths:
+        return None
+    keyed = docs.select(row_id().alias("key"), "text")
+    distinct = windows.select("width", "content").distinct()
+    return stored(hit_windows(keyed, distinct, widths, gram, limit), "hits").distinct()
+
+
 def contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = 10, gram: int = 6, limit: int = BROADCAST_ROWS
 ) -> DataFrame:
@@ -121,17 +131,15 @@ def contamination(
     n_items; repeated items count once. Repeated rows get equal results, null
     ids are kept, an empty table gives an empty result.
     """
-    windows = stored(item_windows(benchmark, window), "windows")
-    distinct = windows.select("width", "content").distinct()
-    widths = sorted(x[0] for x in windows.select("width").distinct().collect())  # at most `window` numbers
-    keyed = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
+    keyed = docs.select("doc_id", row_id().alias("key"), "text")
     counted = keyed.select("doc_id", "key", F.size(words_of(F.col("text"))).cast("bigint").alias("n_words"))
     none = F.sha2(F.lit(""), 256)
-    if not widths:
+    windows = stored(item_windows(benchmark, window), "windows")
+    hits = all_hits(docs, windows, gram, limit)
+    if hits is None:
         nothing = counted.withColumn("n_hit", F.lit(0).cast("bigint"))
         nothing = nothing.withColumn("items", F.array().cast("array<string>")).withColumn("spans", no_spans())
         return finished(nothing, none)
-    hits = stored(hit_windows(keyed, distinct, widths, gram, limit), "hits").distinct()
 
     # the ranges of hit words: windows that overlap or touch become one
     order = Window.partitionBy("key").orderBy("start", "end")
@@ -159,6 +167,18 @@ def contamination(
     return finished(result, none)
 
 
+def without_contaminated(
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, gram: int = 6, limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """`docs` with all its columns, without the rows that `contamination` calls contaminated."""
+    windows = stored(item_windows(benchmark, window), "windows")
+    hits = all_hits(docs, windows, gram, limit)
+    if hits is None:
+        return docs
+    rows = without(with_row(docs), hits.select(F.col("key").alias("rid")).distinct())
+    return rows.select(*row_columns(docs))
+
+
 def no_spans() -> Column:
     return F.array().cast("array<struct<start:int,end:int>>")
 

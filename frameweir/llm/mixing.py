@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frameweir.llm.common import labelled
+from frameweir.llm.common import labelled, row_columns, with_row
 from frameweir.llm.decontaminate import words_of
 from frameweir.session import stored
 
@@ -168,14 +168,43 @@ def mix(
     """
     classifier = fit_classifier(docs, labels, max_rows)
     traits = stored(binned(docs, classifier.lexicon, ["doc_id"]), "traits")
+    steps = fit_traits(traits, classifier, targets, keep, headroom)
+    told = traits.select("doc_id", "n_tokens", classifier.posteriors().alias("posterior"))
+    return told.withColumns(decided(steps))
+
+
+def fit_traits(traits: DataFrame, classifier: Classifier, targets: dict[str, float], keep: str, headroom: float) -> list:
     cells = traits.groupBy(*BINS).agg(F.sum("n_tokens").alias("tokens"))
     cells = stored(cells.select("tokens", classifier.posteriors().alias("posterior")), "cells")
-    steps = fit_rates(cells, targets, keep, headroom)
-    told = traits.select("doc_id", "n_tokens", classifier.posteriors().alias("posterior"))
-    told = told.withColumn("rate", F.round(rate_after(steps, F.col("posterior")), 6))
+    return fit_rates(cells, targets, keep, headroom)
+
+
+def decided(steps: list[list[float]]) -> dict[str, Column]:
+    """The columns rate and copies, from doc_id and posterior."""
+    rate = F.round(rate_after(steps, F.col("posterior")), 6)
     digits = F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 6)
     part = F.conv(digits, 16, 10).cast("double") / float(16**6)
-    return told.withColumn("copies", F.floor(F.col("rate") + part).cast("int"))
+    return {"rate": rate, "copies": F.floor(rate + part).cast("int")}
+
+
+def mixed(
+    docs: DataFrame,
+    labels: DataFrame,
+    targets: dict[str, float] = TARGETS,
+    keep: str = "good",
+    headroom: float = 1.1,
+    max_rows: int = 20_000,
+) -> DataFrame:
+    """`docs` with all its columns and with `rate` and `copies` as in `mix` (columns
+    of these names are replaced), without the rows of which no copy is wanted."""
+    classifier = fit_classifier(docs, labels, max_rows)
+    traits = stored(binned(docs, classifier.lexicon, ["doc_id"]), "traits")
+    steps = fit_traits(traits, classifier, targets, keep, headroom)
+    rows = binned(with_row(docs), classifier.lexicon, ["row", "doc_id"])
+    rows = rows.select("row", "doc_id", classifier.posteriors().alias("posterior")).withColumns(decided(steps))
+    rows = rows.where("copies > 0")
+    own = docs.drop("rate", "copies")
+    return rows.select(*row_columns(own), "rate", "copies")
 
 
 def _oracle() -> str:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frameweir.llm.common import pieces, row_key, texts_of
+from frameweir.llm.common import pieces, row_id, texts_of
 from frameweir.operators.joins import lookup_join
 from frameweir.session import stored
 
@@ -275,10 +275,11 @@ def distinct_mentions(docs: DataFrame) -> DataFrame:
                 for key, text in zip(batch["key"].to_pylist(), texts_of(batch), strict=True)
                 for kind, entity in sorted({x[2:] for x in mentions(text)})
             ]
-            columns = [pa.array([x[i] for x in rows], pa.string()) for i in range(3)]
+            key = pa.array([x[0] for x in rows], batch.schema.field("key").type)
+            columns = [key, *(pa.array([x[i] for x in rows], pa.string()) for i in (1, 2))]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "kind", "entity"])
 
-    return docs.select("key", "text").mapInArrow(scan, "key string, kind string, entity string")
+    return docs.select("key", "text").mapInArrow(scan, "key struct<a:long,b:long>, kind string, entity string")
 
 
 def _attempts(entities: DataFrame, key: bytes) -> DataFrame:
@@ -334,7 +335,7 @@ def replace_entities(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     counts of zero; null ids and repeated rows are kept; an empty table gives an
     empty result. Texts are searched whole.
     """
-    keyed = docs.select("doc_id", "text", row_key(F.col("doc_id"), F.col("text")).alias("key"))
+    keyed = docs.select("doc_id", "text", row_id().alias("key"))
     found = stored(distinct_mentions(keyed), "mentions")
     state = assign(stored(found.select("kind", "entity").distinct(), "entities"), key)
     # Texts compute first attempts themselves; only the others are looked up.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from frameweir.llm import decontaminate, lines, lm, mixing, pii, quality, rules, secrets, simhash, toxicity
 from frameweir.llm.common import remainder, table
 
@@ -66,6 +67,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_surrogates": op9_surrogates,
     "op10_quality": op10_quality,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {

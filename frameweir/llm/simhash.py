@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frameweir.llm.common import id_and, pieces, texts_of
+from frameweir.llm.common import pieces, row_columns, row_id, texts_of, with_row, without
 from frameweir.llm.graph import components
 from frameweir.session import stored
 
@@ -37,15 +37,19 @@ def fingerprint(text: bytes, length: int) -> int:
     return int(np.packbits(over, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, length: int = 3) -> DataFrame:
-    """(doc_id, fp long): the fingerprint of each text as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, length: int = 3, keep: list[str] | None = None) -> DataFrame:
+    """(doc_id, columns `keep`, fp long): the fingerprint of each text as a signed
+    64-bit number."""
+    keep = ["doc_id", *(keep or [])]
+    schema = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             found = np.array([fingerprint(x.encode(), length) for x in texts_of(batch)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            columns = [*(batch[c] for c in keep), pa.array(found.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(measure, id_and(docs, "fp long"))
+    return docs.select(*keep, "text").mapInArrow(measure, f"{schema}, fp long")
 
 
 # ---- links --------------------------------------------------------------------------
@@ -155,14 +159,39 @@ def near_duplicates(docs: DataFrame, length: int = 3, max_bits: int = 3, blocks:
     has a null name. Repeated rows are kept; an empty table gives an empty result.
     """
     own = stored(fingerprints(docs, length), "fingerprints")
+    named = grouped(own, max_bits, blocks).select("fp", "component_id")
+    return own.join(named, "fp").select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def grouped(own: DataFrame, max_bits: int, blocks: int) -> DataFrame:
+    """(fp, root, component_id): for each fingerprint of `own` (doc_id, fp) its
+    component, by the smallest fingerprint and by the smallest id in it."""
     distinct = stored(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = components(links(distinct.select("fp"), blocks, max_bits))
     named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "root").select("fp", "component_id")
-    return own.join(named, "fp").select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+    return named.join(least, "root").select("fp", "root", "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, length: int = 3, max_bits: int = 3, blocks: int = 6) -> DataFrame:
+    """`docs` with all its columns, and of each component one row: that of the smallest
+    id, nulls last, then of the smallest row hash. A row that is there twice with
+    id and text is kept once."""
+    rows = with_row(docs)
+    own = stored(fingerprints(docs.select("doc_id", "text", row_id().alias("rid")), length, ["rid"]), "fingerprints")
+    named = grouped(own, max_bits, blocks).select("fp", "root")
+    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("rid"))
+    placed = stored(own.join(named, "fp").select("root", "rid", place.alias("place")), "placed")
+    first = placed.groupBy("root").agg(F.min("place").alias("first"))
+    again = placed.join(first, "root").where("place > first").select("rid").distinct()
+    kept = without(rows, again).drop("doc_id", "text")
+    twice = placed.groupBy("rid").count().where("count > 1").select("rid")
+    if twice.take(1):
+        once = without(kept, twice)
+        kept = once.unionByName(kept.join(twice, "rid", "left_semi").dropDuplicates(["rid"]))
+    return kept.select(*row_columns(docs))
 
 
 def hex_digits(value: Column) -> Column:
