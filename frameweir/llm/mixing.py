@@ -166,25 +166,30 @@ def mix(
     equal results; an empty table gives an empty result; without tokens, or
     where targets cannot be met, rates stay at 1 or come as near as they can.
     """
-    classifier = fit_classifier(docs, labels, max_rows)
-    traits = stored(binned(docs, classifier.lexicon, ["doc_id"]), "traits")
-    steps = fit_traits(traits, classifier, targets, keep, headroom)
-    told = traits.select("doc_id", "n_tokens", classifier.posteriors().alias("posterior"))
-    return told.withColumns(decided(steps))
+    lexicon, traits, cells = fit(docs, labels, targets, keep, headroom, max_rows)
+    told = traits.join(F.broadcast(cells), [*BINS])
+    return told.select("doc_id", "n_tokens", "posterior", "rate", copies().alias("copies"))
 
 
-def fit_traits(traits: DataFrame, classifier: Classifier, targets: dict[str, float], keep: str, headroom: float) -> list:
+def fit(
+    docs: DataFrame, labels: DataFrame, targets: dict[str, float], keep: str, headroom: float, max_rows: int
+) -> tuple[list[str], DataFrame, DataFrame]:
+    """The words to look for; (doc_id, n_tokens, bins) of each row; and for each
+    combination of bins, of which there are at most 768, posterior and rate."""
+    classifier = fit_classifier(docs, labels, max_rows)
+    traits = stored(binned(docs, classifier.lexicon, ["doc_id"]), "traits")
     cells = traits.groupBy(*BINS).agg(F.sum("n_tokens").alias("tokens"))
-    cells = stored(cells.select("tokens", classifier.posteriors().alias("posterior")), "cells")
-    return fit_rates(cells, targets, keep, headroom)
+    cells = stored(cells.withColumn("posterior", classifier.posteriors()), "cells")
+    steps = fit_rates(cells, targets, keep, headroom)
+    rate = F.round(rate_after(steps, F.col("posterior")), 6)
+    return classifier.lexicon, traits, stored(cells.select(*BINS, "posterior", rate.alias("rate")), "rates")
 
 
-def decided(steps: list[list[float]]) -> dict[str, Column]:
-    """The columns rate and copies, from doc_id and posterior."""
-    rate = F.round(rate_after(steps, F.col("posterior")), 6)
+def copies() -> Column:
+    """The rate rounded up or down by the hash of the id, in proportion."""
     digits = F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 6)
     part = F.conv(digits, 16, 10).cast("double") / float(16**6)
-    return {"rate": rate, "copies": F.floor(rate + part).cast("int")}
+    return F.floor(F.col("rate") + part).cast("int")
 
 
 def mixed(
@@ -197,14 +202,10 @@ def mixed(
 ) -> DataFrame:
     """`docs` with all its columns and with `rate` and `copies` as in `mix` (columns
     of these names are replaced), without the rows of which no copy is wanted."""
-    classifier = fit_classifier(docs, labels, max_rows)
-    traits = stored(binned(docs, classifier.lexicon, ["doc_id"]), "traits")
-    steps = fit_traits(traits, classifier, targets, keep, headroom)
-    rows = binned(with_row(docs), classifier.lexicon, ["row", "doc_id"])
-    rows = rows.select("row", "doc_id", classifier.posteriors().alias("posterior")).withColumns(decided(steps))
-    rows = rows.where("copies > 0")
-    own = docs.drop("rate", "copies")
-    return rows.select(*row_columns(own), "rate", "copies")
+    lexicon, _, cells = fit(docs, labels, targets, keep, headroom, max_rows)
+    rows = binned(with_row(docs), lexicon, ["row", "doc_id"]).join(F.broadcast(cells), [*BINS])
+    rows = rows.withColumn("copies", copies()).where("copies > 0")
+    return rows.select(*row_columns(docs.drop("rate", "copies")), "rate", "copies")
 
 
 def _oracle() -> str:
