@@ -23,7 +23,8 @@ from frameweir.llm.common import pieces, texts_of
 from frameweir.llm.words import Words, mix
 from frameweir.session import stored
 
-BLOCK_BYTES = 16 << 20  # text of a block
+BLOCK_BYTES = 4 << 20  # text of a block
+RANGE_TOKENS = 1 << 20  # tokens of the corpus for each range of hashes
 END = np.uint64(0x5EED_0F_7EC7)  # the token behind a text
 BUCKETS = 24  # context frequencies, by powers of two
 TUNING = 20  # one in so many training documents is the held-out part of the EM
@@ -54,7 +55,7 @@ def unpack(data: bytes, kind: type, is_sorted: bool = False) -> np.ndarray:
 
 BLOCK = (
     "block string, tuning boolean, doc_ids array<{id}>, held_out array<boolean>, "
-    "sizes array<int>, words binary, tokens binary"
+    "sizes array<int>, n_tokens long, words binary, tokens binary"
 )
 
 
@@ -78,6 +79,7 @@ def make_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
                 "doc_ids": pa.ListArray.from_arrays([0, sum(len(x[1]) for x in waiting[tuning])], pa.concat_arrays([x[1] for x in waiting[tuning]])),
                 "held_out": pa.array([[y for x in waiting[tuning] for y in x[2]]], pa.list_(pa.bool_())),
                 "sizes": pa.array([np.concatenate([x[3] for x in waiting[tuning]])], pa.list_(pa.int32())),
+                "n_tokens": pa.array([len(tokens)], pa.int64()),
                 "words": pa.array([pack(words, is_sorted=True)], pa.binary()),
                 "tokens": pa.array([pack(tokens.astype(np.uint32))], pa.binary()),
             }
@@ -85,7 +87,7 @@ def make_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
             waiting[tuning], size[tuning] = [], 0
             return pa.RecordBatch.from_pydict(row)
 
-        for batch in pieces(batches):
+        for batch in pieces(batches, 1 << 20):
             for tuning in (False, True):
                 own = batch.filter(pa.compute.equal(batch["tuning"], tuning))
                 if not own.num_rows:
@@ -300,7 +302,8 @@ def score_texts(docs: DataFrame, held_out: Column, block_bytes: int = BLOCK_BYTE
     tuning = ~held_out & (F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(TUNING)) == 0)
     own = docs.select("doc_id", "text", held_out.alias("held_out"), tuning.alias("tuning"))
     blocks = stored(make_blocks(own, block_bytes), "blocks")
-    parts = max(1, blocks.count())  # as many ranges as blocks: neither gets larger with the input
+    n_tokens = blocks.agg(F.sum("n_tokens")).first()[0] or 0
+    parts = 1 + n_tokens // RANGE_TOKENS  # neither blocks nor ranges get larger with the input
     told = stored(tell(ask(blocks, parts)), "told")
     tokens, types, held = (x or 0 for x in told.agg(F.sum("tokens"), F.sum("types"), F.sum("tuning_tokens")).first())
     floor = 1.0 / (types + 1)
