@@ -19,8 +19,8 @@ def depth(code: Column) -> Column:
 
 
 def byte_count(rows: Column, cols: Column, code: Column) -> Column:
-    """Payload size of an 8-bit frame."""
-    return rows.cast("bigint") * cols * channels(code)
+    """Payload size of an 8-bit frame; null where a size is beyond 64 bits."""
+    return F.try_multiply(F.try_multiply(rows.cast("bigint"), cols), channels(code).cast("bigint"))
 
 
 def encode_base64(data: Column) -> Column:

@@ -82,3 +82,24 @@ def png_bytes(frame: np.ndarray, level: int = 3) -> bytes | None:
         + _chunk(b"IDAT", zlib.compress(lines.tobytes(), level))
         + _chunk(b"IEND", b"")
     )
+
+
+def png_pixels(file: bytes) -> tuple[int, int, int, bytes]:
+    """Width, height, channels and pixels of an image file as `png_bytes` writes it:
+    8 bits, lines without a filter. ValueError for anything else."""
+    if file[:8] != PNG_SIGNATURE or file[12:16] != b"IHDR":
+        raise ValueError("no such image")
+    cols, rows, bits, colour = struct.unpack(">IIBB", file[16:26])
+    count = next((n for n, code in PNG_COLOUR.items() if code == colour), 0)
+    at, body = 8, b""
+    while at < len(file):
+        (size,) = struct.unpack(">I", file[at : at + 4])
+        kind, part = file[at + 4 : at + 8], file[at + 8 : at + 8 + size]
+        if struct.pack(">I", zlib.crc32(kind + part)) != file[at + 8 + size : at + 12 + size]:
+            raise ValueError("bad check sum")
+        body += part if kind == b"IDAT" else b""
+        at += 12 + size
+    lines = np.frombuffer(zlib.decompress(body), np.uint8).reshape(rows, 1 + cols * count)
+    if bits != 8 or not count or lines[:, 0].any():
+        raise ValueError("not written here")
+    return cols, rows, count, lines[:, 1:].tobytes()

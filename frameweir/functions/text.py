@@ -23,7 +23,11 @@ def stamp_text(at: Column | None = None) -> Column:
     """Time as `yyyy-MM-dd HH:mm:ss.f`: whole milliseconds, trailing zeros cut,
     at least one digit. Takes the wall clock when no column is given; a given
     column makes a run repeatable."""
-    text = (wall_clock() if at is None else at).cast("string")
+    if at is None:
+        # A lambda's variable is read once, however often it is used: seconds
+        # and milliseconds come from one look at the clock.
+        return F.get(F.transform(F.array(wall_clock()), stamp_text), F.lit(0))
+    text = at.cast("string")
     # The cast drops trailing zeros already, but only of the microseconds.
     millis = F.rtrim(F.substring(F.split_part(text, F.lit("."), F.lit(2)), 1, 3), F.lit("0"))
     return F.concat(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from frameweir.functions.frames import byte_at, channels
-from frameweir.functions.pixels import png_bytes, resize_block
+from frameweir.functions.pixels import png_bytes, png_pixels, resize_block
 
 # Pixel bytes a task handles at a time.
 BLOCK_BYTES = 16 * 1024 * 1024
@@ -26,7 +26,7 @@ def decode_frames(frames: DataFrame) -> DataFrame:
 def frame_pixels(frames: DataFrame, keys: list[str]) -> DataFrame:
     """One row per pixel value of each decoded frame: `y`, `x`, `channel`,
     `value`."""
-    line = F.col("cols") * channels(F.col("type"))
+    line = F.col("cols").cast("bigint") * channels(F.col("type"))
     place = F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - 1)).alias("_p")
     return (
         frames.where(F.octet_length("bytes") > 0)
@@ -110,3 +110,44 @@ def add_png(frames: DataFrame) -> DataFrame:
             yield _replace(batch.select(names), {"png": png})
 
     return frames.mapInArrow(run, schema)
+
+
+def png_contents(images: DataFrame) -> DataFrame:
+    """Replace the image file `png` by what it shows: `width`, `height`, `channels`
+    and the `pixels` in the order of the file, as hex."""
+    kept = [field for field in images.schema.fields if field.name != "png"]
+    names = [field.name for field in kept]
+    shown = [("width", pa.int32()), ("height", pa.int32()), ("channels", pa.int32()), ("pixels", pa.string())]
+    schema = T.StructType([*kept, *[T.StructField(name, T.IntegerType()) for name, _ in shown[:3]], T.StructField("pixels", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [png_pixels(file) for file in batch.column("png").to_pylist()]
+            found = [(*facts, pixels.hex().upper()) for *facts, pixels in found]
+            columns = {name: pa.array([x[i] for x in found], kind) for i, (name, kind) in enumerate(shown)}
+            yield _replace(batch.select(names), columns)
+
+    return images.mapInArrow(run, schema)
+
+
+# The places of the second sum below count up to this prime and start again.
+PLACES = 65521
+
+
+def pixel_sums(frames: DataFrame, keys: list[str]) -> DataFrame:
+    """Two sums over the payload of each decoded frame: `total` of the bytes, and
+    `placed` of the bytes times their places. They tell frames apart that a
+    query language can also compute."""
+    schema = T.StructType([frames.schema[k] for k in keys]).add("total", T.LongType()).add("placed", T.LongType())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total, placed = [], []
+            for payload in batch.column("bytes"):
+                values = np.frombuffer(payload.as_buffer(), np.uint8).astype(np.int64)
+                total.append(int(values.sum()))
+                placed.append(int((values * (np.arange(len(values)) % PLACES)).sum()))
+            columns = {"total": pa.array(total, pa.int64()), "placed": pa.array(placed, pa.int64())}
+            yield _replace(batch.select(keys), columns)
+
+    return frames.select(*keys, "bytes").mapInArrow(run, schema)

@@ -21,17 +21,21 @@ def lookup_join(
     big: DataFrame,
     small: DataFrame,
     keys: list[str],
+    how: str = "left",
     limit: int = BROADCAST_BYTES,
     is_stored: bool = False,
+    folder: str | None = None,
 ) -> DataFrame:
-    """Left join of `big` to `small`, which has one row per `keys`.
-
-    `small` is computed (unless it is a stored table) and measured first. Up to
-    `limit` bytes it is broadcast, so that `big` does not move. Beyond that both
-    sides are shuffled by the keys; rows of a hot key are on the side of `big`
-    only, where the adaptive skew join splits them.
+    """Join of `big` to `small`, which has one row per `keys`; `how` is left, inner,
+    left_semi or left_anti.
+
+    `small` is computed (unless it is a stored table) and measured first, in
+    `folder` if one is given, which is overwritten. Up to `limit` bytes it is
+    broadcast, so that `big` does not move. Beyond that both sides are shuffled
+    by the keys; the rows of a hot key are on the side of `big` only, where the
+    adaptive skew join splits them.
     """
-    small = small if is_stored else stored(small, "lookup")
-    if table_bytes(small) <= limit:
-        return big.join(F.broadcast(small), keys, "left")
-    return big.join(small.hint("merge"), keys, "left")
+    if not is_stored:
+        small = stored(small, "lookup", folder)
+    small = F.broadcast(small) if table_bytes(small) <= limit else small.hint("merge")
+    return big.join(small, keys, how)

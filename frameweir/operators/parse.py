@@ -38,7 +38,8 @@ def _reason() -> Column:
         .when(~is_base64(F.col("data")), "bad base64")
         .when((F.col("rows") < 0) | (F.col("cols") < 0), "bad length")
         .when(
-            base64_bytes(F.col("data")) != byte_count(F.col("rows"), F.col("cols"), F.col("type")),
+            # A size that overflows is null, and no payload has it.
+            ~base64_bytes(F.col("data")).eqNullSafe(byte_count(F.col("rows"), F.col("cols"), F.col("type"))),
             "bad length",
         )
     )
@@ -75,6 +76,12 @@ def bad_messages(parsed: DataFrame) -> DataFrame:
     return rows.select(*_carried(parsed), "message", "reason")
 
 
+def refuse_bad(parsed: DataFrame) -> DataFrame:
+    """`parse_messages` that fails the job on the first bad message."""
+    text = F.concat(F.lit("bad frame message: "), F.col("reason"))
+    return parsed.withColumn("reason", F.when(F.col("reason").isNotNull(), F.raise_error(text)))
+
+
 def frames(records: DataFrame, strict: bool = False) -> DataFrame:
     """The good frames of topic records.
 
@@ -82,10 +89,7 @@ def frames(records: DataFrame, strict: bool = False) -> DataFrame:
     fails the job instead.
     """
     parsed = parse_messages(records)
-    if strict:
-        text = F.concat(F.lit("bad frame message: "), F.col("reason"))
-        parsed = parsed.withColumn("reason", F.when(F.col("reason").isNotNull(), F.raise_error(text)))
-    return good_frames(parsed)
+    return good_frames(refuse_bad(parsed) if strict else parsed)
 
 
 def rejects(records: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from frameweir.operators.joins import lookup_join
 from frameweir.schema import ARRIVAL
 
 
@@ -19,10 +20,7 @@ def key_value_line() -> Column:
 
 def first_of_batch(records: DataFrame) -> DataFrame:
     """The first record of each batch, by partition and offset; the others are
-    skipped. Each task keeps one row per batch before the shuffle."""
-    fields = [name for name in records.columns if name != "batch_id"]
-    return (
-        records.groupBy("batch_id")
-        .agg(F.min_by(F.struct(*fields), F.struct(*ARRIVAL)).alias("first"))
-        .select("batch_id", "first.*")
-    )
+    skipped. The firsts are found on narrow columns and looked up, so that no
+    payload is sorted or shuffled."""
+    first = records.groupBy("batch_id").agg(F.min(F.struct(*ARRIVAL)).alias("first"))
+    return lookup_join(records, first.select("batch_id", "first.*"), ["batch_id", *ARRIVAL], "left_semi")

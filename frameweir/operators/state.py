@@ -12,24 +12,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameweir.operators.joins import lookup_join
-from frameweir.schema import ARRIVAL, FRAME_FIELDS, FRAME_ORDER, HISTORY_ORDER
+from frameweir.schema import FRAME_FIELDS, FRAME_ORDER, HISTORY_ORDER
 from frameweir.session import stored
 
 _GROUP = ["cameraId", "batch_id"]
 
 
-def last_per_batch(frames: DataFrame, fields: list[str]) -> DataFrame:
-    """`fields` of the last frame of each camera and batch, and the number of
+def last_per_batch(frames: DataFrame) -> DataFrame:
+    """The place of the last frame of each camera and batch, and the number of
     frames. Each task reduces its rows before the shuffle, so a hot camera
-    sends one row per task."""
-    return (
-        frames.groupBy(*_GROUP)
-        .agg(
-            F.max_by(F.struct(*fields), F.struct(*FRAME_ORDER)).alias("last"),
-            F.count(F.lit(1)).alias("n_frames"),
-        )
-        .select(*_GROUP, "last.*", "n_frames")
-    )
+    sends one narrow row per task."""
+    last = F.max(F.struct(*FRAME_ORDER)).alias("last")
+    return frames.groupBy(*_GROUP).agg(last, F.count(F.lit(1)).alias("n_frames"))
 
 
 def _state_before() -> tuple[Column, Column]:
@@ -40,17 +34,20 @@ def _state_before() -> tuple[Column, Column]:
     return had_state.alias("had_state"), F.lag("timestamp").over(history).alias("prev_timestamp")
 
 
-def emit_per_batch(frames: DataFrame) -> DataFrame:
+def emit_per_batch(frames: DataFrame, is_stored: bool = False) -> DataFrame:
     """The emitted row of each camera and batch, payload included.
 
-    The frames are read once, down to the emitted rows. The window over a
-    camera's history then sees narrow rows only, one per batch.
+    The frames are landed once (unless they are a stored table). The emitted
+    rows are found on narrow columns, of which the window over a camera's
+    history sees one row per batch, and looked up in the frames.
     """
-    fields = [name for name in FRAME_FIELDS if name != "cameraId"]
-    last = stored(last_per_batch(frames, [*fields, *ARRIVAL]), "emitted")
-    before = last.select(*_GROUP, *_state_before())
+    frames = frames if is_stored else stored(frames, "frames")
+    last = last_per_batch(frames).select(*_GROUP, "last.*", "n_frames")
+    last = last.select("*", *_state_before())
     n_saved = F.col("n_frames") - F.when(F.col("had_state"), 0).otherwise(1)
-    return last.join(before, _GROUP).withColumn("n_saved", n_saved)
+    last = last.withColumn("n_saved", n_saved)
+    payload = [name for name in FRAME_FIELDS if name not in ("cameraId", "timestamp")]
+    return lookup_join(frames.select(*_GROUP, *FRAME_ORDER, *payload), last, [*_GROUP, *FRAME_ORDER], "inner")
 
 
 def frames_per_batch(frames: DataFrame) -> DataFrame:
@@ -65,14 +62,14 @@ def previous_timestamp(frames: DataFrame) -> DataFrame:
     return last.select(*_GROUP, *_state_before())
 
 
-def final_state(frames: DataFrame) -> DataFrame:
-    """The state of each camera after its latest batch."""
-    fields = [name for name in FRAME_FIELDS if name != "cameraId"]
-    return (
-        frames.groupBy("cameraId")
-        .agg(F.max_by(F.struct("batch_id", *fields, *ARRIVAL), F.struct(*HISTORY_ORDER)).alias("last"))
-        .select("cameraId", "last.*")
-    )
+def final_state(frames: DataFrame, is_stored: bool = False) -> DataFrame:
+    """The state of each camera after its latest batch, payload included; found as
+    in `emit_per_batch`."""
+    frames = frames if is_stored else stored(frames, "frames")
+    last = frames.groupBy("cameraId").agg(F.max(F.struct(*HISTORY_ORDER)).alias("last")).select("cameraId", "last.*")
+    payload = [name for name in FRAME_FIELDS if name not in ("cameraId", "timestamp")]
+    wide = frames.select("cameraId", *HISTORY_ORDER, *payload)
+    return lookup_join(wide, last, ["cameraId", *HISTORY_ORDER], "left_semi")
 
 
 def first_frames(frames: DataFrame) -> DataFrame:

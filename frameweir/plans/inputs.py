@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameweir.functions.frames import encode_base64, frame_json
-from frameweir.session import spread
 
-TOPIC = "video-stream-event"
+TOPIC = "frames-replayed"
 
 # Offsets of the derived topic: the events shuffled, so that batches are late
 # and times tie. Each run of PERIOD events fills PERIOD offsets.
@@ -21,11 +20,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table whose rows are costly to handle, spread over all cores."""
-    return spread(table(spark, folder, name))
-
-
 def event_records(spark: SparkSession, folder: str) -> DataFrame:
     """Topic records, one per event, tagged with the batch they arrive in.
 
@@ -39,10 +33,12 @@ def event_records(spark: SparkSession, folder: str) -> DataFrame:
     digest = F.sha2(F.col("event_id").cast("string"), 256)
     pixels = encode_base64(F.encode(F.substring(digest, F.lit(1), size), "UTF-8"))
     data = F.when(every(107), F.concat(F.lit("***"), pixels)).otherwise(pixels)
-    code = F.when(every(127), 18).otherwise(16)
+    huge = every(131)  # a geometry whose size is beyond 64 bits
+    code = F.when(huge, 2147483640).when(every(127), 18).otherwise(16)
+    side = F.when(huge, 2147483647).otherwise(4)
 
     def message(rows):
-        return frame_json(camera, hour, rows, F.lit(4), code, data)
+        return frame_json(camera, hour, rows, side, code, data)
 
     value = (
         F.when(every(101), F.col("event_type"))
@@ -50,11 +46,11 @@ def event_records(spark: SparkSession, folder: str) -> DataFrame:
         .when(every(103) & every(2), "")
         .when(every(103), None)
         .when(every(113), message(F.lit("4")))
-        .otherwise(message(F.lit(4)))
+        .otherwise(message(side))
     )
     lap = F.floor(F.col("event_id") / PERIOD)
     return (
-        scan(spark, folder, "events")
+        table(spark, folder, "events")
         .withColumn("offset", F.col("event_id") * STRIDE % PERIOD + lap * PERIOD)
         .select(
             F.when(~every(89), camera).cast("binary").alias("key"),
@@ -72,7 +68,7 @@ def event_records(spark: SparkSession, folder: str) -> DataFrame:
 def document_frames(spark: SparkSession, folder: str) -> DataFrame:
     """Each document's bytes as a gray frame of one row."""
     data = F.encode(F.col("text"), "UTF-8")
-    return scan(spark, folder, "documents").select(
+    return table(spark, folder, "documents").select(
         F.concat(F.lit("doc-"), "source").alias("cameraId"),
         F.col("doc_id").alias("frame_id"),
         F.lit(1).alias("rows"),
@@ -91,7 +87,7 @@ def _pixel(place):
 def embedding_frames(spark: SparkSession, folder: str) -> DataFrame:
     """Each embedding of 64 numbers as a gray frame of 8 x 8 pixels."""
     values = F.transform("embedding", lambda v: F.lpad(F.hex(_pixel(v)), 2, "0"))
-    return scan(spark, folder, "embeddings").select(
+    return table(spark, folder, "embeddings").select(
         F.concat(F.lit("cam-"), "label").alias("cameraId"),
         F.col("vec_id").alias("frame_id"),
         F.lit(8).alias("rows"),

@@ -14,15 +14,16 @@ base as (
                         case when event_id % 109 = 0 then 40 else 48 end))) as data
   from events),
 msg as (
-  select *, cast("offset" // 100001 as integer) as batch_id, 'video-stream-event' as topic,
+  select *, cast("offset" // 100001 as integer) as batch_id, 'frames-replayed' as topic,
          case when event_id % 89 <> 0 then camera end as key,
          case when event_id % 101 = 0 then event_type
               when event_id % 97 = 0 then props
               when event_id % 206 = 0 then ''
               when event_id % 103 = 0 then null
               else '{"cameraId":"' || camera || '","timestamp":"' || stamp || '","rows":'
-                   || (case when event_id % 113 = 0 then '"4"' else '4' end) || ',"cols":4,"type":'
-                   || (case when event_id % 127 = 0 then '18' else '16' end)
+                   || (case when event_id % 113 = 0 then '"4"' when event_id % 131 = 0 then '2147483647' else '4' end)
+                   || ',"cols":' || (case when event_id % 131 = 0 then '2147483647' else '4' end) || ',"type":'
+                   || (case when event_id % 131 = 0 then '2147483640' when event_id % 127 = 0 then '18' else '16' end)
                    || ',"data":"' || data || '"}'
          end as message
   from base)
@@ -48,7 +49,7 @@ judged as (
     when "type" & 7 <> 0 then 'bad type'
     when not regexp_full_match(data, '([A-Za-z0-9+/]{4})*([A-Za-z0-9+/]{2}(==)?|[A-Za-z0-9+/]{3}=?)?')
       then 'bad base64'
-    when length(rtrim(data, '=')) * 3 // 4 <> "rows" * cols * (("type" >> 3) + 1) then 'bad length'
+    when length(rtrim(data, '=')) * 3 // 4 <> cast("rows" as hugeint) * cols * (("type" >> 3) + 1) then 'bad length'
     end as reason
   from field),
 good as (
@@ -148,12 +149,48 @@ whole as (
 """
 
 
+# Two sums over the 300,000 pixels of each frame. Per frame and column, the eight
+# source values lie in a list; each line takes its four from there.
+_VGA = f"""with {_GRAY},
+{_axis("wy", 8, 480)},
+{_axis("wx", 8, 640)},
+wide as (
+  select frame_id, y, wx.i as x, cast(sum(v * w) as bigint) as v from gray join wx on wx.k = x group by all),
+down as (select frame_id, x, list(v order by y) as vs from wide group by all),
+line as (select i, list(k + 1 order by k) as ks, list(w order by k) as ws from wy group by i),
+big as (
+  select frame_id, i * 640 + x as place,
+         greatest(0, least(255, (vs[ks[1]] * ws[1] + coalesce(vs[ks[2]] * ws[2], 0) + coalesce(vs[ks[3]] * ws[3], 0)
+           + coalesce(vs[ks[4]] * ws[4], 0) + 2097152) // 4194304)) as v
+  from down cross join line)
+select frame_id, 480 as "rows", 640 as cols, 0 as "type", cast(sum(v) as bigint) as total,
+       cast(sum(v * (place % 65521)) as bigint) as placed
+from big group by frame_id"""
+
+
 _STAMP = "regexp_replace(strftime({at}, '%Y-%m-%d %H:%M:%S.%g'), '0{{1,2}}$', '')"
 
-_HEADER = """
-  '89504E470D0A1A0A' as signature, 4 as width, 4 as height, 8 as bit_depth, 2 as colour_type, true as header_ok
+# What the image file of a frame of three channels shows: the channels swapped.
+_SHOWN = """
+  batch_id, "partition", "offset", cols as width, "rows" as height, 3 as channels,
+  (select string_agg(substr(h, 6 * p + 5, 2) || substr(h, 6 * p + 3, 2) || substr(h, 6 * p + 1, 2), '' order by p)
+   from (select unnest(range(len(h) // 6)) as p)) as pixels
 """
 
+_EXPORTED = (
+    _EMITTED
+    + """,
+pathed as (
+  select *, '/out/' || "cameraId" || '-T-' || regexp_replace("timestamp", '[ .:]', '-', 'g') || '.png' as path,
+         hex(from_base64(data)) as h
+  from numbered where saved),
+latest as (
+  select *, row_number() over (partition by path
+              order by batch_id desc, "timestamp" desc, "partition" desc, "offset" desc) as nr from pathed)
+"""
+)
+_EXPORT_SQL = f"with {_EXPORTED} select path, {_SHOWN} from latest where nr = 1"
+
 _LINE = "'Key: ' || coalesce(key, 'null') || ';Value: ' || coalesce(message, 'null')"
 
 _EMIT_SQL = f"with {_EMITTED} select * from emitted"
@@ -210,8 +247,8 @@ ORACLE: dict[str, str] = {
                || '.png' as path
         from events""",
     "geometry": f"""with {_FRAMES}
-        select 'event' as frame_set, "offset" as frame_id, "rows", cols, "type", 3 as channels,
-               cast(48 as bigint) as n_expected, cast(octet_length(from_base64(data)) as integer) as n_bytes
+        select 'event' as frame_set, "offset" as frame_id, "rows", cols, "type", ("type" >> 3) + 1 as channels,
+               cast("rows" * cols * (("type" >> 3) + 1) as bigint) as n_expected, cast(octet_length(from_base64(data)) as integer) as n_bytes
         from good
         union all
         select 'document', doc_id, 1, cast(octet_length(encode(text)) as integer), 0, 1,
@@ -245,6 +282,7 @@ ORACLE: dict[str, str] = {
         select frame_id as "offset", 8 as "rows", 8 as cols, 16 as "type", pixels from whole""",
     "resize_embeddings": f"""with {_GRAY} {_resized('gray', (8, 8), (12, 20))}
         select frame_id, 12 as "rows", 20 as cols, 0 as "type", pixels from whole""",
+    "resize_vga": _VGA,
     "collected": f"""with {_GRAY} {_resized('gray', (8, 8), (16, 16))},
         stamped as (
           select vec_id as frame_id, 'cam-' || label as key,
@@ -272,13 +310,23 @@ ORACLE: dict[str, str] = {
         select "cameraId", batch_id, "timestamp", "rows", cols, "type", data, "partition", "offset"
         from emitted e
         where batch_id = (select max(batch_id) from good g where g."cameraId" = e."cameraId")""",
-    "export_saved": f"""with {_EMITTED}
-        select distinct '/out/' || "cameraId" || '-T-' || regexp_replace("timestamp", '[ .:]', '-', 'g')
-               || '.png' as path, {_HEADER}
-        from numbered where saved""",
-    "export_sampled": f"""with {_FRAMES} {_FIRST.format(source='judged')}
-        select distinct '/out/' || "cameraId" || '-T-' || "timestamp" || '.png' as path, {_HEADER}
-        from first_rec where reason is null""",
+    "export_saved": _EXPORT_SQL,
+    "export_sampled": f"""with {_FRAMES} {_FIRST.format(source='judged')},
+        pathed as (
+          select *, '/out/' || "cameraId" || '-T-' || "timestamp" || '.png' as path, hex(from_base64(data)) as h
+          from first_rec where reason is null),
+        latest as (
+          select *, row_number() over (partition by path
+                      order by batch_id desc, "partition" desc, "offset" desc) as nr from pathed)
+        select path, {_SHOWN} from latest where nr = 1""",
+    "stream_export": _EXPORT_SQL,
+    "stream_rejects": f"""with {_FRAMES}
+        select topic, "partition", "offset", batch_id, message, reason
+        from judged where reason is not null""",
+    "stream_state": f"""with {_EMITTED}
+        select "cameraId", batch_id, "timestamp", "partition", "offset", n_frames, had_state,
+               prev_timestamp, n_saved, true as task_ok
+        from emitted""",
     "stream_emit": _EMIT_SQL,
     "stream_save": f"""with {_EMITTED}
         select n."cameraId", n.batch_id, n."timestamp", n."rows", n.cols, n."type", n.data,

@@ -17,7 +17,7 @@ from frameweir.functions.frames import (
 )
 from frameweir.functions.text import file_name, raw_file_name, stamp_text
 from frameweir.operators import state
-from frameweir.operators.images import decode_frames, frame_pixels, resize_frames
+from frameweir.operators.images import decode_frames, frame_pixels, pixel_sums, png_contents, resize_frames
 from frameweir.operators.parse import frames, parse_messages, rejects, value_to_text
 from frameweir.operators.records import first_of_batch, key_value_line
 from frameweir.plans.collector import collect_frames
@@ -30,12 +30,12 @@ from frameweir.plans.inputs import (
 )
 from frameweir.schema import HISTORY_ORDER
 from frameweir.session import new_folder, stored
-from frameweir.sinks.images import export_images
+from frameweir.sinks.images import export_images, latest_images
 from frameweir.sinks.topics import keyed_records, unkeyed_records
 from frameweir.sources.registry import camera_registry
 from frameweir.streaming.replay import replay
-from frameweir.streaming.run import per_batch, sample_first, store_emitted, store_lines
-from frameweir.streaming.save import save_batch
+from frameweir.streaming.run import per_batch, sample_first, store_emitted, store_lines, store_steps
+from frameweir.streaming.save import step_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -230,9 +230,7 @@ def resize_embeddings(spark, folder):
 @query
 def resize_vga(spark, folder):
     resized = resize_frames(embedding_frames(spark, folder))
-    return resized.select(
-        "frame_id", "rows", "cols", "type", F.octet_length("bytes").alias("n_bytes"), F.md5("bytes").alias("digest")
-    )
+    return pixel_sums(resized, ["frame_id", "rows", "cols", "type"])
 
 
 @query
@@ -279,36 +277,21 @@ def final_state(spark, folder):
 # Images
 
 
-def _image_facts(images: DataFrame) -> DataFrame:
-    """What the header of each image file says."""
-    png = F.col("png")
-
-    def number(start: int, size: int):
-        return F.conv(F.hex(F.substring(png, start, size)), 16, 10).cast("int")
-
-    return images.select(
-        "path",
-        F.hex(F.substring(png, 1, 8)).alias("signature"),
-        number(17, 4).alias("width"),
-        number(21, 4).alias("height"),
-        number(25, 1).alias("bit_depth"),
-        number(26, 1).alias("colour_type"),
-        (F.crc32(F.substring(png, 13, 17)) == F.conv(F.hex(F.substring(png, 30, 4)), 16, 10).cast("bigint")).alias("header_ok"),
-    )
+PLACE = ("batch_id", "partition", "offset")
 
 
 @query
 def export_saved(spark, folder):
-    # Three passes, of which two read the narrow columns only.
+    # Several passes, of which one reads payloads.
     landed = stored(event_frames(spark, folder), "frames")
-    return _image_facts(export_images(state.save_flags(landed).where("saved"), IMAGES))
+    saved = state.save_flags(landed).where("saved")
+    return png_contents(export_images(saved, IMAGES, keep=PLACE))
 
 
 @query
 def export_sampled(spark, folder):
     sampled = frames(first_of_batch(event_records(spark, folder)))
-    order = ["batch_id", "partition", "offset"]
-    return _image_facts(export_images(sampled, IMAGES, raw_names=True, order=order))
+    return png_contents(export_images(sampled, IMAGES, raw_names=True, order=list(PLACE), keep=PLACE))
 
 
 # Streams
@@ -318,27 +301,52 @@ def _stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
 
+def _stepped(spark: SparkSession, folder: str, name: str, **options) -> str:
+    """The folder of the per-camera step over the replayed records."""
+    out = new_folder(spark, name)
+
+    def start(records, checkpoint):
+        writer = records.writeStream.foreachBatch(step_batch(out, **options))
+        return writer.option("checkpointLocation", checkpoint)
+
+    replay(event_records(spark, folder), start)
+    return out
+
+
 @query
 def stream_emit(spark, folder):
     out = new_folder(spark, "emitted")
+    replay(event_records(spark, folder), lambda records, checkpoint: store_emitted(records, out, checkpoint, payload=True))
+    return _stored(spark, f"{out}/emitted")
 
-    def start(records, checkpoint):
-        return store_emitted(records, out, checkpoint, payload=True)
 
-    replay(event_records(spark, folder), start)
-    return _stored(spark, out).drop("task_partition")
+@query
+def stream_rejects(spark, folder):
+    out = new_folder(spark, "emitted")
+    replay(event_records(spark, folder), lambda records, checkpoint: store_emitted(records, out, checkpoint))
+    return _stored(spark, f"{out}/rejects")
+
+
+@query
+def stream_state(spark, folder):
+    """The stateful operator; `task_ok`: its rows come from the state's partitions."""
+    out = new_folder(spark, "steps")
+    replay(event_records(spark, folder), lambda records, checkpoint: store_steps(records, out, checkpoint, strict=False))
+    last = int(spark.conf.get("spark.sql.shuffle.partitions")) - 1
+    steps = _stored(spark, out)
+    return steps.withColumn("task_ok", F.col("task_partition").between(0, last)).drop("task_partition")
 
 
 @query
 def stream_save(spark, folder):
-    out = new_folder(spark, "saved")
+    return _stored(spark, f"{_stepped(spark, folder, 'saved')}/frames").drop("topic")
 
-    def start(records, checkpoint):
-        writer = records.writeStream.foreachBatch(save_batch(out))
-        return writer.option("checkpointLocation", checkpoint)
 
-    replay(event_records(spark, folder), start)
-    return _stored(spark, f"{out}/frames").drop("topic")
+@query
+def stream_export(spark, folder):
+    """Images of the saved frames, of each path the latest over all batches."""
+    out = _stepped(spark, folder, "exported", outputs=(), image_folder=IMAGES)
+    return png_contents(latest_images(_stored(spark, f"{out}/images")))
 
 
 @query

@@ -15,6 +15,10 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # Rows hold payloads of a megabyte: few of them at a time, in the reader and
+    # on the way to Python.
+    "spark.sql.parquet.columnarReaderBatchSize": "64",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
@@ -39,9 +43,14 @@ def work_dir(spark: SparkSession) -> str:
 
     It is the one the cluster names in `spark.checkpoint.dir`. Where that is
     unset, a scratch folder is made, in local mode only: on a cluster the
-    executors could not see it.
+    executors could not see it. For the same reason a path without a scheme is
+    refused on a cluster whose default file system is local; a `file:` path
+    that all machines mount must be named as such.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder and "://" not in folder and not folder.startswith("file:"):
+        if not spark.sparkContext.master.startswith("local") and _is_local(spark, folder):
+            raise RuntimeError(f"spark.checkpoint.dir is {folder}, a folder of each machine's own")
     if not folder:
         context = spark.sparkContext
         if not context.master.startswith("local"):
@@ -52,24 +61,28 @@ def work_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path in it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _is_local(spark: SparkSession, path: str) -> bool:
+    return file_system(spark, path)[0].getUri().getScheme() == "file"
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; nothing is created yet."""
     return f"{work_dir(spark)}/frameweir/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str = "table") -> DataFrame:
+def stored(df: DataFrame, name: str = "table", folder: str | None = None) -> DataFrame:
     """Compute once into a table in the shared folder and go on from there.
 
     The result survives lost executors, it can be measured before it is used,
-    and later uses read only the columns they need.
+    and later uses read only the columns they need. A `folder` is overwritten;
+    without one a new folder is taken.
     """
-    folder = new_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    folder = folder or new_folder(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows spread over all cores, where the scan has fewer tasks than that.
-    Tables of many files stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -13,81 +13,95 @@ from pyspark.sql import functions as F
 from frameweir.functions.text import file_name, raw_file_name
 from frameweir.operators.images import add_png, decode_frames
 from frameweir.operators.joins import lookup_join
-from frameweir.schema import ARRIVAL, HISTORY_ORDER
-from frameweir.session import new_folder
+from frameweir.schema import HISTORY_ORDER
+from frameweir.session import stored
 
 
-def last_per_path(frames: DataFrame, order: list[str]) -> DataFrame:
+def last_per_path(frames: DataFrame, order: list[str], folder: str | None = None) -> DataFrame:
     """Of the frames that share a `path`, the one that comes last.
 
-    Only the narrow columns are grouped, and only paths used more than once are
-    joined back, so that payloads need not be shuffled.
+    Only narrow columns are grouped; the frames that lose are left out by an
+    anti-join on their places, so that payloads need not be shuffled.
     """
-    shared = (
-        frames.groupBy("path")
-        .agg(F.max(F.struct(*order)).alias("_last"), F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > 1)
-        .drop("_n")
-    )
-    joined = lookup_join(frames, shared, ["path"])
-    return joined.where(F.col("_last").isNull() | (F.struct(*order) == F.col("_last"))).drop("_last")
+    narrow = frames.select("path", *order)
+    last = F.max(F.struct(*order)).alias("_last")
+    shared = narrow.groupBy("path").agg(last, F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    losers = narrow.join(shared, "path").where(F.struct(*order) < F.col("_last")).select("path", *order)
+    return lookup_join(frames, losers, ["path", *order], "left_anti", folder=folder)
 
 
 def export_images(
-    frames: DataFrame, folder: str, raw_names: bool = False, order: list[str] = HISTORY_ORDER
+    frames: DataFrame,
+    folder: str,
+    raw_names: bool = False,
+    order: list[str] = HISTORY_ORDER,
+    keep: tuple[str, ...] = (),
+    work: str | None = None,
 ) -> DataFrame:
-    """Image table (`path`, `png`) of the frames given. `folder` should end in a
-    separator; a later frame replaces an earlier one of the same path."""
+    """Image table (`path`, `png`, and the columns `keep`) of the frames given.
+    `folder` should end in a separator; a later frame replaces an earlier one of
+    the same path. `work` is a folder for what is looked up, overwritten."""
     name = raw_file_name if raw_names else file_name
     named = frames.withColumn("path", name(folder, F.col("cameraId"), F.col("timestamp")))
-    kept = last_per_path(named, order)
-    return add_png(decode_frames(kept).select("path", "rows", "cols", "type", "bytes")).select(
-        "path", "png"
-    )
+    kept = last_per_path(named, order, work)
+    columns = ["path", *keep, "rows", "cols", "type", "bytes"]
+    return add_png(decode_frames(kept).select(*columns)).select("path", *keep, "png")
 
 
-def _write(path: str, png: bytes) -> None:
+def latest_images(images: DataFrame) -> DataFrame:
+    """Of images that were exported batch by batch, the latest of each path."""
+    last = images.groupBy("path").agg(F.max("batch_id").alias("batch_id"))
+    return lookup_join(images, last, ["path", "batch_id"], "left_semi")
+
+
+def _system(folder: str) -> tuple[fs.FileSystem, str]:
+    if "://" in folder:
+        return fs.FileSystem.from_uri(folder)
+    return fs.LocalFileSystem(), folder
+
+
+def _write(system: fs.FileSystem, path: str, png: bytes) -> None:
     """Write to a side file and move it into place, so that a repeated or
     interrupted task leaves no half file."""
-    folder, name = path.rsplit("/", 1)
-    if "://" in folder:
-        system, folder = fs.FileSystem.from_uri(folder)
-    else:
-        system = fs.LocalFileSystem()
-    side = f"{folder}/{name}.{uuid.uuid4().hex}.part"
+    side = f"{path}.{uuid.uuid4().hex}.part"
     with system.open_output_stream(side) as file:
         file.write(png)
-    system.move(side, f"{folder}/{name}")
+    system.move(side, path)
 
 
-def write_images(images: DataFrame) -> DataFrame:
-    """Write each image to its path, from the tasks. Paths lie in a folder that
-    every executor can reach. Returns a report: `path`, `n_bytes`, and `error`
-    where the image could not be written; the other images are not affected."""
+def write_images(images: DataFrame, folder: str, report: str) -> DataFrame:
+    """Write each image to its path, from the tasks. Paths are `folder` and a name;
+    the folder is one that every executor can reach. The report goes to the
+    folder `report`, which is overwritten: `path`, `n_bytes`, and `error` where
+    the image could not be written; the other images are not affected. An
+    image whose name would leave the folder is not written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent, separator, begin = folder.rpartition("/")
+        system, root = _system(parent + separator)
+        root = root.rstrip("/") + separator
+
+        def written(path: str, png: pa.BinaryScalar) -> str | None:
+            name = path.removeprefix(folder)
+            if not png.is_valid:
+                return "the format has no such image"
+            if not path.startswith(folder) or "/" in name or "\\" in name or "\0" in name:
+                return "the name leaves the folder"
+            try:
+                _write(system, f"{root}{begin}{name}", png.as_py())
+            except Exception as failure:  # reported, as a failed write is not fatal
+                return str(failure)
+            return None
+
         for batch in batches:
-            paths = batch.column("path").to_pylist()
-            sizes, errors = [], []
-            for path, png in zip(paths, batch.column("png")):
-                error = "the format has no such image"
-                if png.is_valid:
-                    try:
-                        _write(path, png.as_py())
-                        error = None
-                    except Exception as failure:  # reported, as a failed write is not fatal
-                        error = str(failure)
-                sizes.append(len(png.as_buffer()) if png.is_valid else None)
-                errors.append(error)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "path": paths,
-                    "n_bytes": pa.array(sizes, pa.int64()),
-                    "error": pa.array(errors, pa.string()),
-                }
-            )
+            paths, files = batch.column("path").to_pylist(), batch.column("png")
+            columns = {
+                "path": paths,
+                "n_bytes": pa.array([len(x.as_buffer()) if x.is_valid else None for x in files], pa.int64()),
+                "error": pa.array([written(path, x) for path, x in zip(paths, files)], pa.string()),
+            }
+            yield pa.RecordBatch.from_pydict(columns)
 
     # Stored, so that reading the report does not write the images again.
-    report = new_folder(images.sparkSession, "image-report")
-    images.mapInArrow(run, "path string, n_bytes bigint, error string").write.parquet(report)
-    return images.sparkSession.read.parquet(report)
+    done = images.select("path", "png").mapInArrow(run, "path string, n_bytes bigint, error string")
+    return stored(done, folder=report)

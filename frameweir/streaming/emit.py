@@ -1,4 +1,4 @@
-"""The per-camera step as a stateful operator of a stream."""
+"""The per-camera step as a stateful operator of a stream, on narrow rows."""
 
 from __future__ import annotations
 
@@ -12,7 +12,6 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from frameweir.schema import ARRIVAL, FRAME_ORDER
 
 _ROW = "cameraId string, timestamp string, partition int, offset bigint"
-_PAYLOAD = "rows int, cols int, type int, data string"
 _STATE = "timestamp string, partition int, offset bigint"
 
 
@@ -31,16 +30,15 @@ def _reduced(parts: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
     return kept
 
 
-def emit_stream(frames: DataFrame, payload: bool = False) -> DataFrame:
+def emit_stream(frames: DataFrame) -> DataFrame:
     """The emitted row of each camera and micro-batch, for a stream of frames.
 
     Each input task first reduces its frames to one row per camera, so a hot
-    camera sends one row per task to its state. The state holds the place of
-    the last frame only; with `payload` the emitted row holds the whole frame.
-    No timeout and no watermark: late frames count, and state is kept.
+    camera sends one row per task to its state. Rows and state hold the place of
+    the last frame, not its payload; `save.step_batch` looks that up. No
+    timeout and no watermark: late frames count, and state is kept.
     """
-    row = f"{_ROW}, {_PAYLOAD}" if payload else _ROW
-    names = [field.split()[0] for field in row.split(", ")]
+    names = [field.split()[0] for field in _ROW.split(", ")]
 
     def reduce_task(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept = _reduced(part.assign(n_frames=1) for part in parts if len(part))
@@ -63,11 +61,11 @@ def emit_stream(frames: DataFrame, payload: bool = False) -> DataFrame:
 
     return (
         frames.select(*names)
-        .mapInPandas(reduce_task, f"{row}, n_frames bigint")
+        .mapInPandas(reduce_task, f"{_ROW}, n_frames bigint")
         .groupBy("cameraId")
         .applyInPandasWithState(
             step,
-            f"{row}, n_frames bigint, had_state boolean, prev_timestamp string,"
+            f"{_ROW}, n_frames bigint, had_state boolean, prev_timestamp string,"
             " n_saved bigint, task_partition int",
             _STATE,
             "Update",

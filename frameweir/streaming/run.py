@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -12,20 +12,27 @@ from frameweir.operators.parse import bad_messages, frames, good_frames, parse_m
 from frameweir.operators.records import first_of_batch, key_value_line
 from frameweir.schema import ARRIVAL
 from frameweir.sinks.images import export_images, write_images
+from frameweir.sources.registry import camera_registry
+from frameweir.sources.settings import source_options
+from frameweir.sources.topics import read_topic
 from frameweir.streaming.emit import emit_stream
+from frameweir.streaming.save import step_batch
 
 
 def to_console(table: DataFrame, checkpoint: str, mode: str = "update") -> DataStreamWriter:
+    """Prints a look at each micro-batch: the console sink shows its first rows."""
     return (
         table.writeStream.outputMode(mode).format("console").option("checkpointLocation", checkpoint)
     )
 
 
-def print_emitted(records: DataFrame, checkpoint: str) -> DataStreamWriter:
-    """The processor: prints the emitted row of each camera and micro-batch."""
-    parsed = frames(records)
+def print_emitted(records: DataFrame, checkpoint: str, strict: bool = True) -> DataStreamWriter:
+    """The processor's look: prints the emitted row of each camera and micro-batch.
+    There is no place for bad messages here, so the first one fails the stream,
+    unless `strict` is taken off."""
+    parsed = frames(records, strict)
     parsed.printSchema()
-    return to_console(emit_stream(parsed, payload=True), checkpoint)
+    return to_console(emit_stream(parsed), checkpoint)
 
 
 def print_query(table: DataFrame, query: str, view: str, checkpoint: str) -> DataStreamWriter:
@@ -34,12 +41,6 @@ def print_query(table: DataFrame, query: str, view: str, checkpoint: str) -> Dat
     return to_console(table.sparkSession.sql(query), checkpoint, "append")
 
 
-def print_lines(records: DataFrame, checkpoint: str) -> DataStreamWriter:
-    """Prints a look at the lines of each micro-batch; see `store_lines`."""
-    lines = to_console(records.select(key_value_line().alias("line")), checkpoint, "append")
-    return lines.option("truncate", False)
-
-
 def store_lines(records: DataFrame, folder: str, checkpoint: str) -> DataStreamWriter:
     """Writes one line per record, all of them, to text files."""
     lines = records.select(key_value_line().alias("value"))
@@ -77,25 +78,49 @@ def sample_images(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         first = parse_messages(_first(batch))
-        images = export_images(good_frames(first), image_folder, raw_names=True, order=ARRIVAL)
-        tables = {"report": write_images(images), "rejects": bad_messages(first)}
-        for name, table in tables.items():
-            table.write.mode("overwrite").parquet(f"{folder}/{name}/batch_id={batch_id}")
+        images = export_images(good_frames(first), image_folder, True, ARRIVAL, work=f"{folder}/lookup")
+        write_images(images, image_folder, f"{folder}/report/batch_id={batch_id}")
+        bad_messages(first).write.mode("overwrite").parquet(f"{folder}/rejects/batch_id={batch_id}")
 
     writer = records.writeStream.foreachBatch(run)
     return writer.option("checkpointLocation", checkpoint)
 
 
+def store_steps(records: DataFrame, folder: str, checkpoint: str, strict: bool = True) -> DataStreamWriter:
+    """Stores what the stateful operator gives: the place of the emitted frame of each
+    camera and micro-batch. As in `print_emitted` a bad message fails the stream."""
+    writer = emit_stream(frames(records, strict)).writeStream.outputMode("update")
+    return writer.foreachBatch(per_batch(folder)).option("checkpointLocation", checkpoint)
+
+
 def store_emitted(
-    records: DataFrame, folder: str, checkpoint: str, payload: bool = False
+    records: DataFrame, folder: str, checkpoint: str, payload: bool = False, strict: bool = False
 ) -> DataStreamWriter:
-    """Stores the emitted row of each camera and micro-batch."""
-    return (
-        emit_stream(frames(records), payload)
-        .writeStream.outputMode("update")
-        .foreachBatch(per_batch(folder))
-        .option("checkpointLocation", checkpoint)
-    )
+    """Stores the emitted row of each camera and micro-batch under `folder`/emitted and
+    bad messages under `folder`/rejects; with `strict` the first one fails."""
+    step = step_batch(folder, ("emitted",), payload=payload, strict=strict)
+    return records.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+
+
+def cameras(spark: SparkSession, settings: dict[str, str]) -> DataFrame:
+    """The camera registry of a settings file."""
+    row = spark.createDataFrame([(settings["camera.id"], settings["camera.url"])], "ids string, urls string")
+    return camera_registry(row, "ids", "urls")
+
+
+def process(
+    spark: SparkSession,
+    settings: dict[str, str],
+    folder: str,
+    checkpoint: str,
+    records: DataFrame | None = None,
+) -> DataStreamWriter:
+    """The processor as its settings file says: reads the topic (or `records`), stores
+    emitted rows and rejects under `folder`, and writes the images of saved
+    frames to `processed.output.dir`, with a report."""
+    records = read_topic(spark, source_options(settings)) if records is None else records
+    step = step_batch(folder, ("emitted",), settings["processed.output.dir"], image_files=True)
+    return records.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
 
 
 def run_available(writer: DataStreamWriter, timeout: int | None = None) -> StreamingQuery:

@@ -1,10 +1,12 @@
-"""The per-camera step with payloads: save flags, emitted rows, images.
-
-Runs once per micro-batch, on Spark expressions only. The state is a table
-with one narrow row per camera ever seen. Batch `n` reads the snapshot that
-batch `n-1` wrote and writes its own to the other of two folders, so a batch
-that is run again after a failure finds the same input and overwrites the same
-output.
+"""The per-camera step with payloads: save flags, emitted rows, rejects, images.
+
+Runs once per micro-batch, on Spark expressions only. The parsed batch is landed
+once as a table; flags and emitted rows are found on its narrow columns, and
+payloads are read where they are written. The state is a table with one narrow
+row per camera ever seen. Batch `n` reads the snapshot that batch `n-1` wrote
+and writes its own to the other of two folders, so a batch that is run again
+after a failure finds the same input and overwrites the same output. What lies
+in `landing`, `lookup` and `state` belongs to the last batch only.
 """
 
 from __future__ import annotations
@@ -15,8 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frameweir.operators.joins import lookup_join
-from frameweir.operators.parse import bad_messages, good_frames, parse_messages
-from frameweir.schema import ARRIVAL, FRAME_ORDER
+from frameweir.operators.parse import bad_messages, good_frames, parse_messages, refuse_bad
+from frameweir.schema import FRAME_ORDER
+from frameweir.session import stored
 from frameweir.sinks.images import export_images, write_images
 
 _PLACE = "struct<timestamp: string, partition: int, offset: bigint>"
@@ -42,71 +45,83 @@ def _at(place: str) -> Column:
     return here
 
 
-def save_batch(
-    folder: str, image_folder: str | None = None, image_files: bool = False
+def _cameras(frames: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    """The snapshot after this batch, written and read again."""
+    place = F.struct(*FRAME_ORDER)
+    now = frames.groupBy("cameraId").agg(
+        F.min(place).alias("first"),
+        F.max(place).alias("last"),
+        F.count(F.lit(1)).alias("n_frames"),
+    )
+    before = _snapshot(frames.sparkSession, folder, batch_id - 1).select(
+        "cameraId",
+        F.coalesce("last.timestamp", "prev_timestamp").alias("prev_timestamp"),
+        F.lit(True).alias("had_state"),
+    )
+    cameras = now.join(before, "cameraId", "full").select(
+        "cameraId",
+        "first",
+        "last",
+        "n_frames",
+        "prev_timestamp",
+        F.coalesce("had_state", F.lit(False)).alias("had_state"),
+        F.lit(batch_id).cast("bigint").alias("batch_id"),
+    )
+    cameras.write.mode("overwrite").parquet(f"{folder}/state/slot={batch_id % 2}")
+    return _snapshot(frames.sparkSession, folder, batch_id).drop("batch_id")
+
+
+def step_batch(
+    folder: str,
+    outputs: tuple[str, ...] = ("frames",),
+    image_folder: str | None = None,
+    image_files: bool = False,
+    strict: bool = False,
+    payload: bool = True,
 ) -> Callable[[DataFrame, int], None]:
     """Function for `foreachBatch` over a stream of topic records.
 
-    Writes under `folder`, per batch: `frames` (every good frame with `saved`,
-    `is_last`, `had_state`, `prev_timestamp`, `n_frames`), `rejects`, and the
-    `state`. With `image_folder` also the images of the saved frames: as a
-    table `images`, or, with `image_files`, as files and a table `report`.
+    Writes under `folder`, per batch: `rejects`, and of `outputs`: `frames`
+    (every good frame with `saved`, `is_last`, `had_state`, `prev_timestamp`,
+    `n_frames`) and `emitted` (the emitted row of each camera, with its frame or,
+    without `payload`, with its place only). With `image_folder` also the
+    images of the saved frames: as a table `images`, or, with `image_files`, as
+    files and a table `report`. With `strict` a bad message fails the batch.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         # Parsed once; the text is kept where the frame is not.
+        parsed = parse_messages(batch)
+        parsed = refuse_bad(parsed) if strict else parsed
         text = F.when(F.col("reason").isNotNull(), F.col("message"))
-        parsed = parse_messages(batch).withColumn("message", text).persist()
-        try:
-            save(parsed, batch_id)
-        finally:
-            parsed.unpersist()
-
-    def save(parsed: DataFrame, batch_id: int) -> None:
-        spark = parsed.sparkSession
+        parsed = stored(parsed.withColumn("message", text), folder=f"{folder}/landing")
         frames = good_frames(parsed)
+        cameras = _cameras(frames, folder, batch_id)
+        seen = cameras.where(F.col("last").isNotNull())
 
         def write(table: DataFrame, name: str) -> None:
             table.write.mode("overwrite").parquet(f"{folder}/{name}/batch_id={batch_id}")
 
-        place = F.struct(*FRAME_ORDER)
-        now = frames.groupBy("cameraId").agg(
-            F.min(place).alias("first"),
-            F.max(place).alias("last"),
-            F.count(F.lit(1)).alias("n_frames"),
-        )
-        before = _snapshot(spark, folder, batch_id - 1).select(
-            "cameraId",
-            F.coalesce("last.timestamp", "prev_timestamp").alias("prev_timestamp"),
-            F.lit(True).alias("had_state"),
-        )
-        cameras = now.join(before, "cameraId", "full").select(
-            "cameraId",
-            "first",
-            "last",
-            "n_frames",
-            "prev_timestamp",
-            F.coalesce("had_state", F.lit(False)).alias("had_state"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-        )
-        cameras.write.mode("overwrite").parquet(f"{folder}/state/slot={batch_id % 2}")
-        cameras = _snapshot(spark, folder, batch_id).drop("batch_id")
-
-        seen = cameras.where(F.col("last").isNotNull())
-        flagged = (
-            lookup_join(frames, seen, ["cameraId"], is_stored=True)
-            .withColumn("saved", F.col("had_state") | ~_at("first"))
-            .withColumn("is_last", _at("last"))
-            .drop("first", "last")
-        )
-        write(flagged, "frames")
+        def flagged() -> DataFrame:
+            joined = lookup_join(frames, seen, ["cameraId"], is_stored=True)
+            return joined.withColumn("saved", F.col("had_state") | ~_at("first")).withColumn("is_last", _at("last"))
+
+        if "frames" in outputs:
+            write(flagged().drop("first", "last"), "frames")
+        if "emitted" in outputs:
+            n_saved = F.col("n_frames") - F.when(F.col("had_state"), 0).otherwise(1)
+            last = seen.select("cameraId", "last.*", "n_frames", "had_state", "prev_timestamp", n_saved.alias("n_saved"))
+            if payload:
+                keys = ["cameraId", *FRAME_ORDER]
+                last = lookup_join(frames.drop("topic"), last, keys, "inner", folder=f"{folder}/lookup")
+            write(last, "emitted")
         write(bad_messages(parsed), "rejects")
 
         if image_folder is not None:
-            landed = spark.read.parquet(f"{folder}/frames/batch_id={batch_id}")
-            images = export_images(landed.where("saved"), image_folder, order=FRAME_ORDER)
+            saved = flagged().where("saved")
+            images = export_images(saved, image_folder, order=FRAME_ORDER, keep=("partition", "offset"), work=f"{folder}/lookup")
             if image_files:
-                write(write_images(images), "report")
+                write_images(images, image_folder, f"{folder}/report/batch_id={batch_id}")
             else:
                 write(images, "images")
 

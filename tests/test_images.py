@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from frameweir.functions.pixels import png_bytes, resize_block
 from frameweir.operators.images import add_png, decode_frames, frame_pixels, resize_frames
 from frameweir.plans.collector import collect_frames
+from frameweir.session import new_folder
 from frameweir.sinks.images import export_images, write_images
 from tests.helpers import frame_rows
 
@@ -147,7 +148,7 @@ def test_later_frame_of_a_path_wins(spark, tmp_path):
 def test_image_files(spark, tmp_path, scheme):
     images = exported(spark, tmp_path, raw_names=True)
     images = images.withColumn("path", F.concat(F.lit(scheme), "path"))
-    report = write_images(images).collect()
+    report = write_images(images, f"{scheme}{tmp_path}/", new_folder(spark, "report")).collect()
     assert all(row.error is None for row in report)
     assert sorted(os.listdir(tmp_path)) == ["a-T-2024-01-01 00:00:00.0.png", "b-T-2024-01-01 00:00:00.5.png"]
     for row in report:
@@ -160,7 +161,7 @@ def test_image_that_cannot_be_written(spark, tmp_path):
     images = exported(spark, tmp_path).withColumn(
         "path", F.when(F.col("path").contains("/a-"), F.lit(f"{tmp_path}/none/a.png")).otherwise(F.col("path"))
     )
-    report = {os.path.basename(row.path)[0]: row for row in write_images(images).collect()}
+    report = {os.path.basename(row.path)[0]: row for row in write_images(images, f"{tmp_path}/", new_folder(spark, "report")).collect()}
     assert report["a"].error and report["b"].error is None
     assert [name[0] for name in os.listdir(tmp_path)] == ["b"]
 

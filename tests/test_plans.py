@@ -9,7 +9,8 @@ from frameweir.functions.text import file_name
 from frameweir.operators import state
 from frameweir.operators.images import resize_frames
 from frameweir.operators.parse import frames
-from frameweir.plans.inputs import embedding_frames, event_records, spread
+from frameweir.operators.records import first_of_batch
+from frameweir.plans.inputs import embedding_frames, event_records
 from frameweir.session import new_folder, stored, work_dir
 from frameweir.sinks.images import last_per_path
 from frameweir.sources.topics import read_topic_table
@@ -35,7 +36,7 @@ def test_counts_read_two_columns(landed):
 
 
 def test_rows_are_reduced_before_the_shuffle(landed):
-    for table in (state.frames_per_batch(landed), state.final_state(landed), state.first_frames(landed)):
+    for table in (state.frames_per_batch(landed), state.last_per_batch(landed), state.first_frames(landed)):
         steps = plan(table)
         assert steps.count("Exchange hashpartitioning") == 1
         assert steps.index("Exchange hashpartitioning") < steps.index("partial_")
@@ -61,9 +62,19 @@ def test_path_check_moves_no_payload(landed):
     assert "Exchange hashpartitioning" not in steps and "BroadcastHashJoin" in steps
 
 
-def test_history_window_sees_narrow_rows(landed):
-    """Of the emitted rows, the window side reads three columns."""
-    assert {"cameraId", "batch_id", "timestamp"} in read_columns(state.emit_per_batch(landed))
+@pytest.mark.parametrize("kind", ["emitted", "final", "first"])
+def test_winners_move_no_payload(spark, folder, landed, kind):
+    """No sort and no shuffle below the result carries a payload."""
+    records = stored(event_records(spark, folder), "records")
+    table, payload = {
+        "emitted": lambda: (state.emit_per_batch(landed, is_stored=True), "data"),
+        "final": lambda: (state.final_state(landed, is_stored=True), "data"),
+        "first": lambda: (first_of_batch(records), "value"),
+    }[kind]()
+    steps = plan(table)
+    assert "BroadcastHashJoin" in steps and "SortAggregate" not in steps
+    assert "Sort [" not in steps and "Exchange hashpartitioning" not in steps
+    assert sum(payload in columns for columns in read_columns(table)) == 1
 
 
 def test_slices_are_used_as_they_are(landed):
@@ -101,11 +112,13 @@ def test_folder_where_none_is_named(spark):
     Unset.sparkContext = type("Cluster", (), {"master": "yarn", "applicationId": "a"})
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         work_dir(Unset)
+    for bare, message in (("/tmp/own", "each machine's own"), ("file:///mnt/shared", None)):
+        Unset.conf = {"spark.checkpoint.dir": bare}
+        Unset._jvm, Unset._jsc = spark._jvm, spark._jsc
+        if message:
+            with pytest.raises(RuntimeError, match=message):
+                work_dir(Unset)
+        else:
+            assert work_dir(Unset) == bare
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert not named or new_folder(spark, "x").startswith(named.rstrip("/"))
-
-
-def test_spread_leaves_many_tasks_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
-    assert "Exchange" not in plan(spread(spark.range(10, numPartitions=cores + 1)))

@@ -17,8 +17,7 @@ def test_entry(spark):
 def test_oracles_belong_to_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(QUERIES) <= set(entry.queries())
-    # Pixels by the hundred million are too slow in SQL; see test_images.py.
-    assert set(QUERIES) - set(ORACLE) == {"resize_vga"}
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", QUERIES)

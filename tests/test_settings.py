@@ -23,15 +23,15 @@ TEXT = r"""
 kafka.bootstrap.servers=broker:9092
 kafka.topic = frames
 kafka.acks:all
-kafka.retries 1
-kafka.batch.size=20971520
-kafka.linger.ms=5
-kafka.max.request.size=2097152
-kafka.compression.type=gzip
-kafka.group.id=debug
+kafka.retries 7
+kafka.batch.size=65536
+kafka.linger.ms=20
+kafka.max.request.size=3000000
+kafka.compression.type=zstd
+kafka.group.id=tests
 kafka.auto.offset.reset=earliest
-kafka.max.partition.fetch.bytes=2097152
-kafka.max.poll.records=500
+kafka.max.partition.fetch.bytes=4000000
+kafka.max.poll.records=77
 camera.url=C:\\videos\\a.avi,\
     0
 camera.id=a\u0062,c\=d
@@ -45,7 +45,7 @@ def test_properties():
     assert found["kafka.bootstrap.servers"] == "broker:9092"
     assert found["kafka.topic"] == "frames"
     assert found["kafka.acks"] == "all"
-    assert found["kafka.retries"] == "1"
+    assert found["kafka.retries"] == "7"
     assert found["camera.url"] == r"C:\videos\a.avi,0"
     assert found["camera.id"] == "ab,c=d"
     assert found["empty"] == ""
@@ -65,24 +65,24 @@ def test_options():
     assert source_options(found) == {
         "kafka.bootstrap.servers": "broker:9092",
         "subscribe": "frames",
-        "kafka.max.partition.fetch.bytes": "2097152",
-        "kafka.max.poll.records": "500",
+        "kafka.max.partition.fetch.bytes": "4000000",
+        "kafka.max.poll.records": "77",
     }
     assert reader_options(found) == {
         "kafka.bootstrap.servers": "broker:9092",
         "subscribe": "frames",
         "startingOffsets": "earliest",
-        "kafka.group.id": "debug",
+        "kafka.group.id": "tests",
     }
     assert sink_options(found) == {
         "kafka.bootstrap.servers": "broker:9092",
         "topic": "frames",
         "kafka.acks": "all",
-        "kafka.retries": "1",
-        "kafka.batch.size": "20971520",
-        "kafka.linger.ms": "5",
-        "kafka.max.request.size": "2097152",
-        "kafka.compression.type": "gzip",
+        "kafka.retries": "7",
+        "kafka.batch.size": "65536",
+        "kafka.linger.ms": "20",
+        "kafka.max.request.size": "3000000",
+        "kafka.compression.type": "zstd",
     }
     with pytest.raises(KeyError):
         source_options({"kafka.topic": "frames"})

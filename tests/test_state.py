@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from frameweir.operators import state
 from frameweir.operators.joins import lookup_join, table_bytes
+from frameweir.session import new_folder
 from tests.helpers import expected_steps, frame_rows
 
 EMITTED = ["timestamp", "offset", "n_frames", "had_state", "prev_timestamp", "n_saved"]
@@ -104,8 +105,15 @@ def test_lookup_join_is_the_same_either_way(spark, limit):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(
         map(tuple, big.join(small, ["k"], "left").collect()), key=str
     )
-    plan = got._jdf.queryExecution().optimizedPlan().toString()
-    assert ("_salt" in plan) == (limit == 0)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert ("SortMergeJoin" in plan) == (limit == 0)
+
+
+def test_lookup_folder_is_overwritten(spark):
+    folder = new_folder(spark, "lookup")
+    for n in (3, 5):
+        got = lookup_join(spark.range(9), spark.range(n), ["id"], "inner", folder=folder)
+        assert got.count() == n and spark.read.parquet(folder).count() == n
 
 
 def test_table_bytes(spark):

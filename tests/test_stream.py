@@ -68,16 +68,82 @@ def test_emitted_rows(spark, topic, payload):
     run.run_available(run.store_emitted(topic.stream(), out, checkpoint, payload))
     topic.land(1, 2)
     run.run_available(run.store_emitted(topic.stream(), out, checkpoint, payload))
-    got = spark.read.option("basePath", out).parquet(out).collect()
+    got = spark.read.option("basePath", f"{out}/emitted").parquet(f"{out}/emitted").collect()
     assert numbered(got) == expected_steps(STEPS)[0]
-    assert all(row.task_partition is not None for row in got)
     if payload:
         data = {row.offset: row.data for row in frames(topic.records).collect()}
         assert all(row.data == data[row.offset] and row.cols == 2 for row in got)
+    bad = spark.read.parquet(f"{out}/rejects").select("offset", "reason").collect()
+    assert sorted(map(tuple, bad)) == [(100, "malformed"), (101, "empty")]
+
+
+def test_stateful_rows(spark, topic):
+    out, checkpoint = new_folder(spark, "out"), new_folder(spark, "checkpoint")
+    for batches in ((0,), (1, 2)):
+        topic.land(*batches)
+        run.run_available(run.store_steps(topic.stream(), out, checkpoint, strict=False))
+    got = spark.read.option("basePath", out).parquet(out).collect()
+    assert numbered(got) == expected_steps(STEPS)[0]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert all(0 <= row.task_partition < parts for row in got)
+
+
+@pytest.mark.parametrize("start", [run.store_emitted, run.store_steps])
+def test_strict_streams_fail_on_a_bad_message(spark, topic, start):
+    topic.land(1)
+    with pytest.raises(Exception, match="bad frame message: malformed"):
+        run.run_available(start(topic.stream(), new_folder(spark, "out"), new_folder(spark, "checkpoint"), strict=True))
+
+
+def test_stream_goes_on_after_a_hostile_message(spark, topic):
+    """A geometry whose size is beyond 64 bits is a reject like others."""
+    out = new_folder(spark, "out")
+    huge = message("a", rows=2147483647, cols=2147483647, code=2147483640)
+    records(spark, [(0, 300, huge)]).drop("batch_id").coalesce(1).write.mode("append").parquet(topic.path)
+    topic.land(0)
+    run.run_available(run.store_emitted(topic.stream(), out, new_folder(spark, "checkpoint")))
+    assert spark.read.parquet(f"{out}/emitted").count() == 2
+    bad = spark.read.parquet(f"{out}/rejects").collect()
+    assert [(r.offset, r.reason) for r in bad] == [(300, "bad length")]
+
+
+def test_processor_from_settings(spark, topic, tmp_path):
+    settings = {"processed.output.dir": f"{tmp_path}/", "camera.id": "a,b", "camera.url": "0,/videos/b.mp4"}
+    out = new_folder(spark, "out")
+    topic.land(0, 1, 2)
+    run.run_available(run.process(spark, settings, out, new_folder(spark, "checkpoint"), topic.stream()))
+    emitted, saved = expected_steps(STEPS)
+    assert spark.read.parquet(f"{out}/emitted").count() == len(emitted)
+    assert spark.read.parquet(f"{out}/rejects").count() == 2
+    assert len(os.listdir(tmp_path)) == len({(s[0], s[2]) for s in STEPS if s[3] in saved})
+    kinds = {r.camera_id: r.kind for r in run.cameras(spark, settings).collect()}
+    assert kinds == {"a": "device", "b": "url"}
+
+
+def test_name_that_leaves_the_folder(spark, tmp_path):
+    out, inside = new_folder(spark, "out"), tmp_path / "images"
+    inside.mkdir()
+    rows = [(0, 1, message("../x")), (0, 2, message("../x", "t2")), (0, 3, message("y")), (0, 4, message("y", "t2"))]
+    save.step_batch(out, (), f"{inside}/", image_files=True)(records(spark, rows).drop("batch_id"), 0)
+    report = {os.path.basename(r.path): r.error for r in spark.read.parquet(f"{out}/report").collect()}
+    assert report == {"x-T-t2.png": "the name leaves the folder", "y-T-t2.png": None}
+    assert os.listdir(tmp_path) == ["images"] and os.listdir(inside) == ["y-T-t2.png"]
+
+
+def test_folders_do_not_grow(spark, topic):
+    """What belongs to one batch only is overwritten by the next."""
+    out = new_folder(spark, "out")
+    base = len(os.listdir(os.path.dirname(out)))
+    step = save.step_batch(out, ("emitted",), "/out/")
+    found = []
+    for batch in (0, 1, 2):
+        step(topic.records.where(F.col("batch_id") == batch).drop("batch_id"), batch)
+        found.append((sorted(os.listdir(out)), len(os.listdir(os.path.dirname(out))) - base))
+    assert found[0] == found[1] == found[2]
 
 
 def saved_stream(topic, out, checkpoint, **options):
-    writer = topic.stream().writeStream.foreachBatch(save.save_batch(out, **options))
+    writer = topic.stream().writeStream.foreachBatch(save.step_batch(out, **options))
     return writer.option("checkpointLocation", checkpoint)
 
 
@@ -127,7 +193,7 @@ def test_saved_rows_after_a_failure(spark, topic, monkeypatch, broken):
 
 def test_lost_state_is_noticed(spark, topic):
     out = new_folder(spark, "out")
-    step = save.save_batch(out)
+    step = save.step_batch(out)
     step(topic.records.where("batch_id = 0").drop("batch_id"), 0)
     with pytest.raises(Exception, match="the state of batch 2 is missing"):
         step(topic.records.where("batch_id = 1").drop("batch_id"), 3)
@@ -178,7 +244,6 @@ def test_console(spark, topic):
     stream = topic.stream()
     writers = [
         (run.print_emitted, stream, 2),
-        (run.print_lines, stream, 3),
     ]
     for start, table, rows in writers:
         query = run.run_available(start(table, new_folder(spark, "checkpoint")))
@@ -206,7 +271,7 @@ def test_rocksdb_state(spark, topic):
     try:
         out = new_folder(spark, "out")
         topic.land(0, 1, 2)
-        run.run_available(run.store_emitted(topic.stream(), out, new_folder(spark, "checkpoint")))
+        run.run_available(run.store_steps(topic.stream(), out, new_folder(spark, "checkpoint"), strict=False))
         got = spark.read.option("basePath", out).parquet(out).collect()
         assert numbered(got) == expected_steps(STEPS)[0]
     finally:

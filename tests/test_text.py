@@ -2,9 +2,11 @@
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from frameweir.functions.text import file_name, list_entries, raw_file_name, stamp_text
+from frameweir.session import stored
 from frameweir.sources.registry import camera_registry
 
 
@@ -29,8 +31,16 @@ def test_stamp(spark, time, text):
 def test_stamp_of_now(spark):
     now = spark.range(1).select(stamp_text().alias("s")).first().s
     assert len(now.split(".")[0]) == 19 and 1 <= len(now.split(".")[1]) <= 3
-    many = spark.range(2000000, numPartitions=1).select(stamp_text().alias("s"))
-    assert many.distinct().count() > 10
+    many = spark.range(6000000, numPartitions=2).select(
+        "id", F.spark_partition_id().alias("task"), stamp_text().alias("s")
+    )
+    many = stored(many, "stamps")
+    assert many.where(r"not s rlike '^[0-9-]{10} [0-9:]{8}\\.[0-9]{1,3}$'").count() == 0
+    assert many.select("s").distinct().count() > 100
+    # Inside a task the clock never steps back; a row reads it once.
+    at = F.to_timestamp("s").alias("at")
+    before = F.lag("at").over(Window.partitionBy("task").orderBy("id"))
+    assert many.select("id", "task", at).withColumn("before", before).where("at < before").count() == 0
 
 
 def test_file_names(spark):
