@@ -87,7 +87,7 @@ def make_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
             waiting[tuning], size[tuning] = [], 0
             return pa.RecordBatch.from_pydict(row)
 
-        for batch in pieces(batches, 1 << 20):
+        for batch in pieces(batches, min(1 << 20, block_bytes)):
             for tuning in (False, True):
                 own = batch.filter(pa.compute.equal(batch["tuning"], tuning))
                 if not own.num_rows:
