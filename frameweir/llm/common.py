@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from frameweir.session import stored
 
 # Text that is worked on at a time inside a task. Temporary arrays take up to
 # about thirty times as much; a longer text makes a piece of its own.
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,7 +80,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, use:
 def pieces(batches: Iterator[pa.RecordBatch], most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows again, in slices of about `most` bytes of the column text."""
     for batch in batches:
-        size = pa.compute.fill_null(pa.compute.binary_length(batch["text"]), 0)
+        size = pc.fill_null(pc.binary_length(batch["text"]), 0)
         cut = np.concatenate([[0], np.cumsum(size.to_numpy(zero_copy_only=False))]) // most
         ends = [*np.flatnonzero(np.diff(cut[:-1])) + 1, batch.num_rows]
         start = 0
@@ -87,6 +88,7 @@ def pieces(batches: Iterator[pa.RecordBatch], most: int = PIECE_BYTES) -> Iterat
             if end > start:
                 yield batch.slice(start, end - start)
                 start = end
+    pa.default_memory_pool().release_unused()  # workers are kept for later tasks
 
 
 def texts_of(batch: pa.RecordBatch) -> list[str]:

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -89,7 +90,7 @@ def make_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
 
         for batch in pieces(batches, min(1 << 20, block_bytes)):
             for tuning in (False, True):
-                own = batch.filter(pa.compute.equal(batch["tuning"], tuning))
+                own = batch.filter(pc.equal(batch["tuning"], tuning))
                 if not own.num_rows:
                     continue
                 texts = [x.encode().lower() for x in texts_of(own)]  # bytes: only A-Z change
