@@ -117,17 +117,31 @@ def permute(value: int, sizes: list[int], key: bytes, *tweak: object) -> int:
     return a * b_size + b
 
 
-ALPHABETS = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "äöüßéèêàâçùûîïôñóíáúëœæ"]
+ALPHABETS = [
+    "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "äöüßéèêàâçùûîïôñóíáúëœæ",
+    "абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρσςτυφχψω",
+]
+
+# After so many attempts a name gets one more syllable and the local part of an
+# address one more letter, so that no pool is ever used up.
+GROWS = 2
+
+
+def _alphabet(char: str) -> str:
+    """What a character is exchanged in: digits and letters of other scripts become
+    Latin ones, signs stay."""
+    own = next((a for a in ALPHABETS if char in a), "")
+    return own or (ALPHABETS[0] if char.isdecimal() else ALPHABETS[1] if char.isalnum() else "")
 
 
 def _same_form(text: str, key: bytes, *tweak: object) -> str:
-    """Characters exchanged within their alphabets; others stay. A permutation of
-    the texts of one form."""
-    where = [next((a for a in ALPHABETS if c in a), "") for c in text]
+    """Characters exchanged within their alphabets; signs stay. A permutation of
+    the texts of one form, as far as all characters are in `ALPHABETS`."""
+    where = [_alphabet(c) for c in text]
     value, sizes = 0, [len(a) for a in where if a]
     for c, a in zip(text, where, strict=True):
         if a:
-            value = value * len(a) + a.index(c)
+            value = value * len(a) + (a.index(c) if c in a else ord(c) % len(a))
     value, out = permute(value, sizes, key, *tweak), []
     for c, a in zip(reversed(text), reversed(where), strict=True):
         if a:
@@ -146,7 +160,13 @@ def _email(entity: str, key: bytes, attempt: int) -> str:
     if not any(domain == x or domain.endswith("." + x) for x in COMMON):
         body, _, top = domain.rpartition(".")
         domain = f"{_same_form(body, key, 'domain')}.{top}"
-    return f"{_same_form(local, key, 'email', entity.rpartition('@')[2], attempt)}@{domain}"
+    made = _same_form(local, key, "email", entity.rpartition("@")[2], attempt)
+    # A form with all its addresses in use, or without a character to exchange, gets longer.
+    value = _hash(key, "longer", entity, attempt)
+    for _ in range(attempt // GROWS + (not any(map(_alphabet, local)))):
+        value, at = divmod(value, 26)
+        made += ALPHABETS[1][at]
+    return f"{made}@{domain}"
 
 
 def _card(entity: str, key: bytes, attempt: int) -> str:
@@ -162,7 +182,8 @@ def _card(entity: str, key: bytes, attempt: int) -> str:
 
 
 def _ip(entity: str, key: bytes, attempt: int) -> str:
-    """Private, loopback and high addresses stay in their range."""
+    """Private, loopback and high addresses stay in their range. Where a range has
+    no room left, the smaller private ones turn to 10.0.0.0/8, then all to the high one."""
     a, b, c, d = map(int, entity.split("."))
     value = (a << 24) | (b << 16) | (c << 8) | d
 
@@ -177,6 +198,10 @@ def _ip(entity: str, key: bytes, attempt: int) -> str:
         return 3 if top >= 224 else 0
 
     own = fixed_bits(value)
+    if own > 3 and attempt >= 4 * GROWS:
+        value, own = 224 << 24 | _hash(key, "wide", entity, attempt) % (1 << 29), 3
+    elif own > 8 and attempt >= 2 * GROWS:
+        value, own = 10 << 24 | _hash(key, "wide", entity, attempt) % (1 << 24), 8
     free = 32 - own
     head, tail = value >> free << free, value & ((1 << free) - 1)
     while True:
@@ -219,7 +244,7 @@ def _name(kind: str, entity: str, key: bytes, attempt: int) -> str:
     consonants, vowels = SYLLABLES[script]
     value = _hash(key, kind, entity, attempt)
     made = ""
-    for _ in range(3):
+    for _ in range(3 + attempt // GROWS):
         value, c = divmod(value, len(consonants))
         value, v = divmod(value, len(vowels))
         made += consonants[c] + vowels[v]
@@ -299,7 +324,10 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
     surrogates, and none gets what some document really names.
 
     First attempts are mostly free, as they come from permutations or large sets.
-    Of those that meet, the first keeps its surrogate and the others try again.
+    Of those that meet, the first keeps its surrogate and the others try again,
+    from pools that grow with the attempt. Only SSNs (10^9), phone and card numbers,
+    accounts and public addresses have no larger pool: there at most half of all
+    that exist can be named.
     """
     state = stored(_attempts(entities.select("kind", "entity", F.lit(0).alias("attempt")), key), "surrogates")
     while True:

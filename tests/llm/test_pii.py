@@ -92,6 +92,22 @@ def test_collisions_are_resolved(spark, monkeypatch):
     assert max(r.attempt for r in state.values()) > 0
 
 
+def test_pools_grow(spark):
+    """More entities than the first pools hold: names, short addresses, small ranges."""
+    assert len(pii.surrogate("last", "latin:smith", KEY, 6)) > len(pii.surrogate("last", "latin:smith", KEY))
+    assert len(pii.surrogate("email", "a@gmail.com", KEY, 6)) > len("a@gmail.com")
+    for local in ("___", "иван", "中文", "+-+"):
+        assert pii.surrogate("email", f"{local}@gmail.com", KEY) != f"{local}@gmail.com"
+    assert not pii.surrogate("ip", "192.168.1.1", KEY, 6).startswith("192.168.")
+    rows = [("first", f"f:latin:x{i}") for i in range(13**3 * 5**2 + 1)]
+    rows += [("email", f"{c}@{d}.com") for c in "abcdefghijklmnopqrstuvwxyz0123456789_" for d in ("example", "gmail")]
+    rows += [("email", f"{x}@gmail.com") for x in ("___", "иван", "中文", "文中")]
+    rows += [("ip", f"192.168.{i >> 8}.{i & 255}") for i in range(40_000)]
+    state = pii.assign(spark.createDataFrame(rows, "kind string, entity string"), KEY).collect()
+    made = {(r.kind, r.surrogate) for r in state}
+    assert len(state) == len(made) == len(rows) and not made & set(rows)
+
+
 @pytest.mark.parametrize("limit", [0, 10**9])
 def test_texts(spark, monkeypatch, limit):
     monkeypatch.setattr(pii, "BROADCAST_BYTES", limit)
