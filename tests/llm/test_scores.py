@@ -160,6 +160,43 @@ def test_restored_spacing(letters):
     assert toxicity.features_of("a C L 0 W N", letters, known, {}) == {1}
 
 
+@pytest.fixture(scope="module")
+def vocabulary(letters):
+    words = "idiot stupid moron clown scum shit cum hello there you are so it is the man".split()
+    grams = collections.Counter()
+    for word in words:
+        padded = f"  {word} "
+        for i in range(len(word) + 1):
+            grams[padded[i : i + 3]] += 10
+    return toxicity.Letters(grams, dict.fromkeys(words, 100))
+
+
+@pytest.mark.parametrize(
+    "written, meant",
+    [
+        ("stuupid", "stupid"),
+        ("iidiioot", "idiot"),
+        ("mooroon", "moron"),
+        ("$$tupid", "stupid"),
+        ("$$cum", "scum"),
+        ("(lown", "clown"),
+        ("$#1+", "shit"),
+        ("hello!", "hello"),
+        ("(hello)", "hello"),
+        ("$100", "$100"),
+        ("50", "50"),
+    ],
+)
+def test_disguises_reach_the_decoder(vocabulary, written, meant):
+    assert toxicity.restore(written, vocabulary) == meant
+
+
+@pytest.mark.parametrize("text", ["you i  d  i  o  t there", "i\td\ti\to\tt", "so i\nd\ni\no\nt", "you id iot", "an id iot, there", "1d iot", "idio t"])
+def test_split_words(vocabulary, text):
+    assert 0 in toxicity.features_of(text, vocabulary, {"idiot": 0}, {})
+    assert toxicity.features_of("so it is the man", vocabulary, {"idiot": 0}, {}) == set()
+
+
 def test_viterbi_is_the_best_path(letters):
     """Against all readings of a short lattice."""
 
