@@ -233,6 +233,21 @@ def test_toxic_words_in_disguise(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [4, 5]
 
 
+def test_balanced_and_missing_labels(spark):
+    plain = [(i, f"some words here {w} and more of them", 1) for i, w in enumerate(["idiot", "moron", "clown"] * 30)]
+    clean = [(100 + i, f"some words here {w} and more of them", 0) for i, w in enumerate(["house", "river", "garden"] * 30)]
+    docs = spark.createDataFrame([x[:2] for x in plain + clean], "doc_id long, text string")
+    labels = spark.createDataFrame([(x[0], x[2]) for x in plain + clean], "doc_id long, toxic int")
+    scorer = toxicity.fit(docs, labels)
+    kept = {r.doc_id for r in toxicity.without_toxic(docs, scorer).collect()}
+    assert kept == {x[0] for x in clean}
+    same = spark.createDataFrame([(x[0], "one text for all") for x in plain + clean], "doc_id long, text string")
+    for texts, few in ((docs, labels.limit(0)), (docs, labels.where("toxic = 1")), (docs, labels.where("toxic = 0")), (same, labels)):
+        scorer = toxicity.fit(texts, few)
+        assert toxicity.without_toxic(texts, scorer).count() == len(plain + clean)
+        assert toxicity.score_texts(texts, scorer).where("predicted = 1").count() == 0
+
+
 @pytest.mark.parametrize(
     "query, label, part, least", [("op5_toxicity", "toxic", (4, 2), 0.85), ("op10_quality", "quality", (5, 0), 0.95)]
 )
