@@ -77,6 +77,23 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, use:
     return texts.join(F.broadcast(drawn), "doc_id")  # at most about max_rows narrow rows
 
 
+def labelled_once(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, use: Column | None = None) -> DataFrame:
+    """As `labelled`, with one row per id and text, and about `max_rows` rows at most:
+    neither repeats of a row nor an id with many texts fill the sample.
+
+    Repeats are reduced inside each task before the shuffle. If more rows than
+    `max_rows` are left, they are drawn by the hash of id and text.
+    """
+    rows = labelled(docs, labels, label, max_rows, use).withColumn("rid", row_id())
+    once = rows.groupBy("rid").agg(*[F.first(x).alias(x) for x in ("doc_id", "text", "label")])
+    once = stored(once, "labelled")
+    count = once.count()
+    if count > max_rows:
+        share = int(max_rows / count * 1_000_000)
+        once = once.where(F.pmod(F.xxhash64(F.lit(19), "rid"), F.lit(1_000_000)) < share)
+    return once.select("doc_id", "text", "label")
+
+
 def pieces(batches: Iterator[pa.RecordBatch], most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows again, in slices of about `most` bytes of the column text."""
     for batch in batches:

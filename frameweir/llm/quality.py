@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
-from frameweir.llm.common import id_and, labelled, pieces, texts_of
+from frameweir.llm.common import id_and, labelled_once, pieces, texts_of
 from frameweir.llm.words import Words
 
 PASSAGE = 48  # words; the last passage of a text may be shorter
@@ -176,7 +176,7 @@ def fit(
             rows = [part.astype(np.float32).tobytes() for part in np.split(x, first[1:])]
             yield pa.RecordBatch.from_pydict({"label": batch["label"], "features": pa.array(rows, pa.binary())})
 
-    sample = labelled(docs, labels, "quality", max_rows, use).select("label", "text")
+    sample = labelled_once(docs, labels, "quality", max_rows, use).select("label", "text")
     rows = sample.mapInArrow(measure, "label int, features binary").toArrow().to_pydict()
     pairs = sorted(zip(rows["label"], rows["features"], strict=True))
     if not pairs:

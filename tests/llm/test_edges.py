@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from frameweir.llm import decontaminate, lines, lm, mixing, pii, quality, rules, secrets, simhash, toxicity
-from frameweir.llm.common import remainder
+from frameweir.llm.common import labelled_once, remainder
 
 PROSE = "The quick brown fox went over the lazy dog and on to the river bank again.\n"
 ROWS = [
@@ -122,3 +122,15 @@ def test_near_copies_keep_one(spark, docs, labels, tmp_path):
     got = simhash.without_near_duplicates(docs).collect()
     assert sum(r.doc_id == 5 for r in got) == 2  # the repeated row once, the other text once
     assert [r.doc_id for r in got if not (r.text or "").split()] == [2]
+
+
+def test_sample_holds_each_text_once(spark):
+    """An id with a third of all rows, and one with more texts than the sample holds."""
+    rows = [(1, "one text again and again")] * 300 + [(2, f"text {i}") for i in range(300)] + [(10 + i, f"own {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)] + [(10 + i, i % 2) for i in range(20)], "doc_id long, quality int")
+    every = labelled_once(docs, labels, "quality", 1000).collect()
+    assert len(every) == len(set(every)) == 321 and sum(r.doc_id == 1 for r in every) == 1
+    few = labelled_once(docs, labels, "quality", 100).collect()
+    assert 60 < len(few) < 140 and {r.label for r in few} == {0, 1}
+    assert sorted(few) == sorted(labelled_once(docs.repartition(3), labels, "quality", 100).collect())
