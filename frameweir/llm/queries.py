@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from frameweir.llm import decontaminate, lines, lm, mixing, pii, quality, rules, secrets, simhash, toxicity
+from frameweir.llm import (
+    decontaminate,
+    lines,
+    lm,
+    middle,
+    mixing,
+    pii,
+    quality,
+    rules,
+    secrets,
+    simhash,
+    spelling,
+    subwords,
+    toxicity,
+)
 from frameweir.llm.common import remainder, table
 
 
@@ -56,6 +71,31 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_texts(docs, model).withColumn("held_out", part == 0)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = subwords.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    encoded = subwords.encode_texts(table(spark, sf_dir, "documents"), model)
+    encoded = encoded.select("doc_id", "n_tokens", F.sha2("tokens", 256).alias("ids_sha256"), "tokens")
+    decoded = subwords.decode_tokens(encoded, model)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_decontaminate": op2_decontaminate,
@@ -67,6 +107,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_surrogates": op9_surrogates,
     "op10_quality": op10_quality,
+    "op11_spelling": op11_spelling,
+    "op12_subwords": op12_subwords,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -1,10 +1,11 @@
 """Every operator and stage on nulls, empty and long texts, repeats, clashing columns and empty tables."""
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from frameweir.llm import decontaminate, lines, lm, mixing, pii, quality, rules, secrets, simhash, toxicity
+from frameweir.llm import decontaminate, lines, lm, middle, mixing, pii, quality, rules, secrets, simhash, spelling, subwords, toxicity
 from frameweir.llm.common import labelled_once, remainder
 
 PROSE = "The quick brown fox went over the lazy dog and on to the river bank again.\n"
@@ -59,10 +60,12 @@ def run(name, docs, labels, benchmark):
         "simhash": lambda: simhash.near_duplicates(docs),
         "pii": lambda: pii.replace_entities(docs),
         "quality": lambda: quality.score_texts(docs, quality.fit(docs, labels, epochs=3)),
+        "subwords": lambda: subwords.encode_texts(docs, subwords.read_model(public_tokenizers.path("piece_bpe_32k.model"))),
+        "middle": lambda: middle.fill_in_middle(docs),
     }[name]()
 
 
-NAMES = ["secrets", "decontaminate", "rules", "lm", "toxicity", "mixing", "lines", "simhash", "pii", "quality"]
+NAMES = ["secrets", "decontaminate", "rules", "lm", "toxicity", "mixing", "lines", "simhash", "pii", "quality", "subwords", "middle"]
 
 
 def ids(rows):
@@ -118,6 +121,12 @@ def test_results_of_edge_rows(docs, labels, benchmark):
     assert names[2].fingerprint == "0" * 16 and names[2].component_id == names[3].component_id == names[4].component_id == 2
 
 
+def test_spelling_on_edge_rows(docs):
+    got = spelling.spelling_groups(docs)
+    assert got.columns == ["word", "n", "n_near", "form", "form_n", "root"]
+    assert all(r.n >= 2 and len(r.word) >= 7 and r.root for r in got.collect())
+
+
 def test_near_copies_keep_one(spark, docs, labels, tmp_path):
     got = simhash.without_near_duplicates(docs).collect()
     assert sum(r.doc_id == 5 for r in got) == 2  # the repeated row once, the other text once
