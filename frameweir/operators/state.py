@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameweir.operators.joins import lookup_join
-from frameweir.schema import FRAME_FIELDS, FRAME_ORDER, HISTORY_ORDER
+from frameweir.operators.parse import frames as parsed_frames
+from frameweir.schema import ARRIVAL, FRAME_FIELDS, FRAME_ORDER, HISTORY_ORDER
 from frameweir.session import stored
 
 _GROUP = ["cameraId", "batch_id"]
@@ -34,20 +35,30 @@ def _state_before() -> tuple[Column, Column]:
     return had_state.alias("had_state"), F.lag("timestamp").over(history).alias("prev_timestamp")
 
 
-def emit_per_batch(frames: DataFrame, is_stored: bool = False) -> DataFrame:
+def _with_payload(frames: DataFrame, records: DataFrame | None, places: DataFrame, keys: list[str]) -> DataFrame:
+    """`places` (one row per `keys`, few) with the payload of their frames.
+
+    With the topic `records` the frames came from, the records of the places
+    are picked before their messages are parsed; else the frames are read once
+    more. Either way nothing but the result is written or moved.
+    """
+    payload = [name for name in FRAME_FIELDS if name not in ("cameraId", "timestamp")]
+    places = stored(places, "places")
+    if records is not None:
+        frames = parsed_frames(lookup_join(records, places.select("batch_id", *ARRIVAL), ["batch_id", *ARRIVAL], "left_semi", is_stored=True))
+    return lookup_join(frames.select(*keys, *payload), places, keys, "inner", is_stored=True)
+
+
+def emit_per_batch(frames: DataFrame, records: DataFrame | None = None) -> DataFrame:
     """The emitted row of each camera and batch, payload included.
 
-    The frames are landed once (unless they are a stored table). The emitted
-    rows are found on narrow columns, of which the window over a camera's
-    history sees one row per batch, and looked up in the frames.
+    The emitted rows are found on narrow columns, of which the window over a
+    camera's history sees one row per batch; `records` as in `final_state`.
     """
-    frames = frames if is_stored else stored(frames, "frames")
     last = last_per_batch(frames).select(*_GROUP, "last.*", "n_frames")
     last = last.select("*", *_state_before())
     n_saved = F.col("n_frames") - F.when(F.col("had_state"), 0).otherwise(1)
-    last = last.withColumn("n_saved", n_saved)
-    payload = [name for name in FRAME_FIELDS if name not in ("cameraId", "timestamp")]
-    return lookup_join(frames.select(*_GROUP, *FRAME_ORDER, *payload), last, [*_GROUP, *FRAME_ORDER], "inner")
+    return _with_payload(frames, records, last.withColumn("n_saved", n_saved), [*_GROUP, *FRAME_ORDER])
 
 
 def frames_per_batch(frames: DataFrame) -> DataFrame:
@@ -62,14 +73,14 @@ def previous_timestamp(frames: DataFrame) -> DataFrame:
     return last.select(*_GROUP, *_state_before())
 
 
-def final_state(frames: DataFrame, is_stored: bool = False) -> DataFrame:
-    """The state of each camera after its latest batch, payload included; found as
-    in `emit_per_batch`."""
-    frames = frames if is_stored else stored(frames, "frames")
+def final_state(frames: DataFrame, records: DataFrame | None = None) -> DataFrame:
+    """The state of each camera after its latest batch, payload included.
+
+    Give the topic `records` if the frames are parsed from them: then only the
+    messages of the result are parsed a second time.
+    """
     last = frames.groupBy("cameraId").agg(F.max(F.struct(*HISTORY_ORDER)).alias("last")).select("cameraId", "last.*")
-    payload = [name for name in FRAME_FIELDS if name not in ("cameraId", "timestamp")]
-    wide = frames.select("cameraId", *HISTORY_ORDER, *payload)
-    return lookup_join(wide, last, ["cameraId", *HISTORY_ORDER], "left_semi")
+    return _with_payload(frames, records, last, ["cameraId", *HISTORY_ORDER])
 
 
 def first_frames(frames: DataFrame) -> DataFrame:

@@ -244,7 +244,8 @@ def collected(spark, folder):
 
 @query
 def emit_per_batch(spark, folder):
-    return state.emit_per_batch(event_frames(spark, folder))
+    records = event_records(spark, folder)
+    return state.emit_per_batch(frames(records), records)
 
 
 @query
@@ -271,7 +272,8 @@ def frame_order(spark, folder):
 
 @query
 def final_state(spark, folder):
-    return state.final_state(event_frames(spark, folder))
+    records = event_records(spark, folder)
+    return state.final_state(frames(records), records)
 
 
 # Images

@@ -67,8 +67,8 @@ def test_winners_move_no_payload(spark, folder, landed, kind):
     """No sort and no shuffle below the result carries a payload."""
     records = stored(event_records(spark, folder), "records")
     table, payload = {
-        "emitted": lambda: (state.emit_per_batch(landed, is_stored=True), "data"),
-        "final": lambda: (state.final_state(landed, is_stored=True), "data"),
+        "emitted": lambda: (state.emit_per_batch(landed), "data"),
+        "final": lambda: (state.final_state(landed), "data"),
         "first": lambda: (first_of_batch(records), "value"),
     }[kind]()
     steps = plan(table)
@@ -77,6 +77,16 @@ def test_winners_move_no_payload(spark, folder, landed, kind):
     assert sum(payload in columns for columns in read_columns(table)) == 1
 
 
+@pytest.mark.parametrize("find", [state.emit_per_batch, state.final_state])
+def test_winners_are_picked_before_the_parse(spark, folder, find):
+    """Only the records of the result are parsed with their payload."""
+    records = stored(event_records(spark, folder), "records")
+    steps = plan(find(frames(records), records))
+    assert steps.count("from_json") and "Exchange hashpartitioning" not in steps
+    # read upwards: the records are joined to the places, then parsed
+    assert steps.index("Generate explode") < steps.index("LeftSemi")
+
+
 def test_slices_are_used_as_they_are(landed):
     """Windows and border table work on slices, never on whole cameras."""
     steps = plan(state.frame_order(landed))
