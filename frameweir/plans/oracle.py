@@ -200,6 +200,21 @@ _FIRST_SQL = (
 )
 _PARSE_SQL = f"with {_FRAMES} select * from good"
 
+_ORDER_SQL = f"""with {_FRAMES}
+        select "cameraId", batch_id, "timestamp", "partition", "offset",
+               row_number() over (partition by "cameraId", batch_id
+                                  order by "timestamp", "partition", "offset") as position,
+               lag(batch_id) over h as prev_batch_id, lag("timestamp") over h as prev_timestamp,
+               lag("partition") over h as prev_partition, lag("offset") over h as prev_offset,
+               lag(batch_id) over h is not null as saved
+        from good
+        window h as (partition by "cameraId" order by batch_id, "timestamp", "partition", "offset")"""
+
+_FINAL_SQL = f"""with {_EMITTED}
+        select "cameraId", batch_id, "timestamp", "rows", cols, "type", data, "partition", "offset"
+        from emitted e
+        where batch_id = (select max(batch_id) from good g where g."cameraId" = e."cameraId")"""
+
 ORACLE: dict[str, str] = {
     "topic_records": f"""with {_MESSAGES}
         select key, message as value, topic, "partition", "offset", cast(ts as varchar) as "timestamp",
@@ -297,19 +312,10 @@ ORACLE: dict[str, str] = {
         select "cameraId", batch_id, had_state, prev_timestamp from emitted""",
     "save_flags": f"""with {_EMITTED}
         select "cameraId", batch_id, "timestamp", "partition", "offset", saved from numbered""",
-    "frame_order": f"""with {_FRAMES}
-        select "cameraId", batch_id, "timestamp", "partition", "offset",
-               row_number() over (partition by "cameraId", batch_id
-                                  order by "timestamp", "partition", "offset") as position,
-               lag(batch_id) over h as prev_batch_id, lag("timestamp") over h as prev_timestamp,
-               lag("partition") over h as prev_partition, lag("offset") over h as prev_offset,
-               lag(batch_id) over h is not null as saved
-        from good
-        window h as (partition by "cameraId" order by batch_id, "timestamp", "partition", "offset")""",
-    "final_state": f"""with {_EMITTED}
-        select "cameraId", batch_id, "timestamp", "rows", cols, "type", data, "partition", "offset"
-        from emitted e
-        where batch_id = (select max(batch_id) from good g where g."cameraId" = e."cameraId")""",
+    "frame_order": _ORDER_SQL,
+    "stream_order": _ORDER_SQL,
+    "final_state": _FINAL_SQL,
+    "state_after_stream": _FINAL_SQL,
     "export_saved": _EXPORT_SQL,
     "export_sampled": f"""with {_FRAMES} {_FIRST.format(source='judged')},
         pathed as (
@@ -325,7 +331,10 @@ ORACLE: dict[str, str] = {
         from judged where reason is not null""",
     "stream_state": f"""with {_EMITTED}
         select "cameraId", batch_id, "timestamp", "partition", "offset", n_frames, had_state,
-               prev_timestamp, n_saved, true as task_ok
+               prev_timestamp, n_saved, true as task_ok,
+               cast(coalesce(sum(n_frames) over (partition by "cameraId" order by batch_id
+                    rows between unbounded preceding and 1 preceding), 0) as bigint) as n_before,
+               (select count(distinct g."partition") from good g where g."cameraId" = emitted."cameraId") as n_partitions
         from emitted""",
     "stream_emit": _EMIT_SQL,
     "stream_save": f"""with {_EMITTED}

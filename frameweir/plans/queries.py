@@ -18,6 +18,7 @@ from frameweir.functions.frames import (
 from frameweir.functions.text import file_name, raw_file_name, stamp_text
 from frameweir.operators import state
 from frameweir.operators.images import decode_frames, frame_pixels, pixel_sums, png_contents, resize_frames
+from frameweir.operators.joins import lookup_join
 from frameweir.operators.parse import frames, parse_messages, rejects, value_to_text
 from frameweir.operators.records import first_of_batch, key_value_line
 from frameweir.plans.collector import collect_frames
@@ -28,14 +29,15 @@ from frameweir.plans.inputs import (
     event_records,
     table,
 )
-from frameweir.schema import HISTORY_ORDER
+from frameweir.schema import FRAME_ORDER, HISTORY_ORDER
 from frameweir.session import new_folder, stored
 from frameweir.sinks.images import export_images, latest_images
 from frameweir.sinks.topics import keyed_records, unkeyed_records
 from frameweir.sources.registry import camera_registry
+from frameweir.streaming.emit import state_places
 from frameweir.streaming.replay import replay
-from frameweir.streaming.run import per_batch, sample_first, store_emitted, store_lines, store_steps
-from frameweir.streaming.save import step_batch
+from frameweir.streaming.run import per_batch, run_available, sample_first, store_lines, store_steps
+from frameweir.streaming.save import land_batch, landed_frames, stepping
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -303,52 +305,71 @@ def _stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
 
-def _stepped(spark: SparkSession, folder: str, name: str, **options) -> str:
-    """The folder of the per-camera step over the replayed records."""
-    out = new_folder(spark, name)
+def _stepped(spark: SparkSession, folder: str, name: str, **options) -> tuple[str, str]:
+    """The folder of the per-camera step over the replayed records, and the checkpoint
+    of its state. Both streams are stopped half-way and go on from there."""
+    out, checkpoint = new_folder(spark, name), new_folder(spark, "checkpoint")
 
-    def start(records, checkpoint):
-        writer = records.writeStream.foreachBatch(step_batch(out, **options))
-        return writer.option("checkpointLocation", checkpoint)
+    def start(records, landing_checkpoint):
+        return records.writeStream.foreachBatch(land_batch(out)).option("checkpointLocation", landing_checkpoint)
 
-    replay(event_records(spark, folder), start)
-    return out
+    replay(event_records(spark, folder), start, after=lambda: run_available(stepping(spark, out, checkpoint, **options)))
+    return out, f"{checkpoint}/stepping"
+
+
+def _steps_of(spark: SparkSession, folder: str, output: str, **options) -> DataFrame:
+    out, _ = _stepped(spark, folder, output, **options)
+    return _stored(spark, f"{out}/{output}").drop("step")
 
 
 @query
 def stream_emit(spark, folder):
-    out = new_folder(spark, "emitted")
-    replay(event_records(spark, folder), lambda records, checkpoint: store_emitted(records, out, checkpoint, payload=True))
-    return _stored(spark, f"{out}/emitted")
+    return _steps_of(spark, folder, "emitted", outputs=("emitted",))
 
 
 @query
 def stream_rejects(spark, folder):
-    out = new_folder(spark, "emitted")
-    replay(event_records(spark, folder), lambda records, checkpoint: store_emitted(records, out, checkpoint))
+    out = new_folder(spark, "landed")
+    replay(event_records(spark, folder), lambda records, checkpoint: records.writeStream.foreachBatch(land_batch(out)).option("checkpointLocation", checkpoint))
     return _stored(spark, f"{out}/rejects")
 
 
+@query
+def stream_order(spark, folder):
+    """Position of every frame and the frame before it, across batches and restarts."""
+    return _steps_of(spark, folder, "order", outputs=("order",))
+
+
+@query
+def state_after_stream(spark, folder):
+    """The state of each camera out of the checkpoint, with its frame out of the batch
+    it came in."""
+    out, checkpoint = _stepped(spark, folder, "state", outputs=(), keep=True)
+    places = stored(state_places(spark, checkpoint).drop("n_frames"), "state")
+    batches = sorted(row.batch_id for row in places.select("batch_id").distinct().collect())
+    return lookup_join(landed_frames(spark, out, batches), places, ["cameraId", *HISTORY_ORDER], "left_semi", is_stored=True).drop("topic")
+
+
 @query
 def stream_state(spark, folder):
     """The stateful operator; `task_ok`: its rows come from the state's partitions."""
     out = new_folder(spark, "steps")
     replay(event_records(spark, folder), lambda records, checkpoint: store_steps(records, out, checkpoint, strict=False))
     last = int(spark.conf.get("spark.sql.shuffle.partitions")) - 1
-    steps = _stored(spark, out)
-    return steps.withColumn("task_ok", F.col("task_partition").between(0, last)).drop("task_partition")
+    steps = _stored(spark, out).withColumn("task_ok", F.col("task_partition").between(0, last))
+    return steps.select("cameraId", "batch_id", *FRAME_ORDER, "n_frames", "had_state", "prev_timestamp", "n_saved", "n_before", "n_partitions", "task_ok")
 
 
 @query
 def stream_save(spark, folder):
-    return _stored(spark, f"{_stepped(spark, folder, 'saved')}/frames").drop("topic")
+    return _steps_of(spark, folder, "frames", outputs=("frames",)).drop("topic")
 
 
 @query
 def stream_export(spark, folder):
     """Images of the saved frames, of each path the latest over all batches."""
-    out = _stepped(spark, folder, "exported", outputs=(), image_folder=IMAGES)
-    return png_contents(latest_images(_stored(spark, f"{out}/images")))
+    images = _steps_of(spark, folder, "images", outputs=(), image_folder=IMAGES)
+    return png_contents(latest_images(images))
 
 
 @query

@@ -12,7 +12,12 @@ from frameweir.session import file_system, new_folder
 from frameweir.sources.topics import read_topic_table
 
 
-def replay(records: DataFrame, start: Callable[[DataFrame, str], DataStreamWriter], restarts: int = 1) -> None:
+def replay(
+    records: DataFrame,
+    start: Callable[[DataFrame, str], DataStreamWriter],
+    restarts: int = 1,
+    after: Callable[[], object] | None = None,
+) -> None:
     """Run a stream over `records`, one micro-batch per `batch_id`, in order.
 
     `start` makes the writer from the stream and its checkpoint folder. The
@@ -20,7 +25,8 @@ def replay(records: DataFrame, start: Callable[[DataFrame, str], DataStreamWrite
     asks for. A folder comes into the stream's sight by being renamed, all files
     at once, so a batch may be of any size; that asks for a file system that
     renames folders in one step. One query runs over all batches, but for
-    `restarts` from its checkpoint at even distances.
+    `restarts` from its checkpoint at even distances; `after` runs whenever it has
+    been stopped.
     """
     spark = records.sparkSession
     waiting, seen = new_folder(spark, "records"), new_folder(spark, "landing")
@@ -39,6 +45,8 @@ def replay(records: DataFrame, start: Callable[[DataFrame, str], DataStreamWrite
             if query is not None and done in breaks:
                 query.stop()
                 query = None
+                if after:
+                    after()
             if query is None:
                 query = start(read_topic_table(spark, f"{seen}/*"), checkpoint).start()
             if not system.rename(folders[batch], file_system(spark, f"{seen}/batch-{batch}")[1]):
@@ -47,3 +55,5 @@ def replay(records: DataFrame, start: Callable[[DataFrame, str], DataStreamWrite
     finally:
         if query is not None:
             query.stop()
+    if after:
+        after()

@@ -16,7 +16,7 @@ from frameweir.sources.registry import camera_registry
 from frameweir.sources.settings import source_options
 from frameweir.sources.topics import read_topic
 from frameweir.streaming.emit import emit_stream
-from frameweir.streaming.save import step_batch
+from frameweir.streaming.save import both_streams
 
 
 def to_console(table: DataFrame, checkpoint: str, mode: str = "update") -> DataStreamWriter:
@@ -95,11 +95,11 @@ def store_steps(records: DataFrame, folder: str, checkpoint: str, strict: bool =
 
 def store_emitted(
     records: DataFrame, folder: str, checkpoint: str, payload: bool = False, strict: bool = False
-) -> DataStreamWriter:
-    """Stores the emitted row of each camera and micro-batch under `folder`/emitted and
-    bad messages under `folder`/rejects; with `strict` the first one fails."""
-    step = step_batch(folder, ("emitted",), payload=payload, strict=strict)
-    return records.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+) -> list[DataStreamWriter]:
+    """Two streams that store the emitted row of each camera and micro-batch under
+    `folder`/emitted and bad messages under `folder`/rejects; with `strict` the
+    first one fails."""
+    return both_streams(records, folder, checkpoint, strict, outputs=("emitted",), payload=payload)
 
 
 def cameras(spark: SparkSession, settings: dict[str, str]) -> DataFrame:
@@ -114,17 +114,31 @@ def process(
     folder: str,
     checkpoint: str,
     records: DataFrame | None = None,
-) -> DataStreamWriter:
-    """The processor as its settings file says: reads the topic (or `records`), stores
-    emitted rows and rejects under `folder`, and writes the images of saved
-    frames to `processed.output.dir`, with a report."""
+) -> list[DataStreamWriter]:
+    """The processor as its settings file says, as two streams: reads the topic (or
+    `records`), stores emitted rows and rejects under `folder`, and writes the
+    images of saved frames to `processed.output.dir`, with a report."""
     records = read_topic(spark, source_options(settings)) if records is None else records
-    step = step_batch(folder, ("emitted",), settings["processed.output.dir"], image_files=True)
-    return records.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
-
-
-def run_available(writer: DataStreamWriter, timeout: int | None = None) -> StreamingQuery:
-    """Run a stream over all that is there, and stop."""
-    query = writer.trigger(availableNow=True).start()
-    query.awaitTermination(timeout)
+    images = settings["processed.output.dir"]
+    return both_streams(records, folder, checkpoint, outputs=("emitted",), image_folder=images, image_files=True)
+
+
+def run_all(spark: SparkSession, writers: list[DataStreamWriter]) -> None:
+    """Start streams together and wait until one of them ends or fails; the others
+    are stopped then."""
+    queries = []
+    try:
+        queries += [writer.start() for writer in writers]
+        spark.streams.awaitAnyTermination()
+    finally:
+        for query in queries:
+            query.stop()
+
+
+def run_available(writer: DataStreamWriter | list[DataStreamWriter], timeout: int | None = None) -> StreamingQuery:
+    """Run a stream, or several one after the other, over all that is there; the last
+    one is returned."""
+    for one in writer if isinstance(writer, list) else [writer]:
+        query = one.trigger(availableNow=True).start()
+        query.awaitTermination(timeout)
     return query

@@ -1,12 +1,15 @@
-"""The per-camera step with payloads: save flags, emitted rows, rejects, images.
-
-Runs once per micro-batch, on Spark expressions only. The parsed batch is landed
-once as a table; flags and emitted rows are found on its narrow columns, and
-payloads are read where they are written. The state is a table with one narrow
-row per camera ever seen. Batch `n` reads the snapshot that batch `n-1` wrote
-and writes its own to the other of two folders, so a batch that is run again
-after a failure finds the same input and overwrites the same output. What lies
-in `landing`, `lookup` and `state` belongs to the last batch only.
+"""The per-camera step with payloads, as two streams.
+
+The first one, over topic records, parses each micro-batch once and lands it: a
+folder per batch with frames and rejects, and a folder with the frames' places,
+which comes into sight by being renamed, so all at once and once only. The
+second one reads the places, runs the stateful operator on them, and writes
+flags, emitted rows, order and images, taking payloads from the landed folders
+of its batches. The state lies in the second stream's checkpoint; nothing is
+rewritten but the cameras of a batch.
+
+Either stream may fail anywhere. A batch whose places are in sight is not landed
+again; a micro-batch of the second stream overwrites its own output.
 """
 
 from __future__ import annotations
@@ -15,60 +18,93 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from frameweir.operators.joins import lookup_join
 from frameweir.operators.parse import bad_messages, good_frames, parse_messages, refuse_bad
-from frameweir.schema import FRAME_ORDER
-from frameweir.session import stored
+from frameweir.operators.state import frame_order
+from frameweir.schema import FRAME_ORDER, HISTORY_ORDER
+from frameweir.session import file_system, stored
 from frameweir.sinks.images import export_images, write_images
+from frameweir.streaming.emit import emit_stream
 
-_PLACE = "struct<timestamp: string, partition: int, offset: bigint>"
-_STATE = (
-    f"cameraId string, first {_PLACE}, last {_PLACE}, n_frames bigint,"
-    " prev_timestamp string, had_state boolean, batch_id bigint"
-)
+_PLACES = "cameraId string, batch_id bigint, timestamp string, partition int, offset bigint"
 
 
-def _snapshot(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
-    """The cameras known after a batch."""
-    if batch_id < 0:
-        return spark.createDataFrame([], _STATE)
-    table = spark.read.schema(_STATE).parquet(f"{folder}/state/slot={batch_id % 2}")
-    missing = F.raise_error(F.lit(f"the state of batch {batch_id} is missing")).cast("boolean")
-    return table.where(F.when(F.col("batch_id") == batch_id, True).otherwise(missing))
+# ---- landing ------------------------------------------------------------------------
+
+
+def _numbers(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """The batches that have a folder of that name."""
+    system, place = file_system(spark, f"{folder}/{name}")
+    found = [x.getPath().getName() for x in system.listStatus(place)] if system.exists(place) else []
+    return sorted(int(x.partition("=")[2]) for x in found if x.partition("=")[2].isdigit())
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    system, place = file_system(spark, target)
+    system.mkdirs(place.getParent())
+    if not system.rename(file_system(spark, source)[1], place):
+        raise RuntimeError(f"{source} could not be moved to {target}")
+
+
+def land_batch(folder: str, strict: bool = False) -> Callable[[DataFrame, int], None]:
+    """Function for `foreachBatch` over topic records: writes `landed` and `rejects`
+    under `folder`, then the places. With `strict` a bad message fails the batch."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if batch_id in _numbers(spark, folder, "places"):
+            return  # the stream failed after this batch was in sight
+        # Parsed once; the text is kept where the frame is not.
+        parsed = parse_messages(batch)
+        parsed = refuse_bad(parsed) if strict else parsed
+        text = F.when(F.col("reason").isNotNull(), F.col("message"))
+        parsed = stored(parsed.withColumn("message", text), folder=f"{folder}/landed/batch_id={batch_id}")
+        bad_messages(parsed).write.mode("overwrite").parquet(f"{folder}/rejects/batch_id={batch_id}")
+        places = good_frames(parsed).select("cameraId", F.lit(batch_id).cast("bigint").alias("batch_id"), *FRAME_ORDER)
+        stored(places, folder=f"{folder}/side")
+        _rename(spark, f"{folder}/side", f"{folder}/places/batch={batch_id}")
+
+    return run
+
+
+def landing(records: DataFrame, folder: str, checkpoint: str, strict: bool = False) -> DataStreamWriter:
+    """The first stream."""
+    writer = records.writeStream.foreachBatch(land_batch(folder, strict))
+    return writer.option("checkpointLocation", f"{checkpoint}/landing")
+
+
+def landed_frames(spark: SparkSession, folder: str, batches: list[int]) -> DataFrame:
+    """The good frames of landed batches, with `batch_id`."""
+    paths = [f"{folder}/landed/batch_id={n}" for n in batches]
+    return good_frames(spark.read.option("basePath", f"{folder}/landed").parquet(*paths))
+
+
+# ---- stepping -----------------------------------------------------------------------
 
 
 def _at(place: str) -> Column:
     here = F.lit(True)
     for name in FRAME_ORDER:
-        here = here & (F.col(name) == F.col(f"{place}.{name}"))
+        here = here & (F.col(name) == F.col(f"{place}{name}"))
     return here
 
 
-def _cameras(frames: DataFrame, folder: str, batch_id: int) -> DataFrame:
-    """The snapshot after this batch, written and read again."""
-    place = F.struct(*FRAME_ORDER)
-    now = frames.groupBy("cameraId").agg(
-        F.min(place).alias("first"),
-        F.max(place).alias("last"),
-        F.count(F.lit(1)).alias("n_frames"),
-    )
-    before = _snapshot(frames.sparkSession, folder, batch_id - 1).select(
-        "cameraId",
-        F.coalesce("last.timestamp", "prev_timestamp").alias("prev_timestamp"),
-        F.lit(True).alias("had_state"),
-    )
-    cameras = now.join(before, "cameraId", "full").select(
-        "cameraId",
-        "first",
-        "last",
-        "n_frames",
-        "prev_timestamp",
-        F.coalesce("had_state", F.lit(False)).alias("had_state"),
-        F.lit(batch_id).cast("bigint").alias("batch_id"),
-    )
-    cameras.write.mode("overwrite").parquet(f"{folder}/state/slot={batch_id % 2}")
-    return _snapshot(frames.sparkSession, folder, batch_id).drop("batch_id")
+def chained(places: DataFrame, steps: DataFrame) -> DataFrame:
+    """`frame_order` of the frames of some batches, as part of a longer history: the
+    first frame of each camera follows the last one that the state held before.
+
+    `places` are range-sorted into slices of equal size, whatever the cameras;
+    `steps` (what `emit_stream` gives for them) has one row per camera and batch.
+    """
+    held = F.when(F.col("had_state"), F.struct([F.col(f"prev_{name}").alias(name) for name in HISTORY_ORDER]))
+    earliest = steps.groupBy("cameraId").agg(F.min_by(F.struct(held.alias("place")), "batch_id").alias("held"))
+    rows = lookup_join(frame_order(places), earliest, ["cameraId"])
+    place = F.when(F.col("saved"), F.struct([F.col(f"prev_{name}").alias(name) for name in HISTORY_ORDER])).otherwise(F.col("held.place"))
+    rows = rows.withColumn("place", place)
+    previous = [F.col(f"place.{name}").alias(f"prev_{name}") for name in HISTORY_ORDER]
+    return rows.select("cameraId", *HISTORY_ORDER, "position", *previous, F.col("place").isNotNull().alias("saved"))
 
 
 def step_batch(
@@ -76,53 +112,84 @@ def step_batch(
     outputs: tuple[str, ...] = ("frames",),
     image_folder: str | None = None,
     image_files: bool = False,
-    strict: bool = False,
     payload: bool = True,
+    keep: bool = False,
 ) -> Callable[[DataFrame, int], None]:
-    """Function for `foreachBatch` over a stream of topic records.
-
-    Writes under `folder`, per batch: `rejects`, and of `outputs`: `frames`
-    (every good frame with `saved`, `is_last`, `had_state`, `prev_timestamp`,
-    `n_frames`) and `emitted` (the emitted row of each camera, with its frame or,
-    without `payload`, with its place only). With `image_folder` also the
-    images of the saved frames: as a table `images`, or, with `image_files`, as
-    files and a table `report`. With `strict` a bad message fails the batch.
+    """Function for `foreachBatch` over what `emit_stream` gives for the places.
+
+    Writes under `folder`, per micro-batch, of `outputs`: `frames` (every good
+    frame with `saved`, `is_last`, `had_state`, `prev_timestamp`, `n_frames`),
+    `emitted` (the emitted row of each camera and batch, with its frame or,
+    without `payload`, with its place only) and `order` (position of every
+    frame, and the frame before it). With `image_folder` also the images of
+    the saved frames: as a table `images`, or, with `image_files`, as files and
+    a table `report`. Batches that an earlier micro-batch has handled lose
+    their landed folders, unless `keep` says otherwise.
     """
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        # Parsed once; the text is kept where the frame is not.
-        parsed = parse_messages(batch)
-        parsed = refuse_bad(parsed) if strict else parsed
-        text = F.when(F.col("reason").isNotNull(), F.col("message"))
-        parsed = stored(parsed.withColumn("message", text), folder=f"{folder}/landing")
-        frames = good_frames(parsed)
-        cameras = _cameras(frames, folder, batch_id)
-        seen = cameras.where(F.col("last").isNotNull())
+    def run(steps: DataFrame, step: int) -> None:
+        spark = steps.sparkSession
+        steps = stored(steps, folder=f"{folder}/steps")
+        batches = sorted(row.batch_id for row in steps.select("batch_id").distinct().collect())  # of this micro-batch
+        if not batches:
+            return
+        for name in () if keep else ("landed", "places"):
+            key = "batch_id" if name == "landed" else "batch"
+            for old in (n for n in _numbers(spark, folder, name) if n < batches[0]):
+                system, place = file_system(spark, f"{folder}/{name}/{key}={old}")
+                system.delete(place, True)
+        frames = landed_frames(spark, folder, batches)
+        keys = ["cameraId", "batch_id"]
 
         def write(table: DataFrame, name: str) -> None:
-            table.write.mode("overwrite").parquet(f"{folder}/{name}/batch_id={batch_id}")
+            table.write.mode("overwrite").parquet(f"{folder}/{name}/step={step}")
 
         def flagged() -> DataFrame:
-            joined = lookup_join(frames, seen, ["cameraId"], is_stored=True)
-            return joined.withColumn("saved", F.col("had_state") | ~_at("first")).withColumn("is_last", _at("last"))
+            known = steps.select(
+                *keys,
+                *[f"first_{name}" for name in FRAME_ORDER],
+                *[F.col(name).alias(f"last_{name}") for name in FRAME_ORDER],
+                "n_frames",
+                "prev_timestamp",
+                "had_state",
+            )
+            joined = lookup_join(frames, known, keys, is_stored=True)
+            joined = joined.withColumn("saved", F.col("had_state") | ~_at("first_")).withColumn("is_last", _at("last_"))
+            return joined.drop(*[f"{side}_{name}" for side in ("first", "last") for name in FRAME_ORDER])
 
         if "frames" in outputs:
-            write(flagged().drop("first", "last"), "frames")
+            write(flagged(), "frames")
         if "emitted" in outputs:
-            n_saved = F.col("n_frames") - F.when(F.col("had_state"), 0).otherwise(1)
-            last = seen.select("cameraId", "last.*", "n_frames", "had_state", "prev_timestamp", n_saved.alias("n_saved"))
+            last = steps.select(*keys, *FRAME_ORDER, "n_frames", "had_state", "prev_timestamp", "n_saved")
             if payload:
-                keys = ["cameraId", *FRAME_ORDER]
-                last = lookup_join(frames.drop("topic"), last, keys, "inner", folder=f"{folder}/lookup")
+                last = lookup_join(frames.drop("topic"), last, [*keys, *FRAME_ORDER], "inner", folder=f"{folder}/lookup")
             write(last, "emitted")
-        write(bad_messages(parsed), "rejects")
+        if "order" in outputs:
+            paths = [f"{folder}/places/batch={n}" for n in batches]
+            write(chained(spark.read.schema(_PLACES).parquet(*paths), steps), "order")
 
         if image_folder is not None:
             saved = flagged().where("saved")
-            images = export_images(saved, image_folder, order=FRAME_ORDER, keep=("partition", "offset"), work=f"{folder}/lookup")
+            images = export_images(saved, image_folder, keep=("batch_id", "partition", "offset"), work=f"{folder}/lookup")
             if image_files:
-                write_images(images, image_folder, f"{folder}/report/batch_id={batch_id}")
+                write_images(images, image_folder, f"{folder}/report/step={step}")
             else:
                 write(images, "images")
 
     return run
+
+
+def stepping(spark: SparkSession, folder: str, checkpoint: str, **options) -> DataStreamWriter:
+    """The second stream; `options` as in `step_batch`. All places in sight make one
+    micro-batch, however many batches they are: a batch is never split."""
+    system, place = file_system(spark, f"{folder}/places/batch")
+    system.mkdirs(place)
+    # No file is ever too old to be read: this stream may be behind by any time.
+    places = spark.readStream.schema(_PLACES).option("maxFileAge", "36500d").parquet(f"{folder}/places/*")
+    writer = emit_stream(places).writeStream.outputMode("update").foreachBatch(step_batch(folder, **options))
+    return writer.option("checkpointLocation", f"{checkpoint}/stepping")
+
+
+def both_streams(records: DataFrame, folder: str, checkpoint: str, strict: bool = False, **options) -> list[DataStreamWriter]:
+    """Both streams, to be started together, or one after the other on what is there."""
+    return [landing(records, folder, checkpoint, strict), stepping(records.sparkSession, folder, checkpoint, **options)]

@@ -16,7 +16,7 @@ from frameweir.functions.frames import encode_base64, frame_json  # noqa: E402
 from frameweir.session import build_session  # noqa: E402
 from frameweir.sources.topics import read_topic_table  # noqa: E402
 from frameweir.streaming.run import run_available, store_emitted  # noqa: E402
-from frameweir.streaming.save import step_batch  # noqa: E402
+from frameweir.streaming.save import both_streams  # noqa: E402
 
 
 def main(folder: str, count: int, cores: int) -> None:
@@ -48,8 +48,7 @@ def main(folder: str, count: int, cores: int) -> None:
     rows.write.parquet(f"{folder}/topic")
     stream = read_topic_table(spark, f"{folder}/topic")
     run_available(store_emitted(stream, f"{folder}/emitted", f"{folder}/c1", payload=True))
-    step = step_batch(f"{folder}/saved", ("frames",), f"{folder}/images/")
-    run_available(stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{folder}/c2"))
+    run_available(both_streams(stream, f"{folder}/saved", f"{folder}/c2", image_folder=f"{folder}/images/"))
     emitted = spark.read.parquet(f"{folder}/emitted/emitted")
     images = spark.read.parquet(f"{folder}/saved/images")
     found = {

@@ -109,7 +109,7 @@ def test_stream_reduces_tasks_before_the_state(spark, folder):
     event_records(spark, folder).drop("batch_id").write.parquet(path)
     emitted = emit_stream(frames(read_topic_table(spark, path)))
     steps = emitted._jdf.queryExecution().logical().toString()
-    assert steps.index("FlatMapGroupsInPandasWithState") < steps.index("MapInPandas")
+    assert steps.index("TransformWithStateInPySpark") < steps.index("MapInPandas")
     assert "data#" not in steps[: steps.index("MapInPandas")]
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from frameweir.operators import state
 from frameweir.operators.parse import frames, rejects
 from frameweir.session import new_folder
-from frameweir.streaming import run, save
+from frameweir.streaming import emit, run, save
 from frameweir.streaming.emit import emit_stream
 from frameweir.sources.topics import read_topic_table
 from tests.helpers import expected_steps, message, records
@@ -124,27 +124,29 @@ def test_name_that_leaves_the_folder(spark, tmp_path):
     out, inside = new_folder(spark, "out"), tmp_path / "images"
     inside.mkdir()
     rows = [(0, 1, message("../x")), (0, 2, message("../x", "t2")), (0, 3, message("y")), (0, 4, message("y", "t2"))]
-    save.step_batch(out, (), f"{inside}/", image_files=True)(records(spark, rows).drop("batch_id"), 0)
+    save.land_batch(out)(records(spark, rows).drop("batch_id"), 0)
+    run.run_available(save.stepping(spark, out, new_folder(spark, "checkpoint"), outputs=(), image_folder=f"{inside}/", image_files=True))
     report = {os.path.basename(r.path): r.error for r in spark.read.parquet(f"{out}/report").collect()}
     assert report == {"x-T-t2.png": "the name leaves the folder", "y-T-t2.png": None}
     assert os.listdir(tmp_path) == ["images"] and os.listdir(inside) == ["y-T-t2.png"]
 
 
 def test_folders_do_not_grow(spark, topic):
-    """What belongs to one batch only is overwritten by the next."""
-    out = new_folder(spark, "out")
+    """Landed batches go when a later one has been handled."""
+    out, checkpoint = new_folder(spark, "out"), new_folder(spark, "checkpoint")
     base = len(os.listdir(os.path.dirname(out)))
-    step = save.step_batch(out, ("emitted",), "/out/")
+    land = save.land_batch(out)
     found = []
     for batch in (0, 1, 2):
-        step(topic.records.where(F.col("batch_id") == batch).drop("batch_id"), batch)
-        found.append((sorted(os.listdir(out)), len(os.listdir(os.path.dirname(out))) - base))
-    assert found[0] == found[1] == found[2]
+        land(topic.records.where(F.col("batch_id") == batch).drop("batch_id"), batch)
+        run.run_available(save.stepping(spark, out, checkpoint, outputs=("emitted",), image_folder="/out/"))
+        found.append((sorted(os.listdir(out)), os.listdir(f"{out}/landed"), len(os.listdir(os.path.dirname(out))) - base))
+    assert found[0][0] == found[1][0] == found[2][0] and found[0][2] == found[2][2]
+    assert [x[1] for x in found] == [["batch_id=0"], ["batch_id=1"], ["batch_id=2"]]
 
 
 def saved_stream(topic, out, checkpoint, **options):
-    writer = topic.stream().writeStream.foreachBatch(save.step_batch(out, **options))
-    return writer.option("checkpointLocation", checkpoint)
+    return save.both_streams(topic.stream(), out, checkpoint, **options)
 
 
 def check_saved(spark, topic, out):
@@ -170,17 +172,17 @@ def test_saved_rows_after_a_restart(spark, topic):
     check_saved(spark, topic, out)
 
 
-@pytest.mark.parametrize("broken", ["lookup_join", "bad_messages"])
-def test_saved_rows_after_a_failure(spark, topic, monkeypatch, broken):
-    """A batch that failed half-way, after its state or its frames were
-    written, is run again from the checkpoint."""
+@pytest.mark.parametrize("broken, at", [("bad_messages", 3), ("_rename", 2), ("lookup_join", 1), ("landed_frames", 1)])
+def test_saved_rows_after_a_failure(spark, topic, monkeypatch, broken, at):
+    """A batch that failed half-way, while it was landed or stepped, is run again from
+    the checkpoint."""
     out, checkpoint = new_folder(spark, "out"), new_folder(spark, "checkpoint")
     topic.land(0, 1, 2)
     whole, calls = getattr(save, broken), []
 
     def fails_once(*args, **kwargs):
         calls.append(1)
-        if len(calls) == 3:
+        if len(calls) == at:
             raise OSError("lost")
         return whole(*args, **kwargs)
 
@@ -191,12 +193,84 @@ def test_saved_rows_after_a_failure(spark, topic, monkeypatch, broken):
     check_saved(spark, topic, out)
 
 
-def test_lost_state_is_noticed(spark, topic):
-    out = new_folder(spark, "out")
-    step = save.step_batch(out)
-    step(topic.records.where("batch_id = 0").drop("batch_id"), 0)
-    with pytest.raises(Exception, match="the state of batch 2 is missing"):
-        step(topic.records.where("batch_id = 1").drop("batch_id"), 3)
+def test_batch_in_sight_is_not_landed_again(spark, topic):
+    """The stream failed after its batch came into sight, and the batch was stepped."""
+    out, checkpoint = new_folder(spark, "out"), new_folder(spark, "checkpoint")
+    batch = topic.records.where("batch_id = 0").drop("batch_id")
+    for _ in range(2):
+        save.land_batch(out)(batch, 0)
+        run.run_available(save.stepping(spark, out, checkpoint, outputs=("emitted",)))
+    got = spark.read.parquet(f"{out}/emitted").collect()
+    assert {r.cameraId: r.n_frames for r in got} == {"a": 2, "b": 1} and len(got) == 2
+
+
+def test_order_across_batches(spark, topic):
+    """Positions and previous frames, the state taking over between micro-batches."""
+    out, checkpoint = new_folder(spark, "out"), new_folder(spark, "checkpoint")
+    for batches in ((0, 1), (2,)):
+        topic.land(*batches)
+        run.run_available(saved_stream(topic, out, checkpoint, outputs=("order",)))
+    got = spark.read.parquet(f"{out}/order").collect()
+    assert len(spark.read.parquet(f"{out}/order").select("step").distinct().collect()) == 2
+    before, wanted = {}, {}
+    for camera, batch, stamp, offset in sorted(STEPS, key=lambda s: (s[1], s[2], s[3])):
+        place = 1 + sum(s[:2] == (camera, batch) and s[2:] < (stamp, offset) for s in STEPS)
+        wanted[offset] = (place, before.get(camera), camera in before)
+        before[camera] = offset
+    assert {r.offset: (r.position, r.prev_offset, r.saved) for r in got} == wanted
+
+
+def test_hot_camera_is_split_in_the_stream(spark):
+    """A camera with nearly all rows: no task sees more than its slice of them."""
+    out, checkpoint, size = new_folder(spark, "out"), new_folder(spark, "checkpoint"), 4000
+    text = F.concat(F.lit('{"cameraId":"'), F.when(F.col("id") % 50 == 0, "cold").otherwise("hot"), F.lit('","timestamp":"t","rows":1,"cols":1,"type":0,"data":"eA=="}'))
+    rows = spark.range(2 * size).select(F.lit(None).cast("binary").alias("key"), text.cast("binary").alias("value"), F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"), F.lit(0).alias("timestampType"))
+    for batch in (0, 1):
+        save.land_batch(out)(rows.where(F.floor(F.col("id") / size) == batch), batch)
+        run.run_available(save.stepping(spark, out, checkpoint, outputs=("order",)))
+    got = spark.read.parquet(f"{out}/order").where("cameraId = 'hot'").orderBy("offset").collect()
+    assert all(b.prev_offset == a.offset for a, b in zip(got, got[1:])) and got[0].prev_offset is None
+    assert [r.position for r in got if r.batch_id == 1] == list(range(1, size - size // 50 + 1))
+
+
+def test_state_out_of_the_checkpoint(spark, topic):
+    out, checkpoint = new_folder(spark, "out"), new_folder(spark, "checkpoint")
+    topic.land(0, 1, 2)
+    run.run_available(saved_stream(topic, out, checkpoint, outputs=()))
+    got = {r.cameraId: (r.batch_id, r.timestamp, r.offset, r.n_frames) for r in emit.state_places(spark, f"{checkpoint}/stepping").collect()}
+    wanted = {r.cameraId: (r.timestamp, r.offset) for r in state.final_state(frames(topic.records)).collect()}
+    assert {c: r[1:3] for c, r in got.items()} == wanted
+    assert {c: r[3] for c, r in got.items()} == {c: sum(s[0] == c for s in STEPS) for c in "abc"}
+    seen = emit.state_partitions(spark, f"{checkpoint}/stepping").collect()
+    assert {(r.cameraId, r.partition, r.offset) for r in seen} == {("a", 0, 4), ("b", 0, 6), ("c", 0, 8)}
+
+
+def test_state_takes_a_new_field(spark, topic, monkeypatch):
+    """A checkpoint of the older operator is read on by the newer one."""
+    out, checkpoint = new_folder(spark, "out"), new_folder(spark, "checkpoint")
+    topic.land(0)
+
+    def older_init(self, handle):
+        class Cut:
+            """Takes five fields and keeps four."""
+
+            def __init__(self, value):
+                self.value = value
+                self.exists, self.get = value.exists, value.get
+
+            def update(self, row):
+                self.value.update(tuple(row)[:4])
+
+        self.last = Cut(handle.getValueState(emit.LAST, "batch_id bigint, timestamp string, partition int, offset bigint"))
+        self.seen = handle.getMapState(emit.SEEN, "partition int", "offset bigint")
+
+    with monkeypatch.context() as older:
+        older.setattr(emit.CameraSteps, "init", older_init)
+        run.run_available(saved_stream(topic, out, checkpoint, outputs=("emitted",)))
+    topic.land(1, 2)
+    run.run_available(saved_stream(topic, out, checkpoint, outputs=("emitted",)))
+    got = spark.read.parquet(f"{out}/emitted").collect()
+    assert numbered(got) == expected_steps(STEPS)[0]
 
 
 @pytest.mark.parametrize("files", [False, True])
@@ -214,7 +288,7 @@ def test_saved_images(spark, topic, tmp_path, files):
         assert all(row.error is None for row in report)
     else:
         assert not os.listdir(tmp_path)
-        table = spark.read.option("basePath", f"{out}/images").parquet(f"{out}/images")
+        table = spark.read.parquet(f"{out}/images")
         got = {os.path.basename(r.path): bytes(r.png) for r in table.orderBy("batch_id").collect()}
     assert {name: read_png(png)[1].tobytes() for name, png in got.items()} == wanted
 
@@ -263,21 +337,6 @@ def test_lines(spark, topic):
     assert "Key: null;Value: Hello" in lines and "Key: null;Value: null" in lines
 
 
-def test_rocksdb_state(spark, topic):
-    """The state store for many cameras gives the same rows."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        out = new_folder(spark, "out")
-        topic.land(0, 1, 2)
-        run.run_available(run.store_steps(topic.stream(), out, new_folder(spark, "checkpoint"), strict=False))
-        got = spark.read.option("basePath", out).parquet(out).collect()
-        assert numbered(got) == expected_steps(STEPS)[0]
-    finally:
-        spark.conf.set(key, before)
-
-
 def test_batch_queries_agree(topic):
     got = state.emit_per_batch(frames(topic.records)).collect()
     assert by_camera(got) == expected_steps(STEPS)[0]
@@ -286,4 +345,4 @@ def test_batch_queries_agree(topic):
 
 def test_stream_has_no_watermark(topic):
     plan = emit_stream(frames(topic.stream()))._jdf.queryExecution().analyzed().toString()
-    assert "EventTimeWatermark" not in plan and "NoTimeout" in plan
+    assert "EventTimeWatermark" not in plan and "TransformWithState" in plan
