@@ -12,8 +12,8 @@ from frameweir.schema import FRAME_FIELDS, FRAME_SCHEMA
 _CORRUPT = "_corrupt_record"
 _PARSE_SCHEMA = T.StructType([*FRAME_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
 
-# Columns of a topic record that a frame keeps.
-_CARRIED = ["topic", "partition", "offset", "batch_id"]
+# Columns of a topic record that a frame keeps, where there are such.
+_CARRIED = ["topic", "partition", "offset", "batch_id", "_file", "_row"]
 
 
 def value_to_text(records: DataFrame) -> DataFrame:

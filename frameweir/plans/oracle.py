@@ -215,6 +215,35 @@ _FINAL_SQL = f"""with {_EMITTED}
         from emitted e
         where batch_id = (select max(batch_id) from good g where g."cameraId" = e."cameraId")"""
 
+# The hash of keys, step by step; the constants are those of the public algorithm.
+_PARTITIONS = """with keys as (
+  select 'camera' as kind, event_id as id, case when event_id % 89 <> 0 then 'cam-' || (user_id % 16) end as key from events
+  union all
+  select 'user', event_id, user_id || repeat('.', cast(event_id % 5 as integer)) from events
+  union all
+  select 'part', p_partkey, p_name from part),
+hexed as (select *, hex(encode(key)) as d, octet_length(encode(key)) as size from keys),
+words as (
+  select *,
+    list_transform(range(size // 4), lambda i: cast('0x' || d[8*i+7:8*i+8] || d[8*i+5:8*i+6] || d[8*i+3:8*i+4] || d[8*i+1:8*i+2] as bigint)) as ws,
+    case when size % 4 = 0 then 0 else cast('0x'
+      || case when size % 4 = 3 then d[2*size-1:2*size] else '' end
+      || case when size % 4 >= 2 then d[8*(size//4)+3:8*(size//4)+4] else '' end
+      || d[8*(size//4)+1:8*(size//4)+2] as bigint) end as tail
+  from hexed),
+mixed as (
+  select kind, id, key, size, tail, list_transform(
+    list_transform(ws, lambda w: (w * 1540483477) & 4294967295), lambda w: (xor(w, w >> 24) * 1540483477) & 4294967295) as ws
+  from words),
+folded as (
+  select kind, id, key, size, tail,
+    list_reduce(list_prepend(xor(cast(2538058380 as bigint), size), ws), lambda h, w: xor((h * 1540483477) & 4294967295, w)) as h
+  from mixed),
+tailed as (
+  select kind, id, key, case when size % 4 = 0 then h else (xor(h, tail) * 1540483477) & 4294967295 end as h from folded),
+last as (select kind, id, key, (xor(h, h >> 13) * 1540483477) & 4294967295 as h from tailed)
+select kind, id, key, cast((xor(h, h >> 15) & 2147483647) % 12 as integer) as "partition" from last"""
+
 ORACLE: dict[str, str] = {
     "topic_records": f"""with {_MESSAGES}
         select key, message as value, topic, "partition", "offset", cast(ts as varchar) as "timestamp",
@@ -238,6 +267,7 @@ ORACLE: dict[str, str] = {
         from documents""",
     "build_json": f"""with {_FRAMES}
         select "cameraId" as key, message as value from judged where reason is null""",
+    "keyed_partitions": _PARTITIONS,
     "unkeyed_messages": "select cast(null as varchar) as key, text as value from conversations",
     "key_value_lines": f'with {_MESSAGES} select "partition", "offset", {_LINE} as line from msg',
     "first_records": _FIRST_SQL,

@@ -15,11 +15,13 @@ from frameweir.functions.frames import (
     encode_base64,
     frame_json,
 )
+from frameweir.functions.hashing import key_partition
 from frameweir.functions.text import file_name, raw_file_name, stamp_text
 from frameweir.operators import state
 from frameweir.operators.images import decode_frames, frame_pixels, pixel_sums, png_contents, resize_frames
 from frameweir.operators.joins import lookup_join
 from frameweir.operators.parse import frames, parse_messages, rejects, value_to_text
+from frameweir.operators.positions import POSITION, with_positions
 from frameweir.operators.records import first_of_batch, key_value_line
 from frameweir.plans.collector import collect_frames
 from frameweir.plans.inputs import (
@@ -115,6 +117,18 @@ def unkeyed_messages(spark, folder):
     return unkeyed_records(table(spark, folder, "conversations"), F.col("text"))
 
 
+@query
+def keyed_partitions(spark, folder):
+    """The partition, of twelve, of records by their key: cameras, and keys of many
+    lengths; none where there is no key."""
+    events, part = table(spark, folder, "events"), table(spark, folder, "part")
+    camera = F.when(F.col("event_id") % 89 != 0, F.concat(F.lit("cam-"), F.col("user_id") % 16))
+    user = F.concat("user_id", F.repeat(F.lit("."), (F.col("event_id") % 5).cast("int")))
+    keys = events.select(F.lit("camera").alias("kind"), F.col("event_id").alias("id"), camera.alias("key"))
+    keys = keys.unionAll(events.select(F.lit("user"), "event_id", user)).unionAll(part.select(F.lit("part"), "p_partkey", "p_name"))
+    return keys.withColumn("partition", key_partition(F.col("key").cast("binary"), 12))
+
+
 @query
 def key_value_lines(spark, folder):
     records = event_records(spark, folder)
@@ -287,7 +301,7 @@ PLACE = ("batch_id", "partition", "offset")
 @query
 def export_saved(spark, folder):
     # Several passes, of which one reads payloads.
-    landed = stored(event_frames(spark, folder), "frames")
+    landed = with_positions(stored(event_frames(spark, folder), "frames"))
     saved = state.save_flags(landed).where("saved")
     return png_contents(export_images(saved, IMAGES, keep=PLACE))
 
@@ -347,7 +361,7 @@ def state_after_stream(spark, folder):
     out, checkpoint = _stepped(spark, folder, "state", outputs=(), keep=True)
     places = stored(state_places(spark, checkpoint).drop("n_frames"), "state")
     batches = sorted(row.batch_id for row in places.select("batch_id").distinct().collect())
-    return lookup_join(landed_frames(spark, out, batches), places, ["cameraId", *HISTORY_ORDER], "left_semi", is_stored=True).drop("topic")
+    return lookup_join(landed_frames(spark, out, batches), places, ["cameraId", *HISTORY_ORDER], "left_semi", is_stored=True).drop("topic", *POSITION)
 
 
 @query

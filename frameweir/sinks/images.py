@@ -12,22 +12,30 @@ from pyspark.sql import functions as F
 
 from frameweir.functions.text import file_name, raw_file_name
 from frameweir.operators.images import add_png, decode_frames
-from frameweir.operators.joins import lookup_join
+from frameweir.operators.joins import BROADCAST_BYTES, lookup_join
+from frameweir.operators.positions import POSITION, rows_by_position
 from frameweir.schema import HISTORY_ORDER
 from frameweir.session import stored
 
 
-def last_per_path(frames: DataFrame, order: list[str], folder: str | None = None) -> DataFrame:
+def last_per_path(
+    frames: DataFrame, order: list[str], folder: str | None = None, limit: int = BROADCAST_BYTES
+) -> DataFrame:
     """Of the frames that share a `path`, the one that comes last.
 
-    Only narrow columns are grouped; the frames that lose are left out by an
-    anti-join on their places, so that payloads need not be shuffled.
+    Only narrow columns are grouped. Frames of a stored table that carry their
+    positions (`with_positions`) are tested in the task that reads them, and
+    none is moved, however many lose; of others the losers are left out by an
+    anti-join on their places.
     """
-    narrow = frames.select("path", *order)
+    placed = POSITION if set(POSITION) <= set(frames.columns) else []
+    narrow = frames.select("path", *order, *placed)
     last = F.max(F.struct(*order)).alias("_last")
     shared = narrow.groupBy("path").agg(last, F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    losers = narrow.join(shared, "path").where(F.struct(*order) < F.col("_last")).select("path", *order)
-    return lookup_join(frames, losers, ["path", *order], "left_anti", folder=folder)
+    losers = narrow.join(shared, "path").where(F.struct(*order) < F.col("_last"))
+    if placed:
+        return rows_by_position(frames, losers, inside=False, limit=limit, folder=folder)
+    return lookup_join(frames, losers.select("path", *order), ["path", *order], "left_anti", limit=limit, folder=folder)
 
 
 def export_images(

@@ -22,6 +22,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from frameweir.operators.joins import lookup_join
 from frameweir.operators.parse import bad_messages, good_frames, parse_messages, refuse_bad
+from frameweir.operators.positions import POSITION, with_positions
 from frameweir.operators.state import frame_order
 from frameweir.schema import FRAME_ORDER, HISTORY_ORDER
 from frameweir.session import file_system, stored
@@ -76,9 +77,9 @@ def landing(records: DataFrame, folder: str, checkpoint: str, strict: bool = Fal
 
 
 def landed_frames(spark: SparkSession, folder: str, batches: list[int]) -> DataFrame:
-    """The good frames of landed batches, with `batch_id`."""
+    """The good frames of landed batches, with `batch_id` and their positions."""
     paths = [f"{folder}/landed/batch_id={n}" for n in batches]
-    return good_frames(spark.read.option("basePath", f"{folder}/landed").parquet(*paths))
+    return good_frames(with_positions(spark.read.option("basePath", f"{folder}/landed").parquet(*paths)))
 
 
 # ---- stepping -----------------------------------------------------------------------
@@ -158,11 +159,11 @@ def step_batch(
             return joined.drop(*[f"{side}_{name}" for side in ("first", "last") for name in FRAME_ORDER])
 
         if "frames" in outputs:
-            write(flagged(), "frames")
+            write(flagged().drop(*POSITION), "frames")
         if "emitted" in outputs:
             last = steps.select(*keys, *FRAME_ORDER, "n_frames", "had_state", "prev_timestamp", "n_saved")
             if payload:
-                last = lookup_join(frames.drop("topic"), last, [*keys, *FRAME_ORDER], "inner", folder=f"{folder}/lookup")
+                last = lookup_join(frames.drop("topic", *POSITION), last, [*keys, *FRAME_ORDER], "inner", folder=f"{folder}/lookup")
             write(last, "emitted")
         if "order" in outputs:
             paths = [f"{folder}/places/batch={n}" for n in batches]

@@ -9,6 +9,7 @@ from frameweir.functions.text import file_name
 from frameweir.operators import state
 from frameweir.operators.images import resize_frames
 from frameweir.operators.parse import frames
+from frameweir.operators.positions import rows_by_position, with_positions
 from frameweir.operators.records import first_of_batch
 from frameweir.plans.inputs import embedding_frames, event_records
 from frameweir.session import new_folder, stored, work_dir
@@ -62,6 +63,35 @@ def test_path_check_moves_no_payload(landed):
     assert "Exchange hashpartitioning" not in steps and "BroadcastHashJoin" in steps
 
 
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_path_check_moves_no_payload_at_any_size(landed, limit):
+    """Losers beyond the broadcast limit: each group of files is read with its own."""
+    frames = with_positions(stored(landed.repartition(3), "frames")).withColumn("path", file_name("/out/", F.col("cameraId"), F.col("timestamp")))
+    order = ["batch_id", "timestamp", "partition", "offset"]
+    table = last_per_path(frames, order, limit=limit)
+    steps = plan(table)
+    assert "Exchange hashpartitioning" not in steps and "Sort" not in steps and "BroadcastHashJoin" in steps
+    assert ("Union" in steps) == (limit == 0)
+    plain = last_per_path(landed.withColumn("path", file_name("/out/", F.col("cameraId"), F.col("timestamp"))), order)
+    got = sorted(tuple(r) for r in table.select("path", *order).collect())
+    assert got == sorted(tuple(r) for r in plain.select("path", *order).collect()) and len(got) < landed.count()
+
+
+def test_rows_by_position(spark):
+    """Both ways, with many blocks in a file and files without any position."""
+    folder = new_folder(spark, "rows")
+    spark.range(0, 200_000, 1, 2).write.parquet(folder)
+    spark.range(300_000, 300_010).write.mode("append").parquet(folder)
+    table = with_positions(spark.read.parquet(folder))
+    chosen = table.where("id % 7 = 3 and id < 200000")
+    for limit in (0, 10**9):
+        inside = rows_by_position(table, chosen, True, limit).select("id")
+        outside = rows_by_position(table, chosen, False, limit).select("id")
+        assert {r.id for r in inside.collect()} == set(range(3, 200_000, 7))
+        assert outside.count() == 200_010 - len(range(3, 200_000, 7)) and outside.where("id % 7 = 3 and id < 200000").count() == 0
+    assert rows_by_position(table, table.limit(0), False).count() == 200_010
+
+
 @pytest.mark.parametrize("kind", ["emitted", "final", "first"])
 def test_winners_move_no_payload(spark, folder, landed, kind):
     """No sort and no shuffle below the result carries a payload."""

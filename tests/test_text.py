@@ -5,6 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from frameweir.functions.hashing import key_hash, key_partition
 from frameweir.functions.text import file_name, list_entries, raw_file_name, stamp_text
 from frameweir.session import stored
 from frameweir.sources.registry import camera_registry
@@ -88,3 +89,22 @@ def test_registry(spark):
 def test_registry_of_different_lengths(spark):
     with pytest.raises(PySparkException, match="differ in length"):
         registry(spark, "a,b", "u")
+
+
+# Fixed values, known from the public algorithm: hashes as signed numbers.
+HASHES = {
+    "21": -973932308,
+    "abc": 479470107,
+    "foobar": -790332482,
+    "a-little-bit-long-string": -985981536,
+    "a-little-bit-longer-string": -1486304829,
+    "lkjh234lh9fiuh90y23oiuhsafujhadof229phr9h19h89h8": -58897971,
+}
+
+
+def test_partition_of_a_key(spark):
+    rows = spark.createDataFrame([(k,) for k in [*HASHES, "", None, "ä"]], "key string").withColumn("b", F.col("key").cast("binary"))
+    got = {r.key: (r.h, r.p) for r in rows.select("key", key_hash(F.col("b")).alias("h"), key_partition(F.col("b"), 12).alias("p")).collect()}
+    for key, value in HASHES.items():
+        assert got[key] == (value % 2**32, (value & 0x7FFFFFFF) % 12)
+    assert got[None] == (None, None) and got[""][0] == 275646681 and 0 <= got["ä"][1] < 12
