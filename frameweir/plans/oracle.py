@@ -253,6 +253,29 @@ ORACLE: dict[str, str] = {
     "reject_messages": f"""with {_FRAMES}
         select topic, "partition", "offset", batch_id, message, reason
         from judged where reason is not null""",
+    "parse_objects": f"""with {_MESSAGES},
+        changed as (
+          select "partition", "offset", case
+            when "offset" % 7 = 0 then '[' || message || ']'
+            when "offset" % 5 = 0 and message like '%"}}' then message[:-2] || ',"site":{{"name":"s","floor":2}},"quality":0.5}}'
+            else message end as message
+          from msg),
+        doc as (select *, case when json_valid(message) then message end as js from changed),
+        field as (
+          select *, case when json_type(js) = 'OBJECT' then js end as obj from doc),
+        typed as (
+          select *, obj ->> '$.cameraId' as "cameraId", obj ->> '$.timestamp' as "timestamp", try_cast(obj ->> '$.rows' as integer) as "rows",
+                 try_cast(obj ->> '$.cols' as integer) as cols, try_cast(obj ->> '$.type' as integer) as "type", obj ->> '$.data' as data
+          from field)
+        select "partition", "offset", "cameraId", "timestamp", "rows", cols, "type", data,
+               array_to_string(list_sort(list_filter(json_keys(obj), lambda k: k not in ('cameraId', 'timestamp', 'rows', 'cols', 'type', 'data'))), ',') as extra,
+               case when message is null or trim(message) = '' then 'empty'
+                    when js is null then 'malformed'
+                    when obj is null then 'no object'
+                    when "cameraId" is null or "timestamp" is null or (obj ->> '$.rows') is null or (obj ->> '$.cols') is null
+                         or (obj ->> '$.type') is null or data is null then 'missing field'
+                    when "rows" is null or cols is null or "type" is null then 'other type' end as reason
+        from typed""",
     "reject_documents": """
         select doc_id, case
             when octet_length(encode(text)) = 0 then 'missing'
@@ -374,5 +397,13 @@ ORACLE: dict[str, str] = {
         from numbered n join emitted e on n."cameraId" = e."cameraId" and n.batch_id = e.batch_id""",
     "stream_first": _FIRST_SQL,
     "stream_lines": f"with {_MESSAGES} select {_LINE} as line from msg",
+    "offset_reads": f"""with {_MESSAGES},
+        taken as (
+          select "partition", "offset", ("offset" - min("offset") over (partition by "partition"))
+                   // (400000 // (select count(distinct "partition") from msg)) as b
+          from msg)
+        select case when b < 3 then 1 else 2 end as "read", cast(case when b < 3 then b else b - 3 end as integer) as batch,
+               "partition", count(*) as n, min("offset") as first_offset, max("offset") as last_offset
+        from taken group by b, "partition" """,
     "stream_view": _PARSE_SQL,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from frameweir.functions.text import file_name, raw_file_name, stamp_text
 from frameweir.operators import state
 from frameweir.operators.images import decode_frames, frame_pixels, pixel_sums, png_contents, resize_frames
 from frameweir.operators.joins import lookup_join
+from frameweir.operators.objects import parse_objects as objects_of
 from frameweir.operators.parse import frames, parse_messages, rejects, value_to_text
 from frameweir.operators.positions import POSITION, with_positions
 from frameweir.operators.records import first_of_batch, key_value_line
@@ -31,10 +33,11 @@ from frameweir.plans.inputs import (
     event_records,
     table,
 )
-from frameweir.schema import FRAME_ORDER, HISTORY_ORDER
+from frameweir.schema import FRAME_FIELDS, FRAME_ORDER, HISTORY_ORDER, RECORD_SCHEMA
 from frameweir.session import new_folder, stored
 from frameweir.sinks.images import export_images, latest_images
 from frameweir.sinks.topics import keyed_records, unkeyed_records
+from frameweir.sources.offsets import stream_topic_table
 from frameweir.sources.registry import camera_registry
 from frameweir.streaming.emit import state_places
 from frameweir.streaming.replay import replay
@@ -85,6 +88,16 @@ def reject_messages(spark, folder):
     return rejects(event_records(spark, folder))
 
 
+@query
+def parse_objects(spark, folder):
+    """Messages of which some hold more than a frame, and some a list."""
+    value, end = F.col("value").cast("string"), F.lit(',"site":{"name":"s","floor":2},"quality":0.5}')
+    more = F.concat(F.substring(value, F.lit(1), F.char_length(value) - 1), end)
+    value = F.when(F.col("offset") % 7 == 0, F.concat(F.lit("["), value, F.lit("]"))).when((F.col("offset") % 5 == 0) & value.endswith('"}'), more).otherwise(value)
+    objects = objects_of(event_records(spark, folder).withColumn("value", value.cast("binary")))
+    return objects.select("partition", "offset", *FRAME_FIELDS, F.array_join("extra", ",").alias("extra"), "reason")
+
+
 @query
 def reject_documents(spark, folder):
     """Whole texts as payloads, some spoiled: the reason for each document."""
@@ -401,6 +414,39 @@ def stream_lines(spark, folder):
     return spark.read.text(out).select(F.col("value").alias("line"))
 
 
+# Offsets a micro-batch takes of all partitions, and the micro-batch that fails.
+TAKEN, FAILS = 400_000, 3
+
+
+@query
+def offset_reads(spark, folder):
+    """Two reads of a topic by one group, a few offsets at a time. The first one fails
+    in its fourth micro-batch; the second one, without the checkpoint of the
+    first, goes on where the ledger says."""
+    topic, ledger, out = (new_folder(spark, name) for name in ("topic", "ledger", "reads"))
+    records = event_records(spark, folder).select(*RECORD_SCHEMA.fieldNames())
+    records.repartitionByRange(8, "partition", "offset").sortWithinPartitions("partition", "offset").write.parquet(topic)
+    for read, fails in ((1, FAILS), (2, None)):
+
+        def handle(batch, batch_id, read=read, fails=fails):
+            if batch_id == fails:
+                raise OSError("lost")
+            facts = [F.count(F.lit(1)).alias("n"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset")]
+            table = batch.groupBy("partition").agg(*facts).withColumn("batch", F.lit(batch_id))
+            table.withColumn("read", F.lit(read)).write.mode("overwrite").parquet(f"{out}/read={read}-batch={batch_id}")
+
+        records = stream_topic_table(spark, path=topic, subscribe="frames", group="g", ledger=ledger, startingOffsets="earliest", maxOffsetsPerTrigger=TAKEN)
+        query = records.writeStream.foreachBatch(handle).option("checkpointLocation", new_folder(spark, "checkpoint")).start()
+        try:
+            query.processAllAvailable()
+        except StreamingQueryException:
+            if fails is None:
+                raise
+        finally:
+            query.stop()
+    return spark.read.parquet(f"{out}/*")
+
+
 @query
 def stream_view(spark, folder):
     """A SQL query over the parsed stream."""

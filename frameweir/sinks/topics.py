@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from frameweir.functions.frames import frame_json
+from frameweir.functions.hashing import key_partition
 
 
-def keyed_records(frames: DataFrame) -> DataFrame:
+def keyed_records(frames: DataFrame, partitions: int | None = None) -> DataFrame:
     """Key and value of each frame message. The key is the camera, so one
-    camera's frames stay in one partition and in order."""
-    return frames.select(F.col("cameraId").alias("key"), frame_json().alias("value"))
+    camera's frames stay in one partition and in order. With the topic's number
+    of `partitions` the record also says which, by the rule that other clients
+    follow, for a sink that doesn't choose by itself."""
+    records = frames.select(F.col("cameraId").alias("key"), frame_json().alias("value"))
+    if partitions is None:
+        return records
+    return records.withColumn("partition", key_partition(F.col("key").cast("binary"), partitions))
 
 
 def unkeyed_records(messages: DataFrame, value: Column) -> DataFrame:
