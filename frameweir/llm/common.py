@@ -36,8 +36,10 @@ def ascii_lower(text: Column) -> Column:
 
 def row_id() -> Column:
     """A key for one document row, from its doc_id and text: 128 bits of hash. Only
-    repeats of the same id and text share it, so no key is hot where ids differ."""
-    return F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "text", "doc_id").alias("b"))
+    repeats of the same id and text share it, so no key is hot where ids differ.
+    A hash passes over nulls, so it is told which of both are null."""
+    none = [F.col(c).isNull() for c in ("doc_id", "text")]
+    return F.struct(F.xxhash64(*none, "doc_id", "text").alias("a"), F.xxhash64(F.lit(1), *none, "text", "doc_id").alias("b"))
 
 
 def with_row(docs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from frameweir.llm import decontaminate, lines, lm, middle, mixing, pii, quality, rules, secrets, simhash, spelling, subwords, toxicity
-from frameweir.llm.common import labelled_once, remainder
+from frameweir.llm.common import labelled_once, remainder, row_id
 
 PROSE = "The quick brown fox went over the lazy dog and on to the river bank again.\n"
 ROWS = [
@@ -127,6 +127,19 @@ def test_spelling_on_edge_rows(docs):
     assert all(r.n >= 2 and len(r.word) >= 7 and r.root for r in got.collect())
 
 
+def test_null_id_and_null_text_are_different_rows(spark):
+    """An id that equals the text of a row without an id, all four users of the row key."""
+    text = "one two three four five six seven eight nine ten eleven"
+    docs = spark.createDataFrame([(text, None), (None, text), ("b", "Hans Meier: a@b.org")], "doc_id string, text string")
+    assert docs.select(row_id()).distinct().count() == 3
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    kept = simhash.without_near_duplicates(docs).collect()
+    assert {(r.doc_id, r.text) for r in kept} == {(r.doc_id, r.text) for r in docs.collect()}
+    assert {(r.doc_id, r.text) for r in decontaminate.without_contaminated(docs, items).collect()} == {(text, None), ("b", "Hans Meier: a@b.org")}
+    assert {(r.doc_id, r.n_removed) for r in lines.dedup_lines(docs).collect()} == {(text, 0), (None, 0), ("b", 0)}
+    assert {(r.doc_id, r.text is None) for r in pii.replace_entities(docs).collect()} == {(text, True), (None, False), ("b", False)}
+
+
 def test_near_copies_keep_one(spark, docs, labels, tmp_path):
     got = simhash.without_near_duplicates(docs).collect()
     assert sum(r.doc_id == 5 for r in got) == 2  # the repeated row once, the other text once
