@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 import zlib
 
 import numpy as np
@@ -160,6 +161,24 @@ def test_restored_spacing(letters):
     assert toxicity.features_of("a C L 0 W N", letters, known, {}) == {1}
 
 
+def test_tokens_without_features_need_no_decoding(vocabulary):
+    """With the tree of features the same are found as without."""
+    draw = random.Random(4)
+    known = {x: k for k, x in enumerate(["idiot", "idi…", "stup…", "clown", "scum", "cum", "mor…", "moron"])}
+    tree = toxicity.Beginnings(known)
+    words = "idiot stupid moron clown scum shit cum hello there idiots stupidity".split()
+    signs = {"i": "1!|", "o": "0", "s": "$5", "t": "7+", "e": "3", "u": "*", "c": "(", "l": "1|"}
+
+    def spoiled(word):
+        out = "".join(draw.choice([c, c, c * 2, draw.choice(signs.get(c, c)), c + draw.choice(".-_")]) for c in word)
+        return draw.choice(["", "(", "$", "!!"]) + out + draw.choice(["", ",", "!", "$$", "..."])
+
+    for _ in range(1500):
+        text = " ".join(spoiled(draw.choice(words)) for _ in range(3))
+        plain = toxicity.features_of(text, vocabulary, known, {})
+        assert toxicity.features_of(text, vocabulary, known, toxicity.Memory(), tree) == plain, text
+
+
 @pytest.fixture(scope="module")
 def vocabulary(letters):
     words = "idiot stupid moron clown scum shit cum hello there you are so it is the man".split()
