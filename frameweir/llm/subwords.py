@@ -146,9 +146,6 @@ class Merges:
         parts = [self.encoded(x) if len(x) <= LONGEST else self.encode_stretch(x) for x in stretches]
         return b"".join((self.begin, *parts, self.end))
 
-    def decode(self, ids: list[bytes]) -> list[str]:
-        return [self.processor.decode(np.frombuffer(x, "<u4").astype(np.int64).tolist()) for x in ids]
-
 
 @lru_cache(2)
 def _merges(model: bytes) -> Merges:
@@ -156,6 +153,11 @@ def _merges(model: bytes) -> Merges:
     return Merges(model)
 
 
+@lru_cache(2)
+def _library(model: bytes) -> sentencepiece.SentencePieceProcessor:
+    return sentencepiece.SentencePieceProcessor(model_proto=model)
+
+
 def read_model(path: str) -> bytes:
     """The model file, of a fixed size that grows with nothing (half a megabyte for
     32,000 pieces). Read by the driver; tasks get its contents, not its path."""
@@ -192,9 +194,10 @@ def decode_tokens(encoded: DataFrame, model: bytes) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(model)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = _merges(shared.value)
+        library = _library(shared.value)
         for batch in batches:
-            decoded = merges.decode([x or b"" for x in batch["tokens"].to_pylist()])
+            ids = [np.frombuffer(x or b"", "<u4").astype(np.int64).tolist() for x in batch["tokens"].to_pylist()]
+            decoded = [library.decode(x) for x in ids]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.string())], names=[*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(decode, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))
