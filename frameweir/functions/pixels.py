@@ -42,9 +42,12 @@ def cubic_taps(source: int, target: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _weigh(block: np.ndarray, axis: int, target: int) -> np.ndarray:
     """Weighted sums along one axis; the integers stay below 2**31."""
-    places, weights = cubic_taps(block.shape[axis], target)
+    return _weighed(block, axis, *cubic_taps(block.shape[axis], target))
+
+
+def _weighed(block: np.ndarray, axis: int, places: np.ndarray, weights: np.ndarray) -> np.ndarray:
     along = [1] * block.ndim
-    along[axis] = target
+    along[axis] = len(places)
     total = 0
     for k in range(4):
         part = np.take(block, places[:, k], axis).astype(np.int32, copy=False)
@@ -57,12 +60,39 @@ def resize_block(block: np.ndarray, height: int, width: int) -> np.ndarray:
     """Cubic resize of frames of one geometry: (n, rows, cols, channels)."""
     if block.shape[1:3] == (height, width):
         return block
-    total = _weigh(_weigh(block, 2, width), 1, height)
+    return _as_bytes(_weigh(_weigh(block, 2, width), 1, height))
+
+
+def _as_bytes(total: np.ndarray) -> np.ndarray:
+    """Sums of both passes rounded to eight bits."""
     total += 1 << (2 * WEIGHT_BITS - 1)
     total >>= 2 * WEIGHT_BITS
     return np.clip(total, 0, 255, out=total).astype(np.uint8)
 
 
+def resize_part(
+    part: np.ndarray,
+    source: tuple[int, int],
+    target: tuple[int, int],
+    part_at: tuple[int, int],
+    tile_at: tuple[int, int],
+    tile: tuple[int, int],
+) -> np.ndarray:
+    """A tile of the cubic resize from `source` to `target` rows and columns, which
+    begins at `tile_at`, out of the part of the frame (rows, cols, channels) that
+    begins at `part_at` and holds all pixels the tile asks for."""
+    if source == target:
+        y, x = (t - p for t, p in zip(tile_at, part_at))
+        return part[y : y + tile[0], x : x + tile[1]]
+    taps = []
+    for axis in (0, 1):
+        places, weights = cubic_taps(source[axis], target[axis])
+        own = slice(tile_at[axis], tile_at[axis] + tile[axis])
+        taps.append((places[own] - part_at[axis], weights[own]))
+    total = _weighed(_weighed(part, 1, *taps[1]), 0, *taps[0])
+    return _as_bytes(total)
+
+
 def _chunk(kind: bytes, body: bytes) -> bytes:
     return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
 

@@ -7,16 +7,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from frameweir.functions.frames import byte_at, channels
-from frameweir.functions.pixels import png_bytes, png_pixels, resize_block
+from frameweir.functions.pixels import png_bytes, png_pixels, resize_block, resize_part
 
 # Pixel bytes a task handles at a time.
 BLOCK_BYTES = 16 * 1024 * 1024
 
+# Side of a tile of a frame that is resized in parts.
+TILE = 512
+
 
 def decode_frames(frames: DataFrame) -> DataFrame:
     """Replace the base64 text `data` of good frames by the payload `bytes`."""
@@ -94,6 +97,84 @@ def resize_frames(frames: DataFrame, height: int = 480, width: int = 640) -> Dat
     return frames.mapInArrow(run, frames.schema)
 
 
+def resize_tiles(
+    frames: DataFrame, keys: list[str], height: int = 480, width: int = 640, side: int = TILE
+) -> DataFrame:
+    """The cubic resize as a table of tiles of at most `side` by `side` pixels, one row
+    each: `keys`, `type`, `top`, `left` (of the tile), `tall`, `wide`, `bytes`.
+
+    A tile is resized by itself, along its lines and then down its columns, from the
+    part of the frame that lies under it and a border of two pixels, cut out before
+    Python sees it; so a task holds a tile and what lies under it, however large the
+    frame. Pixels equal those of `resize_frames`. Frames without pixels give no tiles.
+    """
+    count = channels(F.col("type")).cast("bigint")
+    grid = [F.sequence(F.lit(0), F.lit((n - 1) // side * side), F.lit(side)) for n in (height, width)]
+    tiles = frames.where(F.octet_length("bytes") > 0).select(*keys, "rows", "cols", "type", "bytes", F.explode(grid[0]).alias("top"))
+    tiles = tiles.select("*", F.explode(grid[1]).alias("left"))
+
+    def under(at: str, source: str, target: int) -> tuple[Column, Column]:
+        """First source place under a tile and the place behind its last one."""
+        ratio = F.col(source).cast("double") / target
+        end = F.least(F.col(at) + side, F.lit(target))
+        first = F.floor((F.col(at) + F.lit(0.5)) * ratio - 0.5) - 2
+        last = F.floor((end - F.lit(0.5)) * ratio - 0.5) + 4
+        return F.greatest(F.lit(0), first), F.least(F.col(source), last)
+
+    (y0, y1), (x0, x1) = under("top", "rows", height), under("left", "cols", width)
+    tiles = tiles.select(*keys, "rows", "cols", "type", "top", "left", *[c.cast("bigint").alias(n) for c, n in ((y0, "y0"), (y1, "y1"), (x0, "x0"), (x1, "x1"))], "bytes")
+    line = lambda y: F.substring("bytes", ((y * F.col("cols") + F.col("x0")) * count + 1).cast("int"), ((F.col("x1") - F.col("x0")) * count).cast("int"))
+    tiles = tiles.withColumn("lines", F.transform(F.sequence("y0", F.col("y1") - 1), line)).drop("bytes")
+
+    kept = [frames.schema[k] for k in keys] + [frames.schema["type"]]
+    made = [("top", T.IntegerType()), ("left", T.IntegerType()), ("tall", T.IntegerType()), ("wide", T.IntegerType()), ("bytes", T.BinaryType())]
+    schema = T.StructType([*kept, *[T.StructField(n, t) for n, t in made]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.select(["rows", "cols", "type", "top", "left", "y0", "x0", "lines"]).to_pylist()
+            shapes, out = [], []
+            for r in rows:
+                part = np.frombuffer(b"".join(r["lines"]), np.uint8)
+                part = part.reshape(len(r["lines"]), -1, (r["type"] >> 3) + 1)
+                shape = min(side, height - r["top"]), min(side, width - r["left"])
+                shapes.append(shape)
+                begin = (r["y0"], r["x0"]), (r["top"], r["left"])
+                out.append(resize_part(part, (r["rows"], r["cols"]), (height, width), *begin, shape).tobytes())
+            columns = [batch.column(x) for x in [*keys, "type", "top", "left"]]
+            columns += [pa.array([s[i] for s in shapes], pa.int32()) for i in (0, 1)] + [pa.array(out, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return tiles.mapInArrow(run, schema)
+
+
+def assemble_frames(tiles: DataFrame, keys: list[str], height: int = 480, width: int = 640) -> DataFrame:
+    """Frames (`keys`, `rows`, `cols`, `type`, `bytes`) out of their tiles. The keys tell
+    frames apart; a frame with a tile missing fails the job. One shuffle, of the tiles;
+    a task holds the tiles of the frame that it puts together, and that frame."""
+    tile = F.struct("top", "left", "tall", "wide", "bytes")
+    whole = tiles.groupBy(*keys, "type").agg(F.sort_array(F.collect_list(tile)).alias("tiles"))
+    schema = T.StructType([*[tiles.schema[k] for k in keys], T.StructField("rows", T.IntegerType()), T.StructField("cols", T.IntegerType()), tiles.schema["type"], T.StructField("bytes", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):  # a frame at a time
+                row = batch.slice(at, 1)
+                code = row.column("type")[0].as_py()
+                frame, filled = np.empty((height, width, (code >> 3) + 1), np.uint8), 0
+                for t in row.column("tiles")[0]:
+                    y, x, tall, wide = (t[n].as_py() for n in ("top", "left", "tall", "wide"))
+                    frame[y : y + tall, x : x + wide] = np.frombuffer(t["bytes"].as_buffer(), np.uint8).reshape(tall, wide, -1)
+                    filled += tall * wide
+                if filled != height * width:
+                    raise ValueError(f"tiles of a frame cover {filled} of {height * width} pixels")
+                sides = [pa.array([n], pa.int32()) for n in (height, width)]
+                columns = [*[row.column(k) for k in keys], *sides, row.column("type"), pa.array([frame.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return whole.mapInArrow(run, schema)
+
+
 def add_png(frames: DataFrame) -> DataFrame:
     """Replace the payload `bytes` by the image file `png`; null where the
     format has no such image."""

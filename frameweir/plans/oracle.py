@@ -351,6 +351,7 @@ ORACLE: dict[str, str] = {
     "resize_embeddings": f"""with {_GRAY} {_resized('gray', (8, 8), (12, 20))}
         select frame_id, 12 as "rows", 20 as cols, 0 as "type", pixels from whole""",
     "resize_vga": _VGA,
+    "resize_tiled": _VGA,
     "collected": f"""with {_GRAY} {_resized('gray', (8, 8), (16, 16))},
         stamped as (
           select vec_id as frame_id, 'cam-' || label as key,
@@ -370,6 +371,7 @@ ORACLE: dict[str, str] = {
     "final_state": _FINAL_SQL,
     "state_after_stream": _FINAL_SQL,
     "export_saved": _EXPORT_SQL,
+    "export_committed": _EXPORT_SQL,
     "export_sampled": f"""with {_FRAMES} {_FIRST.format(source='judged')},
         pathed as (
           select *, '/out/' || "cameraId" || '-T-' || "timestamp" || '.png' as path, hex(from_base64(data)) as h

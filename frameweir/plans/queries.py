@@ -19,7 +19,15 @@ from frameweir.functions.frames import (
 from frameweir.functions.hashing import key_partition
 from frameweir.functions.text import file_name, raw_file_name, stamp_text
 from frameweir.operators import state
-from frameweir.operators.images import decode_frames, frame_pixels, pixel_sums, png_contents, resize_frames
+from frameweir.operators.images import (
+    assemble_frames,
+    decode_frames,
+    frame_pixels,
+    pixel_sums,
+    png_contents,
+    resize_frames,
+    resize_tiles,
+)
 from frameweir.operators.joins import lookup_join
 from frameweir.operators.objects import parse_objects as objects_of
 from frameweir.operators.parse import frames, parse_messages, rejects, value_to_text
@@ -35,6 +43,7 @@ from frameweir.plans.inputs import (
 )
 from frameweir.schema import FRAME_FIELDS, FRAME_ORDER, HISTORY_ORDER, RECORD_SCHEMA
 from frameweir.session import new_folder, stored
+from frameweir.sinks.committed import commit_images, committed_images
 from frameweir.sinks.images import export_images, latest_images
 from frameweir.sinks.topics import keyed_records, unkeyed_records
 from frameweir.sources.offsets import stream_topic_table
@@ -262,6 +271,13 @@ def resize_vga(spark, folder):
     return pixel_sums(resized, ["frame_id", "rows", "cols", "type"])
 
 
+@query
+def resize_tiled(spark, folder):
+    """As `resize_vga`, in tiles whose sides divide nothing."""
+    tiles = resize_tiles(embedding_frames(spark, folder), ["frame_id"], side=210)
+    return pixel_sums(assemble_frames(tiles, ["frame_id"]), ["frame_id", "rows", "cols", "type"])
+
+
 @query
 def collected(spark, folder):
     at = F.timestamp_micros(F.lit(1704067200000000) + F.col("frame_id") * 37250)
@@ -325,6 +341,20 @@ def export_sampled(spark, folder):
     return png_contents(export_images(sampled, IMAGES, raw_names=True, order=list(PLACE), keep=PLACE))
 
 
+@query
+def export_committed(spark, folder):
+    """The saved frames as files, half of the batches at a time; the first half is
+    written twice, as after a restart. Read back through the manifests."""
+    landed = with_positions(stored(event_frames(spark, folder), "frames"))
+    images = export_images(state.save_flags(landed).where("saved"), IMAGES, keep=PLACE)
+    images = stored(images, "images")
+    out = new_folder(spark, "committed")
+    for batch_id in (0, 1, 0):
+        commit_images(images.where(F.col("batch_id") % 2 == batch_id), out, batch_id, IMAGES)
+    shown = png_contents(committed_images(spark, out).drop("batch_id"))
+    return shown.join(images.select("path", *PLACE), "path")
+
+
 # Streams
 
 

@@ -62,7 +62,7 @@ def latest_images(images: DataFrame) -> DataFrame:
     return lookup_join(images, last, ["path", "batch_id"], "left_semi")
 
 
-def _system(folder: str) -> tuple[fs.FileSystem, str]:
+def file_place(folder: str) -> tuple[fs.FileSystem, str]:
     if "://" in folder:
         return fs.FileSystem.from_uri(folder)
     return fs.LocalFileSystem(), folder
@@ -86,7 +86,7 @@ def write_images(images: DataFrame, folder: str, report: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parent, separator, begin = folder.rpartition("/")
-        system, root = _system(parent + separator)
+        system, root = file_place(parent + separator)
         root = root.rstrip("/") + separator
 
         def written(path: str, png: pa.BinaryScalar) -> str | None:

@@ -10,7 +10,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from frameweir.functions.pixels import png_bytes, resize_block
-from frameweir.operators.images import add_png, decode_frames, frame_pixels, resize_frames
+from frameweir.operators.images import (
+    add_png,
+    assemble_frames,
+    decode_frames,
+    frame_pixels,
+    resize_frames,
+    resize_tiles,
+)
 from frameweir.plans.collector import collect_frames
 from frameweir.session import new_folder
 from frameweir.sinks.images import export_images, write_images
@@ -176,3 +183,24 @@ def test_collected_messages_hold_the_frame(spark):
     assert (message.key, row.timestamp, row.rows, row.cols, row.type) == ("a", "2024-01-01 00:00:01.0", 480, 640, 16)
     assert len(message.value) > 1228800
     assert bytes(row.bytes) == resize_block(source[None], 480, 640).tobytes()
+
+
+@pytest.mark.parametrize("target", [(1, 1), (7, 9), (33, 20), (64, 64), (40, 130)])
+def test_tiles_give_the_same_pixels(spark, target):
+    sizes = [(1, 1, 1), (2, 3, 3), (33, 20, 4), (64, 64, 3), (5, 200, 1), (90, 4, 3)]
+    frames = table(spark, [frame(i, *size) for i, size in enumerate(sizes)])
+    whole = {r.id: r for r in resize_frames(frames, *target).collect()}
+    tiles = resize_tiles(frames, ["id"], *target, side=16)
+    assert tiles.agg(F.max("tall"), F.max("wide")).first() <= (16, 16)
+    put = {r.id: r for r in assemble_frames(tiles, ["id"], *target).collect()}
+    assert put.keys() == whole.keys()
+    for id, row in put.items():
+        assert (row.rows, row.cols, row.type, row.bytes) == (*target, whole[id].type, whole[id].bytes)
+
+
+def test_tiles_of_empty_frames_and_missing_tiles(spark):
+    none = spark.createDataFrame([(1, 0, 0, 0, bytearray()), (2, 1, 1, 0, None)], SCHEMA)
+    assert resize_tiles(none, ["id"], 8, 8).count() == 0
+    tiles = resize_tiles(table(spark, [frame(3, 9, 9, 1)]), ["id"], 20, 20, side=16)
+    with pytest.raises(Exception, match="cover 384 of 400"):
+        assemble_frames(tiles.where("top = 0 or left = 0"), ["id"], 20, 20).collect()
