@@ -31,12 +31,20 @@ KINDS = ["assign", "access", "hex", "pem", "token", "der", "openssh"]
 # shortest token header that is looked for.
 ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}={0,2}")
 ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
-TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+# Code over several lines: a long line, and what the next lines begin with.
+FOLDED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+# A header is an object, so it begins with a brace, and a quote or a blank: "ey" or "ew".
+TOKEN = re.compile(r"(?<![A-Za-z0-9_-])e[wy][A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=:,\-\s]*?)-----END \1-----")
 
 WORDS = [b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key"]
 
 
+# Where a key may begin inside a longer run, as behind "key-" or "certs/": in base64 a
+# sequence begins with M, the OpenSSH container with its magic.
+INNER = re.compile(r"(?<![^+/_-])(?:M|b3BlbnNzaC1rZXktdjEA)")
+
+
 # ---- structures ---------------------------------------------------------------------
 
 
@@ -68,8 +76,9 @@ def _items(data: bytes, at: int, end: int) -> list[tuple[int, int, int]]:
 def is_der_key(data: bytes) -> bool:
     """A private key as nested DER: the parts and all their lengths must fit.
 
-    RSA (version and eight integers), EC (version 1, octets), PKCS#8 (version,
-    algorithm, octets) and its encrypted form (algorithm, octets).
+    RSA (version and eight integers), DSA (version 0 and five integers), EC (version
+    1, octets), PKCS#8 (version, algorithm, octets) and its encrypted form
+    (algorithm, octets).
     """
     try:
         tag, at, end = _read(data, 0, len(data))
@@ -81,6 +90,8 @@ def is_der_key(data: bytes) -> bool:
             version = data[parts[0][1]]
             if version in (0, 1) and len(tags) >= 9 and tags[:9] == [0x02] * 9:
                 return parts[1][2] - parts[1][1] >= 32
+            if version == 0 and tags == [0x02] * 6:
+                return parts[1][2] - parts[1][1] >= 32
             if version == 1 and tags[:2] == [0x02, 0x04] and set(tags[2:]) <= {0xA0, 0xA1}:
                 return parts[1][2] - parts[1][1] >= 16
             if version in (0, 1) and tags[:3] == [0x02, 0x30, 0x04] and set(tags[3:]) <= {0xA0, 0xA1, 0x81}:
@@ -135,9 +146,52 @@ def _base64(text: str) -> bytes | None:
 def _structure(data: bytes | None) -> str | None:
     if not data:
         return None
+    if data.startswith(b"-----BEGIN "):  # a whole block, encoded once more
+        block = PEM.search(data.decode("latin-1"))
+        return "pem" if block and _is_pem_key(block[2]) else None
     return "der" if is_der_key(data) else "openssh" if is_openssh_key(data) else None
 
 
+def _is_pem_key(body: str) -> bool:
+    lines = body.split("\n")
+    data = _base64("".join("".join(x for x in lines if ":" not in x).split()))
+    heads = [x.strip() for x in lines if ":" in x]  # of the older, encrypted form
+    sealed = "Proc-Type: 4,ENCRYPTED" in heads and any(x.startswith("DEK-Info: ") for x in heads)
+    return bool(_structure(data) or sealed and data and len(data) % 8 == 0)
+
+
+def _code_length(code: str) -> int:
+    """Characters of base64 that the sequence beginning here takes; 0 if none begins."""
+    head = _base64(code[:8]) or b""
+    if len(head) < 6 or head[0] != 0x30:
+        return 0
+    size, count = head[1], head[1] & 0x7F
+    if size & 0x80:
+        if not 1 <= count <= 4:
+            return 0
+        size = count + int.from_bytes(head[2 : 2 + count], "big")
+    return -(-(2 + size) * 4 // 3)
+
+
+def coded_keys(run: str, joints: frozenset[int] = frozenset()) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of the keys in a run of code: the whole run, or else what
+    begins at its start or behind a sign and has, where its own lengths end, a sign,
+    the end of a line (`joints`) or of the run."""
+    if kind := _structure(_base64(run)):
+        return [(0, len(run), kind)]
+    found, size, done = [], len(run.rstrip("=")), 0
+    for m in INNER.finditer(run):
+        start = m.start()
+        if start < done:
+            continue
+        end = start + _code_length(run[start : start + 8]) if m[0] == "M" else size
+        stops = end in joints or end == size or end < size and run[end] in "+/_-"
+        if start < end and stops and (kind := _structure(_base64(run[start:end]))):
+            done = len(run) if end == size else end
+            found.append((start, done, kind))
+    return found
+
+
 def is_token(text: str) -> bool:
     """A signed token: header and payload are JSON objects, the header names its
     algorithm, and there is a signature unless that algorithm is "none"."""
@@ -166,16 +220,18 @@ def structural_spans(text: str) -> list[tuple[int, int, str]]:
     """Spans whose decoded content is a key encoding or a signed token."""
     found = []
     for m in PEM.finditer(text):
-        lines = m[2].split("\n")
-        data = _base64("".join("".join(x for x in lines if ":" not in x).split()))
-        heads = [x.strip() for x in lines if ":" in x]  # of the older, encrypted form
-        sealed = "Proc-Type: 4,ENCRYPTED" in heads and any(x.startswith("DEK-Info: ") for x in heads)
-        if _structure(data) or sealed and data and len(data) % 8 == 0:
+        if _is_pem_key(m[2]):
             found.append((*m.span(), "pem"))
     found += [(*m.span(), "token") for m in TOKEN.finditer(text) if is_token(m[0])]
     for m in ENCODED.finditer(text):
-        if kind := _structure(_base64(m[0])):
-            found.append((*m.span(), kind))
+        found += [(m.start() + start, m.start() + end, kind) for start, end, kind in coded_keys(m[0])]
+    for m in FOLDED.finditer(text):
+        if any(start < m.end() and m.start() < end and kind == "pem" for start, end, kind in found):
+            continue  # the body of a block that is found
+        places = [i for i, c in enumerate(m[0], m.start()) if not c.isspace()]
+        run = "".join(m[0].split())
+        joints = frozenset(i for i in range(1, len(places)) if places[i] > places[i - 1] + 1)
+        found += [(places[start], places[end - 1] + 1, kind) for start, end, kind in coded_keys(run, joints)]
     for m in ANY_HEX.finditer(text):
         if kind := _structure(bytes.fromhex(m[0])):
             found.append((*m.span(), kind))
@@ -212,7 +268,9 @@ def spans_of(text: str) -> tuple[list, list]:
     base = []
     if has_hex or b"AKIA" in raw or any(x in low for x in WORDS):
         base = base_spans(text)
-    deeper = structural_spans(text) if has_hex or has_code or b"eyJ" in raw or b"-----BEGIN" in raw else []
+    # The shortest header of a token has 19 characters, and so one aligned block.
+    has_token = code.any() and (b"ey" in raw or b"ew" in raw)
+    deeper = structural_spans(text) if has_hex or has_code or has_token or b"-----BEGIN" in raw else []
     return base, deeper
 
 
@@ -228,7 +286,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     Three base kinds come from patterns. Candidates in base64 or hex, PEM blocks
     and dotted tokens are decoded, and reported when the decoded bytes parse as
     a key with fitting nested lengths or as a signed token (`n_confirmed`,
-    `confirmed` with their texts). `spans` lists all, in code points, end
+    `confirmed` with their texts). Code may be folded over lines, stand behind
+    other words and a sign, or hold a PEM block. `spans` lists all, in code points, end
     exclusive. A null text is empty, a null id stays null, repeated rows give
     repeated results, an empty table an empty one. Texts are searched whole.
     One pass, no shuffle.

@@ -59,6 +59,45 @@ def test_keys_in_every_code(data, kind, code):
     assert secrets.spans_of(f"ключ: {text} and on")[1] == found
 
 
+DSA = der(0x30, der(2, b"\x00") + NUMBER + der(2, b"\x00" + b"\xcd" * 20) + NUMBER * 2 + der(2, b"\x11" * 20))
+
+
+@pytest.mark.parametrize("data, kind", [(RSA, "der"), (DSA, "der"), (EC, "der"), (PKCS8, "der"), (OPENSSH, "openssh")])
+def test_keys_beside_other_words_and_folded(data, kind):
+    code = base64.b64encode(data).decode()
+    for before in ("key-", "certs/", "a/b_c-", ""):
+        found = secrets.spans_of(f"é {before}{code} end")[1]
+        assert found == [(2 + len(before), 2 + len(before) + len(code), kind)]
+    if kind == "der":  # it knows its length
+        bare = code.rstrip("=")
+        assert secrets.spans_of(f"certs/{bare}/more")[1] == [(6, 6 + len(bare), kind)]
+    for width, fold in ((64, "\n"), (76, "\r\n"), (50, "\n  ")):
+        folded = fold.join(code[i : i + width] for i in range(0, len(code), width))
+        for after in ("", " end", "\n\nnext line"):
+            found = secrets.spans_of(f"é {folded}{after}")[1]
+            assert found == ([(2, 2 + len(folded), kind)] if len(code) > width else found), (width, after)
+    whole = base64.b64encode(pem(data).encode()).decode()
+    assert secrets.spans_of(f"x={whole}")[1] == [(2, 2 + len(whole), "pem")]
+
+
+def test_a_key_before_a_short_line():
+    code = base64.b64encode(RSA).decode().rstrip("=")
+    folded = "\n".join(code[i : i + 64] for i in range(0, len(code), 64))
+    assert secrets.spans_of(f"{folded}\nnext")[1] == [(0, len(folded), "der")]
+
+
+def test_headers_with_blanks():
+    for head in (b'{ "alg": "HS256" }', b'{\n"alg":"HS256"}', b'{\r\n "alg":"HS256"}', b'{\t"alg":"HS256"}', b'{"alg":"HS256"}'):
+        parts = [base64.urlsafe_b64encode(x).decode().rstrip("=") for x in (head, b'{"a":1}', b"s" * 32)]
+        text = ".".join(parts)
+        assert secrets.spans_of(f"they said {text} ew")[1] == [(10, 10 + len(text), "token")]
+
+
+def test_text_like_code_is_no_key():
+    words = "/".join(["M" + "abcdefgh" * 9] * 40)
+    assert secrets.spans_of(f"key-{words}\nnew words\nthey")[1] == []
+
+
 @pytest.mark.parametrize(
     "data",
     [RSA[:-1], RSA + b"\0", b"\x30\x81" + RSA[2:], der(0x30, der(2, b"\x00") + NUMBER), der(0x31, RSA), OPENSSH[:-2], OPENSSH + b"\0", b"\x30\x84\xff\xff\xff\xff" + b"a" * 40, b"a" * 100],
