@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from collections.abc import Iterator
 
@@ -14,7 +15,6 @@ from frameweir.llm.common import pieces, row_id, texts_of
 from frameweir.operators.joins import lookup_join
 from frameweir.session import stored
 
-KEY = b"set a key of your own"
 KINDS = ["email", "phone", "ip", "card", "iban", "ssn", "first", "last"]
 BROADCAST_BYTES = 16 << 20
 
@@ -26,6 +26,11 @@ EMAIL = re.compile(r"(?<![\w.+-])[\w+-]+(?:\.[\w+-]+)*@[\w-]+(?:\.[\w-]+)*\.[^\W
 PHONE = re.compile(
     rf"(?<![\w+(])(?:\+\d{{1,3}}{LOOSE}(?:\(\d{{3}}\)|\d{{3}})|\(\d{{3}}\)|\d{{3}}(?=[.-]\d{{3}}[.-])){LOOSE}\d{{3}}[ .-]\d{{4}}(?!\w)"
 )
+# Three groups with blanks; a country code and groups; ten digits behind a word that says what they are.
+SPACED = re.compile(r"(?<![\w+.-])[2-9]\d{2} \d{3} \d{4}(?![\w-]| \d|[.,]\d)")
+ABROAD = re.compile(r"(?<![\w+])\+\d{1,3}((?:[ .-]\d{1,4}){2,5})(?![\w-]|[ .]\d)")
+CUED = re.compile(r"(?<!\w)(?:tel|phone|call|mobile|cell|fax|dial)(?:ephone)?[.:]{0,2} {1,3}([2-9]\d{9})(?![\w-]|[.,]\d)", re.I)
+IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:]|\.\d)")
 IP = re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)")
 IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 CARD = re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w]|[.-]\d)")
@@ -65,6 +70,12 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
             if 15 <= len(plain) <= 34 and _iban_rest(plain) == 1:
                 found.append((*m.span(), "iban", plain))
         found += [(*m.span(), "phone", re.sub(r"\D", "", m[0])[-10:]) for m in PHONE.finditer(text)]
+        found += [(*m.span(), "phone", re.sub(r"\D", "", m[0])) for m in SPACED.finditer(text)]
+        found += [(*m.span(1), "phone", m[1]) for m in CUED.finditer(text)]
+        for m in ABROAD.finditer(text):
+            if 7 <= len(own := re.sub(r"\D", "", m[1])) <= 12:
+                found.append((*m.span(), "phone", own))
+        found += [(m.start(), m.end(), "ip", whole) for m in IPV6.finditer(text) if (whole := _ipv6(m[0]))]
         found += [(*m.span(), "ssn", re.sub(r"\D", "", m[0])) for m in SSN.finditer(text)]
         for m in IP.finditer(text):
             parts = [int(x) for x in m[0].split(".")]
@@ -72,9 +83,8 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
                 found.append((*m.span(), "ip", ".".join(map(str, parts))))
         found += [(*m.span(), "card", re.sub(r"\D", "", m[0])) for m in CARD.finditer(text)]
     for m in PERSON.finditer(text):
-        gender = GENDER[m[1]] or "n"
         if m[5]:
-            found.append((*m.span(3), "first", f"{gender}:{_script(m[3])}:{m[3].lower()}"))
+            found.append((*m.span(3), "first", f"{_script(m[3])}:{m[3].lower()}"))
             found.append((*m.span(5), "last", f"{_script(m[5])}:{m[5].lower()}"))
         else:
             found.append((*m.span(3), "last", f"{_script(m[3])}:{m[3].lower()}"))
@@ -91,6 +101,27 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
     return kept
 
 
+def _ipv6(text: str) -> str:
+    """The address in its usual form; empty if it is none, or short enough to be
+    something else, as loopback or a pair of names in code."""
+    if not re.search(r"[0-9A-Fa-f]{3}", text) or not re.search(r"\d", text):
+        return ""
+    try:
+        return str(ipaddress.IPv6Address(text))
+    except ValueError:
+        return ""
+
+
+def genders(text: str) -> dict[str, str]:
+    """First names (entities) behind a title that tells a gender; "n" where titles differ."""
+    told: dict[str, str] = {}
+    for m in PERSON.finditer(text):
+        if m[5] and GENDER[m[1]]:
+            entity = f"{_script(m[3])}:{m[3].lower()}"
+            told[entity] = GENDER[m[1]] if told.get(entity, GENDER[m[1]]) == GENDER[m[1]] else "n"
+    return told
+
+
 # ---- surrogates ---------------------------------------------------------------------
 
 
@@ -126,6 +157,9 @@ ALPHABETS = [
 # address one more letter, so that no pool is ever used up.
 GROWS = 2
 
+# Attempts after which there is no hope of a free surrogate.
+ROUNDS = 64
+
 
 def _alphabet(char: str) -> str:
     """What a character is exchanged in: digits and letters of other scripts become
@@ -184,6 +218,10 @@ def _card(entity: str, key: bytes, attempt: int) -> str:
 def _ip(entity: str, key: bytes, attempt: int) -> str:
     """Private, loopback and high addresses stay in their range. Where a range has
     no room left, the smaller private ones turn to 10.0.0.0/8, then all to the high one."""
+    if ":" in entity:  # the first 16 bits say what kind of address it is
+        whole = int(ipaddress.IPv6Address(entity))
+        head, tail = whole >> 112, whole & ((1 << 112) - 1)
+        return str(ipaddress.IPv6Address(head << 112 | permute(tail, [2] * 112, key, "ipv6", head, attempt)))
     a, b, c, d = map(int, entity.split("."))
     value = (a << 24) | (b << 16) | (c << 8) | d
 
@@ -237,10 +275,9 @@ def _script(name: str) -> str:
     return "cyrillic" if 0x400 <= first < 0x530 else "greek" if 0x370 <= first < 0x400 else "latin"
 
 
-def _name(kind: str, entity: str, key: bytes, attempt: int) -> str:
-    """A made-up name of the same script, and for first names the same gender."""
-    parts = entity.split(":")
-    script = parts[-2]
+def _name(kind: str, entity: str, key: bytes, attempt: int, gender: str) -> str:
+    """A made-up name of the same script, and for first names of the gender."""
+    script = entity.split(":")[-2]
     consonants, vowels = SYLLABLES[script]
     value = _hash(key, kind, entity, attempt)
     made = ""
@@ -250,12 +287,12 @@ def _name(kind: str, entity: str, key: bytes, attempt: int) -> str:
         made += consonants[c] + vowels[v]
     if kind == "last":
         return f"{script}:{made}{ENDINGS['last'][script]}"
-    ending = ENDINGS["first"][script][parts[0]]
+    ending = ENDINGS["first"][script][gender or "n"]
     made = made[:-1] if ending[0] in vowels else made
-    return f"{parts[0]}:{script}:{made}{ending}"
+    return f"{script}:{made}{ending}"
 
 
-def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
+def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0, gender: str = "") -> str:
     if kind == "email":
         return _email(entity, key, attempt)
     if kind == "card":
@@ -265,7 +302,7 @@ def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
     if kind == "iban":
         return _iban(entity, key, attempt)
     if kind in ("first", "last"):
-        return _name(kind, entity, key, attempt)
+        return _name(kind, entity, key, attempt, gender)
     return _same_form(entity, key, kind, attempt)
 
 
@@ -291,57 +328,62 @@ def written(kind: str, mention: str, entity: str) -> str:
 
 
 def distinct_mentions(docs: DataFrame) -> DataFrame:
-    """(key, kind, entity): what each document row names."""
+    """(key, kind, entity, gender): what each document row names; the gender of a first
+    name where a title there tells it."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            rows = [
-                (key, kind, entity)
-                for key, text in zip(batch["key"].to_pylist(), texts_of(batch), strict=True)
-                for kind, entity in sorted({x[2:] for x in mentions(text)})
-            ]
+            rows = []
+            for key, text in zip(batch["key"].to_pylist(), texts_of(batch), strict=True):
+                named = sorted({x[2:] for x in mentions(text)})
+                told = genders(text) if any(kind == "first" for kind, _ in named) else {}
+                rows += [(key, kind, entity, told.get(entity) if kind == "first" else None) for kind, entity in named]
             key = pa.array([x[0] for x in rows], batch.schema.field("key").type)
-            columns = [key, *(pa.array([x[i] for x in rows], pa.string()) for i in (1, 2))]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "kind", "entity"])
+            columns = [key, *(pa.array([x[i] for x in rows], pa.string()) for i in (1, 2, 3))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "kind", "entity", "gender"])
 
-    return docs.select("key", "text").mapInArrow(scan, "key struct<a:long,b:long>, kind string, entity string")
+    return docs.select("key", "text").mapInArrow(scan, "key struct<a:long,b:long>, kind string, entity string, gender string")
 
 
 def _attempts(entities: DataFrame, key: bytes) -> DataFrame:
-    """(kind, entity, attempt) to the same with the surrogate."""
+    """(kind, entity, gender, attempt) to the same with the surrogate."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*(batch[x].to_pylist() for x in ("kind", "entity", "attempt")), strict=True)
-            made = pa.array([surrogate(kind, entity, key, n) for kind, entity, n in rows], pa.string())
+            rows = zip(*(batch[x].to_pylist() for x in ("kind", "entity", "attempt", "gender")), strict=True)
+            made = pa.array([surrogate(*row[:2], key, *row[2:]) for row in rows], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, "surrogate"])
 
-    return entities.mapInArrow(make, "kind string, entity string, attempt int, surrogate string")
+    return entities.mapInArrow(make, "kind string, entity string, gender string, attempt int, surrogate string")
 
 
 def assign(entities: DataFrame, key: bytes) -> DataFrame:
-    """(kind, entity, attempt, surrogate): different entities of a kind get different
+    """(kind, entity, gender, attempt, surrogate) of (kind, entity, gender): different entities of a kind get different
     surrogates, and none gets what some document really names.
 
     First attempts are mostly free, as they come from permutations or large sets.
     Of those that meet, the first keeps its surrogate and the others try again,
     from pools that grow with the attempt. Only SSNs (10^9), phone and card numbers,
     accounts and public addresses have no larger pool: there at most half of all
-    that exist can be named.
+    that exist can be named, and more than that end in an error after ROUNDS.
     """
-    state = stored(_attempts(entities.select("kind", "entity", F.lit(0).alias("attempt")), key), "surrogates")
-    while True:
+    if "gender" not in entities.columns:
+        entities = entities.withColumn("gender", F.lit(""))
+    state = stored(_attempts(entities.select("kind", "entity", "gender", F.lit(0).alias("attempt")), key), "surrogates")
+    for _ in range(ROUNDS):
         owner = state.groupBy("kind", "surrogate").agg(F.min("entity").alias("owner"), F.count("*").alias("n"))
         met = state.join(owner.where("n > 1"), ["kind", "surrogate"]).where("entity <> owner").select("kind", "entity")
         real = entities.select("kind", F.col("entity").alias("surrogate"))
         taken = state.join(real, ["kind", "surrogate"], "left_semi").select("kind", "entity")
         again = stored(met.union(taken).distinct(), "again")
-        if not again.take(1):
+        left = again.take(1)
+        if not left:
             return state
         fine = state.join(again, ["kind", "entity"], "left_anti")
         more = state.join(again, ["kind", "entity"], "left_semi")
-        more = _attempts(more.select("kind", "entity", (F.col("attempt") + 1).alias("attempt")), key)
+        more = _attempts(more.select("kind", "entity", "gender", (F.col("attempt") + 1).alias("attempt")), key)
         state = stored(fine.unionByName(more), "surrogates")
+    raise ValueError(f"too many entities are named for each to get a surrogate, some of them of the kind {left[0].kind}")
 
 
 REPLACED = (
@@ -351,13 +393,16 @@ REPLACED = (
 )
 
 
-def replace_entities(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def replace_entities(docs: DataFrame, key: bytes) -> DataFrame:
     """One row per row of `docs` (doc_id, text; other columns are not read): doc_id,
     text with surrogates, counts by kind, and `replaced` (places in the old text).
 
     Found are e-mail, phone, IP, card and account numbers, SSNs, names behind
-    a title, and the same names wherever else they stand in that text. The same entity has the same surrogate in all documents and in all
-    ways it is written; different entities have different ones. Digits, case,
+    a title, and the same names wherever else they stand in that text. The same
+    entity has the same surrogate in all documents and in all ways it is
+    written, a first name also behind titles of any gender: its surrogate has
+    the gender that all of its titles agree on. Whoever has `key` can undo most
+    surrogates, so it is to be kept secret; different entities have different ones. Digits, case,
     separators, check digits, address ranges, script and gender stay as they
     are. A text without entities stays as it is, a null text stays null with
     counts of zero; null ids and repeated rows are kept; an empty table gives an
@@ -365,10 +410,11 @@ def replace_entities(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     """
     keyed = docs.select("doc_id", "text", row_id().alias("key"))
     found = stored(distinct_mentions(keyed), "mentions")
-    state = assign(stored(found.select("kind", "entity").distinct(), "entities"), key)
-    # Texts compute first attempts themselves; only the others are looked up.
-    later = found.join(state.where("attempt > 0"), ["kind", "entity"])
-    later = later.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("kind", "entity", "attempt"))).alias("later"))
+    one = F.when(F.min("gender") == F.max("gender"), F.min("gender")).otherwise("")
+    state = assign(stored(found.groupBy("kind", "entity").agg(one.alias("gender")), "entities"), key)
+    # Texts compute first attempts themselves; only the others, and genders, are looked up.
+    later = found.drop("gender").join(state.where("attempt > 0 or gender in ('f', 'm')"), ["kind", "entity"])
+    later = later.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("kind", "entity", "attempt", "gender"))).alias("later"))
     rows = lookup_join(keyed, later, ["key"], limit=BROADCAST_BYTES)
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,10 +422,10 @@ def replace_entities(docs: DataFrame, key: bytes = KEY) -> DataFrame:
         for batch in pieces(batches):
             out: dict[str, list] = {k: [] for k in ("text", "n_entities", *(f"n_{k}" for k in KINDS), "replaced")}
             for text, own in zip(batch["text"].to_pylist(), batch["later"].to_pylist(), strict=True):
-                again = {(x["kind"], x["entity"]): x["attempt"] for x in own or []}
+                again = {(x["kind"], x["entity"]): (x["attempt"], x["gender"]) for x in own or []}
                 parts, spans, at = [], [], 0
                 for start, end, kind, entity in mentions(text or ""):
-                    made = surrogate(kind, entity, key, again.get((kind, entity), 0))
+                    made = surrogate(kind, entity, key, *again.get((kind, entity), (0, "")))
                     made = written(kind, text[start:end], made)
                     parts += [text[at:start], made]
                     spans.append({"kind": kind, "start": start, "end": end, "surrogate": made})

@@ -58,7 +58,7 @@ def run(name, docs, labels, benchmark):
         "mixing": lambda: mixing.mix(docs, labels),
         "lines": lambda: lines.dedup_lines(docs),
         "simhash": lambda: simhash.near_duplicates(docs),
-        "pii": lambda: pii.replace_entities(docs),
+        "pii": lambda: pii.replace_entities(docs, b"key"),
         "quality": lambda: quality.score_texts(docs, quality.fit(docs, labels, epochs=3)),
         "subwords": lambda: subwords.encode_texts(docs, subwords.read_model(public_tokenizers.path("piece_bpe_32k.model"))),
         "middle": lambda: middle.fill_in_middle(docs),
@@ -137,7 +137,7 @@ def test_null_id_and_null_text_are_different_rows(spark):
     assert {(r.doc_id, r.text) for r in kept} == {(r.doc_id, r.text) for r in docs.collect()}
     assert {(r.doc_id, r.text) for r in decontaminate.without_contaminated(docs, items).collect()} == {(text, None), ("b", "Hans Meier: a@b.org")}
     assert {(r.doc_id, r.n_removed) for r in lines.dedup_lines(docs).collect()} == {(text, 0), (None, 0), ("b", 0)}
-    assert {(r.doc_id, r.text is None) for r in pii.replace_entities(docs).collect()} == {(text, True), (None, False), ("b", False)}
+    assert {(r.doc_id, r.text is None) for r in pii.replace_entities(docs, b"key").collect()} == {(text, True), (None, False), ("b", False)}
 
 
 def test_near_copies_keep_one(spark, docs, labels, tmp_path):

@@ -13,9 +13,10 @@ KEY = b"a key"
 
 
 def rewritten(text, key=KEY):
-    out = text
+    out, told = text, pii.genders(text)
     for start, end, kind, entity in reversed(pii.mentions(text)):
-        out = out[:start] + pii.written(kind, text[start:end], pii.surrogate(kind, entity, key)) + out[end:]
+        made = pii.surrogate(kind, entity, key, 0, told.get(entity, "") if kind == "first" else "")
+        out = out[:start] + pii.written(kind, text[start:end], made) + out[end:]
     return out
 
 
@@ -33,6 +34,11 @@ def rewritten(text, key=KEY):
         ("Mrs Anna Smith met Dr. Jones; Smith left", ["first", "last", "last", "last"]),
         ("token = 0b96a8c8d79c4a5085c919698889f59b72ab7bb6", []),
         ("version 3.14, in 1984, 12:30", []),
+        ("ask 555 123 4567 or +44 20 7946 0958, or +33 1 42 68 53 00.", ["phone"] * 3),
+        ("Phone: 5551234567; order 5551234567, 1700000000", ["phone"]),
+        ("rows 555 123 4567 89 and 1 555 123", []),
+        ("from 2001:db8::8a2e:370:7334, [fe80::1] and 2001:0DB8:0:0:0:0:2:1", ["ip"] * 3),
+        ("std::vector, a::b, ::1, 12:30:45, AA:BB:CC, 2001:db8", []),
     ],
 )
 def test_detection(text, kinds):
@@ -79,12 +85,55 @@ def test_small_domain_is_permuted():
     assert sorted(pii.permute(v, [7], KEY, "x") for v in range(7)) == list(range(7))
 
 
+def test_one_name_behind_titles_of_any_gender(spark):
+    rows = [(1, "Dr Anna Schmidt met Frau Anna Schmidt"), (2, "Prof Anna Maier"), (3, "Mr Kim Lee"), (4, "Mrs Kim Ray and KIM"), (5, "Dr. Robin Ray")]
+    got = {r.doc_id: r for r in pii.replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    names = {i: [x.surrogate for x in r.replaced] for i, r in got.items()}
+    assert names[1][0] == names[1][2] == names[2][0] and names[1][0].endswith("a")
+    assert names[3][0] == names[4][0] == names[4][2].title() and names[3][0].endswith("el")
+    assert names[5][0].endswith("el") and len({names[1][0], names[3][0], names[5][0]}) == 3
+
+
+def test_other_addresses_and_numbers_keep_their_form():
+    out = rewritten("2001:0DB8:0:0:0:0:2:1 or 2001:db8::2:1, +44 20 7946 0958, fe80::1")
+    first, _, second, code, a, b, c, last = out.replace(",", "").split()
+    assert first.lower() == second and first.isupper() and first.startswith("2001:") and last.startswith("fe80:")
+    assert code == "+44" and [len(x) for x in (a, b, c)] == [2, 4, 4] and (a, b, c) != ("20", "7946", "0958")
+
+
+def test_no_free_surrogates_end_in_an_error(spark, monkeypatch):
+    monkeypatch.setattr(pii, "ROUNDS", 2)
+    monkeypatch.setattr(pii, "_attempts", lambda entities, key: entities.withColumn("surrogate", F.lit("1")))
+    entities = spark.createDataFrame([("ssn", "1"), ("ssn", "2")], "kind string, entity string")
+    with pytest.raises(ValueError, match="ssn"):
+        pii.assign(entities, KEY)
+
+
+def test_distinct_and_the_same_everywhere(spark, folder):
+    """Every mention of the whole table, against the definition: one surrogate per entity,
+    one entity per surrogate, and no surrogate that is an entity."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    named = spark.createDataFrame([(-1 - i, f"Dr Anna Maier{'abcdefgh'[i]} and Mrs Anna Ray, 555 123 45{i}7, 2001:db8::{i + 1}") for i in range(8)], docs.schema)
+    texts = {r.doc_id: r.text for r in docs.unionByName(named).collect()}
+    made: dict = {}
+    for r in pii.replace_entities(docs.unionByName(named), KEY).collect():
+        found = pii.mentions(texts[r.doc_id] or "")
+        assert len(found) == len(r.replaced)
+        for (start, end, kind, entity), x in zip(found, r.replaced, strict=True):
+            text = x.surrogate if kind not in ("phone", "ssn", "card") else re.sub(r"\D", "", x.surrogate)[-len(entity) :]
+            made.setdefault((kind, entity), set()).add(text.lower().replace(" ", ""))
+    assert len(made) > 20 and all(len(x) == 1 for x in made.values())
+    whole = [(kind, x) for (kind, _), found in made.items() for x in found]
+    assert len(set(whole)) == len(whole)
+    assert not set(whole) & {(kind, entity.rpartition(":")[2] if kind in ("first", "last") else entity.lower()) for kind, entity in made}
+
+
 def test_collisions_are_resolved(spark, monkeypatch):
     """With few names to choose from, entities meet, and meet real ones."""
     monkeypatch.setitem(pii.SYLLABLES, "latin", ("bd", "aei"))
     names = [f"latin:{a}{b}" for a in "bdfgklm" for b in "abcdefgh"] + ["latin:bababaer", "latin:dadedier"]
     entities = spark.createDataFrame([("last", n) for n in names], "kind string, entity string")
-    monkeypatch.setattr(pii, "surrogate", lambda kind, entity, key, n=0: f"latin:{pii._hash(key, entity, n) % 200:03d}" if n else "latin:bababaer")
+    monkeypatch.setattr(pii, "surrogate", lambda kind, entity, key, n=0, gender="": f"latin:{pii._hash(key, entity, n) % 200:03d}" if n else "latin:bababaer")
     # The functions run in this process's workers as they are here, so what is tested is the loop.
     state = {r.entity: r for r in pii.assign(entities, KEY).collect()}
     made = [r.surrogate for r in state.values()]
