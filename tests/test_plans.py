@@ -162,3 +162,22 @@ def test_folder_where_none_is_named(spark):
             assert work_dir(Unset) == bare
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert not named or new_folder(spark, "x").startswith(named.rstrip("/"))
+
+
+def test_bare_folder_of_a_cluster(spark, tmp_path, monkeypatch):
+    """A path without a scheme is taken where all tasks see it, and tried only once."""
+
+    class Cluster:
+        sparkContext = type("Context", (), {"master": "spark://m:7077", "applicationId": "b", "defaultParallelism": 3})
+        conf = {"spark.checkpoint.dir": f"{tmp_path}/shared/"}
+        _jvm, _jsc, read = spark._jvm, spark._jsc, spark.read
+        range = staticmethod(spark.range)
+
+    assert work_dir(Cluster) == f"{tmp_path}/shared"
+    monkeypatch.setattr(Cluster, "range", None)
+    assert new_folder(Cluster, "x").startswith(f"{tmp_path}/shared/frameweir/x-")
+    # Of another application one task's file does not come back.
+    Cluster.sparkContext.applicationId = "c"
+    monkeypatch.setattr(Cluster, "range", staticmethod(lambda a, b, step, tasks: spark.range(a, b - 1, step, tasks)))
+    with pytest.raises(RuntimeError, match="each machine's own"):
+        work_dir(Cluster)
