@@ -195,9 +195,9 @@ def decode_tokens(encoded: DataFrame, model: bytes) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = _library(shared.value)
-        for batch in batches:
-            ids = [np.frombuffer(x or b"", "<u4").astype(np.int64).tolist() for x in batch["tokens"].to_pylist()]
-            decoded = [library.decode(x) for x in ids]
+        for batch in pieces(batches, column="tokens"):
+            # The ids as Python numbers weigh ten times as much: those of one row at a time.
+            decoded = [library.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in batch["tokens"].to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.string())], names=[*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(decode, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))

@@ -8,9 +8,11 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from frameweir.llm import middle, queries, spelling, subwords
 
@@ -98,6 +100,24 @@ def test_middle_query(spark, folder):
 # ---- subwords -----------------------------------------------------------------------
 
 
+def test_decoding_holds_few_texts(monkeypatch):
+    """A batch from Spark is decoded in slices, however many tokens it holds."""
+    library = subwords._library(subwords.read_model(MODEL))
+    texts = [f"{k} some words that are " * 40 for k in range(1200)]
+    tokens = [np.array(library.encode(x), "<u4").tobytes() for x in texts] + [None]
+    held = []
+
+    class Encoded:
+        sparkSession = type("S", (), {"sparkContext": type("C", (), {"broadcast": staticmethod(lambda x: type("B", (), {"value": x}))})})
+        schema = T.StructType([T.StructField("tokens", T.BinaryType())])
+        mapInArrow = staticmethod(lambda run, schema: held.append(run))
+
+    subwords.decode_tokens(Encoded, subwords.read_model(MODEL))
+    out = list(held[0](iter([pa.RecordBatch.from_pydict({"tokens": pa.array(tokens, pa.binary())})])))
+    assert len(out) > 2 and max(b["tokens"].nbytes for b in out) < 2 << 20
+    assert [x for b in out for x in b["decoded"].to_pylist()] == [*map(library.decode, map(library.encode, texts)), ""]
+
+
 @pytest.fixture(scope="module")
 def merges():
     return subwords.Merges(subwords.read_model(MODEL))
