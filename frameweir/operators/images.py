@@ -131,7 +131,9 @@ def resize_tiles(
     schema = T.StructType([*kept, *[T.StructField(n, t) for n, t in made]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # A block of tiles at a time, as they weigh more than what lies under them.
+        step = max(1, BLOCK_BYTES // (side * side * 4))
+        for batch in (whole.slice(k, step) for whole in batches for k in range(0, whole.num_rows, step)):
             rows = batch.select(["rows", "cols", "type", "top", "left", "y0", "x0", "lines"]).to_pylist()
             shapes, out = [], []
             for r in rows:
@@ -153,7 +155,7 @@ def assemble_frames(tiles: DataFrame, keys: list[str], height: int = 480, width:
     frames apart; a frame with a tile missing fails the job. One shuffle, of the tiles;
     a task holds the tiles of the frame that it puts together, and that frame."""
     tile = F.struct("top", "left", "tall", "wide", "bytes")
-    whole = tiles.groupBy(*keys, "type").agg(F.sort_array(F.collect_list(tile)).alias("tiles"))
+    whole = tiles.groupBy(*keys, "type").agg(F.collect_list(tile).alias("tiles"))  # each knows its place
     schema = T.StructType([*[tiles.schema[k] for k in keys], T.StructField("rows", T.IntegerType()), T.StructField("cols", T.IntegerType()), tiles.schema["type"], T.StructField("bytes", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,12 +224,17 @@ def pixel_sums(frames: DataFrame, keys: list[str]) -> DataFrame:
     schema = T.StructType([frames.schema[k] for k in keys]).add("total", T.LongType()).add("placed", T.LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = np.arange(PLACES, dtype=float)
         for batch in batches:
             total, placed = [], []
             for payload in batch.column("bytes"):
-                values = np.frombuffer(payload.as_buffer(), np.uint8).astype(np.int64)
-                total.append(int(values.sum()))
-                placed.append(int((values * (np.arange(len(values)) % PLACES)).sum()))
+                values, sums = np.frombuffer(payload.as_buffer(), np.uint8), [0, 0]
+                for start in range(0, len(values), PLACES):  # exact: far below 2**53
+                    part = values[start : start + PLACES].astype(float)
+                    sums[0] += int(part.sum())
+                    sums[1] += int(part @ places[: len(part)])
+                total.append(sums[0])
+                placed.append(sums[1])
             columns = {"total": pa.array(total, pa.int64()), "placed": pa.array(placed, pa.int64())}
             yield _replace(batch.select(keys), columns)
 

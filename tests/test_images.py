@@ -6,6 +6,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +114,36 @@ def test_resize_to_default_size(spark):
     assert (np.frombuffer(bytes(got[3].bytes), np.uint8) == frames[3].ravel()).all()
 
 
+def _function_of(monkeypatch, make):
+    """The function that an operator hands to mapInArrow."""
+    held = []
+    monkeypatch.setattr(type(make.__self__), "mapInArrow", lambda _, run, schema: held.append(run) or make.__self__)
+    return held
+
+
+def test_tiles_leave_in_small_batches(spark, monkeypatch):
+    """However many tiles a batch asks for, a block of them is held at a time."""
+    side, shown = 512, {}
+    tiles = table(spark, [frame(8, 8, 8, 1)]).limit(1)
+    held = _function_of(monkeypatch, tiles.mapInArrow)
+    resize_tiles(tiles, ["id"], 2 * side, 40 * side, side)
+    lines = [frame(8, 8, 8, 1)[:, :, 0].tobytes()[k : k + 8] for k in range(0, 64, 8)]
+    row = {"id": 0, "rows": 8, "cols": 8, "type": 0, "top": 0, "left": 0, "y0": 0, "x0": 0, "lines": lines}
+    for batch in held[0](iter([pa.RecordBatch.from_pylist([row] * 80)])):
+        shown[len(shown)] = sum(len(x.as_buffer()) for x in batch.column("bytes"))
+    assert sum(shown.values()) == 80 * side * side and max(shown.values()) <= 16 * 2**20
+
+
+def test_small_frames_resize_as_large_ones(monkeypatch):
+    """The sums of both ways are the same whole numbers."""
+    for k, (rows, cols, count) in enumerate([(8, 8, 1), (1, 5, 3), (64, 3, 4)]):
+        block = np.stack([frame(k, rows, cols, count), 255 * (frame(k + 9, rows, cols, count) & 1)])
+        got = resize_block(block, 48, 71)
+        with monkeypatch.context() as m:
+            m.setattr("frameweir.functions.pixels.SMALL", 0)
+            assert (resize_block(block, 48, 71) == got).all()
+
+
 def test_pixels(spark):
     source = frame(7, 3, 2, 3)
     got = frame_pixels(table(spark, [source]), ["id"]).collect()
