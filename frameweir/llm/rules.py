@@ -7,10 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
 from frameweir.llm.common import id_and, labelled_once, pieces, texts_of
 from frameweir.llm.words import Words
+from frameweir.session import stored
 
 WINDOW = 5
 LEAST_WORDS = 10
@@ -127,12 +129,15 @@ class Forest:
 
 def grow_forest(rows: np.ndarray, trees: int, sample: int, seed: int) -> Forest:
     """Each tree splits a sample of the rows at random features and values until
-    rows stand alone or the usual depth is reached twice over."""
+    rows stand alone or the usual depth is reached twice over. Where the rows do for
+    all trees, each tree has rows of its own."""
     rng = np.random.default_rng(seed)
     sample = max(2, min(sample, len(rows)))
     deepest = 2 * int(np.ceil(np.log2(sample)))
     made = []
-    for _ in range(trees):
+    apart = len(rows) >= trees * sample
+    for k in range(trees):
+        drawn = np.arange(k * sample, (k + 1) * sample) if apart else rng.choice(len(rows), sample, replace=False)
         feature, value, child, depth = [], [], [], []
 
         def add(feature=feature, value=value, child=child, depth=depth) -> int:
@@ -140,19 +145,19 @@ def grow_forest(rows: np.ndarray, trees: int, sample: int, seed: int) -> Forest:
                 x.append(-1 if x is feature else 0)
             return len(feature) - 1
 
-        todo = [(add(), rows[rng.choice(len(rows), sample, replace=False)], 0)]
+        todo = [(add(), rows[drawn], 0)]
         while todo:
             node, own, level = todo.pop()
             varied = np.flatnonzero(np.ptp(own, axis=0) > 0)
             if level >= deepest or len(own) <= 1 or not len(varied):
                 depth[node] = level + float(_usual_depth(len(own)))
                 continue
-            k = int(rng.choice(varied))
-            cut = rng.uniform(own[:, k].min(), own[:, k].max())
-            feature[node], value[node] = k, cut
+            split = int(rng.choice(varied))
+            cut = rng.uniform(own[:, split].min(), own[:, split].max())
+            feature[node], value[node] = split, cut
             left, right = add(), add()
             child[node] = left
-            high = own[:, k] > cut
+            high = own[:, split] > cut
             todo += [(left, own[~high], level + 1), (right, own[high], level + 1)]
         made.append((feature, value, child, depth))
     size = max(len(x[0]) for x in made)
@@ -189,23 +194,51 @@ SCHEMA = (
 )
 
 
-def labelled_features(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features, labels and base verdicts of a bounded sample, brought to the
-    driver: a few numbers a row."""
+def labelled_features(sample: DataFrame) -> DataFrame:
+    """(label, features, failed, draw): features and base verdicts of labelled rows (a
+    few numbers each), and a number by which rows are drawn."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             found, features = statistics(texts_of(batch))
             lists = pa.array(list(features), pa.list_(pa.float64()))
-            columns = {"label": batch["label"], "features": lists, "failed": pa.array(base_failed(found))}
+            columns = {"label": batch["label"], "draw": batch["draw"], "features": lists, "failed": pa.array(base_failed(found))}
             yield pa.RecordBatch.from_pydict(columns)
 
-    rows = sample.select("label", "text").mapInArrow(measure, "label int, features array<double>, failed boolean")
-    rows = rows.toArrow().to_pydict()
-    features = np.array(rows["features"], float).reshape(-1, len(FEATURES))
-    label, failed = np.array(rows["label"], np.int64), np.array(rows["failed"], bool)
-    order = np.lexsort((*features.T, label, failed))  # the same sample in the same order on every run
-    return features[order], label[order], failed[order]
+    rows = sample.select("label", "text", F.xxhash64(F.lit(23), "doc_id", "text").alias("draw"))
+    return rows.mapInArrow(measure, "label int, draw long, features array<double>, failed boolean")
+
+
+def to_grow_on(rows: DataFrame, most: int) -> np.ndarray:
+    """The features of all rows, or of the `most` that are drawn first, in the same
+    order on every run. They are what reaches the driver."""
+    drawn = rows.orderBy("draw", "features").limit(most + 1).select("features", "label", "failed").toArrow().to_pydict()
+    features = np.array(drawn["features"], float).reshape(-1, len(FEATURES))
+    if len(features) > most:
+        return features[:most]
+    return features[np.lexsort((*features.T, np.array(drawn["label"], np.int64), np.array(drawn["failed"], bool)))]
+
+
+def calibrate_all(scored: DataFrame, cost: float) -> float:
+    """`calibrate` over all rows of (score, good). The distinct scores are range-sorted
+    into slices; sums run inside a slice, on top of those of the slices before."""
+    each = scored.groupBy("score").agg(F.sum(F.col("good").cast("long")).alias("good"), F.sum((~F.col("good")).cast("long")).alias("bad"))
+    each = stored(each.repartitionByRange(F.desc("score")).withColumn("slice", F.spark_partition_id()), "scores")
+    slices = sorted(each.groupBy("slice").agg(F.sum("good"), F.sum("bad")).collect())
+    good, bad = (sum(x[k] for x in slices) for k in (1, 2))
+    if not good or not bad:
+        return 1.0
+    before = [(x[0], sum(y[1] for y in slices[:i]), sum(y[2] for y in slices[:i])) for i, x in enumerate(slices)]
+    before = each.sparkSession.createDataFrame(before, "slice int, good_before long, bad_before long")
+    down = Window.partitionBy("slice").orderBy(F.desc("score"))
+    errors = (F.sum("good").over(down) + F.col("good_before")) * F.lit(cost) + bad - (F.sum("bad").over(down) + F.col("bad_before"))
+    found = each.join(F.broadcast(before), "slice").select(errors.alias("errors"), (-F.col("score")).alias("edge"))
+    best = found.agg(F.min(F.struct("errors", "edge")).alias("best")).first().best  # of equal ones the highest score
+    if best.errors >= bad:
+        return 1.0
+    edge = -best.edge
+    under = each.where(F.col("score") < edge).agg(F.max("score")).first()[0]
+    return edge / 2 if under is None else (edge + under) / 2
 
 
 def fit_forest(
@@ -214,21 +247,29 @@ def fit_forest(
     use: Column | None = None,
     trees: int = 100,
     sample: int = 256,
-    max_rows: int = 20_000,
     cost: float = 2.0,
     seed: int = 11,
 ) -> Forest | None:
-    """A forest grown on the features of at most about `max_rows` labelled documents.
+    """A forest over all labelled documents: the features of each are taken.
 
-    It grows on good and bad rows alike. The labels only calibrate the limit, on
-    the rows that pass the base rules. Fewer than two rows: None.
+    A tree of an isolation forest grows on few rows by its nature: here on `sample`
+    rows drawn from all, good and bad alike, other ones for each tree where there
+    are enough. The labels only calibrate the limit, on all rows that pass the base
+    rules. Fewer than two rows: None.
     """
-    features, label, failed = labelled_features(labelled_once(docs, labels, "quality", max_rows, use))
-    good = label == 1
-    if len(label) < 2:
+    rows = stored(labelled_features(labelled_once(docs, labels, "quality", use=use)), "features")
+    drawn = to_grow_on(rows, trees * sample)
+    if len(drawn) < 2:
         return None
-    forest = grow_forest(features, trees, sample, seed)
-    forest.limit = calibrate(forest.score(features[~failed]), good[~failed], cost)
+    forest = grow_forest(drawn, trees, sample, seed)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            features = np.array(batch["features"].to_pylist(), float).reshape(-1, len(FEATURES))
+            yield pa.RecordBatch.from_pydict({"score": pa.array(forest.score(features)), "good": batch["good"]})
+
+    passed = rows.where("not failed").select("features", (F.col("label") == 1).alias("good"))
+    forest.limit = calibrate_all(passed.mapInArrow(measure, "score double, good boolean"), cost)
     return forest
 
 

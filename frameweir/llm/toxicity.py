@@ -10,10 +10,13 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from frameweir.llm.common import id_and, labelled_once, pieces, texts_of
+from frameweir.session import stored
 
 # What a writer may have meant by a character: the letters it stands for.
 LEET = {
@@ -113,6 +116,11 @@ def _choices(char: str, again: bool) -> tuple[tuple[str, float], ...]:
     return tuple(found)
 
 
+def _options(text: str, at: int) -> tuple[tuple[str, float], ...]:
+    """What may have been meant by the character of `text` at a place."""
+    return _choices(text[at], at > 0 and text[at - 1] == text[at])
+
+
 def _lattice(text: str) -> Iterator[tuple[tuple[str, float], ...]]:
     """The options at each character of `text`."""
     return map(_choices, text, map(eq, text, "\0" + text))
@@ -363,9 +371,9 @@ def choose_features(sample: DataFrame, model: Letters, most: int) -> list[tuple[
     as if seen five times more."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = Memory()
         for batch in pieces(batches):
             counts: dict = defaultdict(lambda: [0, 0])
-            cache = Memory()
             for text, label in zip(texts_of(batch), batch["label"].to_pylist(), strict=True):
                 for x in features_of(text, model, None, cache):
                     counts[x][label > 0] += 1
@@ -416,6 +424,20 @@ def fit_weights(rows: list[list[int]], label: np.ndarray, size: int, steps: int
     return weights
 
 
+def fit_weights_spread(rows: DataFrame, size: int, steps: int = 200) -> np.ndarray:
+    """The weights of the same regression, with the same penalty, over any number of
+    rows (label, found, n): each step is a sum over all of them in Spark."""
+
+    @F.udf(VectorUDT())
+    def as_vector(found):
+        return SparseVector(size, found, [1.0] * len(found))
+
+    table = rows.select((F.col("label") > 0).cast("double").alias("label"), as_vector("found").alias("features"), F.col("n").cast("double").alias("n"))
+    learner = LogisticRegression(maxIter=steps, regParam=1e-5, standardization=False, weightCol="n", family="binomial")
+    model = learner.fit(table)
+    return np.append(model.coefficients.toArray(), model.intercept)
+
+
 class Scorer:
     """What scoring needs: the character model, the features and their weights.
 
@@ -451,23 +473,34 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     use: Column | None = None,
-    max_rows: int = 8_000,
     max_features: int = 4_000,
+    driver_rows: int = 8_000,
 ) -> Scorer:
-    """Learn from at most about `max_rows` labelled documents, whole texts."""
-    sample = labelled_once(docs, labels, "toxic", max_rows, use)
+    """Learn from all labelled documents, whole texts. Counts are added up in Spark; rows
+    of the same label and features are weighed as one, and where more than
+    `driver_rows` are left, the weights are fitted in Spark, too."""
+    sample = labelled_once(docs, labels, "toxic", use=use)
     model = train_letters(sample)
     scorer = Scorer(model, choose_features(sample, model, max_features), np.zeros(1))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = Memory()
         for batch in pieces(batches):
-            found = scorer.features(texts_of(batch), {})
+            found = scorer.features(texts_of(batch), cache)
             yield pa.RecordBatch.from_pydict({"label": batch["label"], "found": pa.array(found, pa.list_(pa.int32()))})
 
-    rows = sample.select("label", "text").mapInArrow(find, "label int, found array<int>").toArrow().to_pydict()
-    order = sorted(range(len(rows["label"])), key=lambda i: (rows["label"][i], rows["found"][i]))
-    label = np.array([rows["label"][i] > 0 for i in order], float)
-    scorer.weights = fit_weights([rows["found"][i] for i in order], label, scorer.size)
+    rows = sample.select("label", "text").mapInArrow(find, "label int, found array<int>")
+    rows = stored(rows.groupBy("label", "found").agg(F.count(F.lit(1)).alias("n")), "found")
+    # One kind of label alone has no features: the constant is all there is to fit.
+    if scorer.learned and rows.count() > driver_rows:
+        scorer.weights = fit_weights_spread(rows, scorer.size)
+        return scorer
+    if not scorer.learned:
+        rows = rows.where(F.lit(False))  # every text gets the score 0
+    few = sorted((x.label, x.found, x.n) for x in rows.collect())
+    each = [found for _, found, n in few for _ in range(n)]
+    label = np.array([kind > 0 for kind, _, n in few for _ in range(n)], float)
+    scorer.weights = fit_weights(each, label, scorer.size)
     return scorer
 
 

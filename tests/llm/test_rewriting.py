@@ -103,7 +103,7 @@ def test_middle_query(spark, folder):
 def test_decoding_holds_few_texts(monkeypatch):
     """A batch from Spark is decoded in slices, however many tokens it holds."""
     library = subwords._library(subwords.read_model(MODEL))
-    texts = [f"{k} some words that are " * 40 for k in range(1200)]
+    texts = [f"{k} some words that are " * 40 for k in range(5000)]
     tokens = [np.array(library.encode(x), "<u4").tobytes() for x in texts] + [None]
     held = []
 

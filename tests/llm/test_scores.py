@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from frameweir.llm import lm, quality, queries, rules, toxicity
-from frameweir.llm.common import remainder
+from frameweir.llm.common import labelled_once, remainder
 from tests.llm import brute
 
 LARGER = "/root/testdata/sf0.01"
@@ -239,6 +239,41 @@ def test_viterbi_is_the_best_path(letters):
         assert totals[toxicity.decode(text, letters)] == pytest.approx(top)
 
 
+def test_limit_over_all_rows(spark):
+    """The limit found in slices is the one found in one place."""
+    rng = np.random.default_rng(3)
+    for n, digits, cost in ((400, 1, 2.0), (3000, 2, 0.5), (500, 9, 2.0)):
+        scores = np.round(rng.random(n), digits)
+        good = rng.random(n) > scores
+        table = spark.createDataFrame(list(zip(scores.tolist(), good.tolist(), strict=True)), "score double, good boolean")
+        assert rules.calibrate_all(table, cost) == pytest.approx(rules.calibrate(scores, good, cost), abs=1e-12)
+        assert rules.calibrate_all(table.where("good"), cost) == rules.calibrate_all(table.limit(0), cost) == 1.0
+
+
+def test_all_labels_are_learned_from(spark):
+    """More labelled rows than any sample held, and repeats of a few."""
+    docs = spark.range(25_000).selectExpr("id as doc_id", "concat('text ', id) as text")
+    labels = spark.range(25_000).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    every = labelled_once(docs.unionAll(docs.where("doc_id < 9")), labels, "quality")
+    assert every.count() == every.distinct().count() == 25_000
+    rows = rules.labelled_features(every)
+    assert len(rules.to_grow_on(rows, 100)) == 100 and len(rules.to_grow_on(rows, 30_000)) == 25_000
+    forest = rules.grow_forest(np.arange(40.0)[:, None] // 10, 4, 10, 1)  # each tree has rows of its own, all alike
+    assert (forest.feature[:, 0] == -1).all()
+
+
+def test_weights_fitted_in_spark(spark):
+    """The regression in Spark tells the same texts apart as that of the driver."""
+    plain = [(i, f"some words here {w} and more {i}", 1) for i, w in enumerate(["idiot", "moron", "clown"] * 30)]
+    clean = [(100 + i, f"some words there and {w} of them {i}", 0) for i, w in enumerate(["house", "river", "garden"] * 60)]
+    docs = spark.createDataFrame([x[:2] for x in plain + clean], "doc_id long, text string")
+    labels = spark.createDataFrame([(x[0], x[2]) for x in plain + clean], "doc_id long, toxic int")
+    near, spread = (toxicity.fit(docs, labels, driver_rows=n) for n in (8000, 0))
+    assert near.known == spread.known and len(near.weights) == len(spread.weights)
+    want, got = ({r.doc_id: r.predicted for r in toxicity.score_texts(docs, x).collect()} for x in (near, spread))
+    assert got == want == {x[0]: x[2] for x in plain + clean}
+
+
 def test_toxic_words_in_disguise(spark):
     plain = [(i, f"some words here {w} and more of them", 1) for i, w in enumerate(["idiot", "moron", "clown"] * 30)]
     clean = [(100 + i, f"some words there and {w} of them, no harm", 0) for i, w in enumerate(["house", "river", "garden"] * 60)]
