@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 from frameweir.llm.common import id_and, pieces, texts_of
 
 # Pairs of neighbours and stretches of text whose results a task keeps; both are
-# forgotten oldest first. Longer stretches are not kept.
-PAIRS, STRETCHES, LONGEST = 1 << 17, 1 << 17, 64
+# forgotten oldest first. Longer stretches are not kept. A stretch takes about
+# 400 bytes, so all of them about 100 MB of a worker.
+PAIRS, STRETCHES, LONGEST = 1 << 17, 1 << 18, 64
 
 # Fixed value: what stands for a space inside pieces.
 SPACE = "▁"
@@ -106,6 +107,8 @@ class Merges:
         tried first, then shorter ones. Where none fits, the place has failed:
         only one row of pieces can lead there, so it is never tried again.
         """
+        if text in self.ids:
+            return [text]  # the longest piece at the first place, and nothing after it
         total = len(text)
         longest = [1] * total  # also for a character that is no piece
         for end, size in self.matches.iter(text):
@@ -143,7 +146,10 @@ class Merges:
     def encode(self, text: str) -> bytes:
         """The ids, begin and end included, as 32-bit numbers, lowest byte first."""
         stretches = self.stretches.findall(self.processor.normalize(text))
-        parts = [self.encoded(x) if len(x) <= LONGEST else self.encode_stretch(x) for x in stretches]
+        if max(map(len, stretches), default=0) <= LONGEST:
+            parts = map(self.encoded, stretches)
+        else:
+            parts = [self.encoded(x) if len(x) <= LONGEST else self.encode_stretch(x) for x in stretches]
         return b"".join((self.begin, *parts, self.end))
 
 

@@ -142,6 +142,17 @@ def test_ids_are_those_of_the_library(merges):
         assert ids[1:-1] == np.frombuffer(whole, "<u4").tolist()
 
 
+def test_stretches_are_split_once(merges, monkeypatch):
+    """A worker remembers the rare words of many texts; a piece needs no search."""
+    words = [f"word{k}" for k in range(200_000)]
+    before = merges.encoded.cache_info().misses
+    first = [merges.encode(" ".join(words[k : k + 1000])) for k in range(0, len(words), 1000)]
+    assert [merges.encode(" ".join(words[k : k + 1000])) for k in range(0, len(words), 1000)] == first
+    assert merges.encoded.cache_info().misses - before <= len(words)
+    monkeypatch.setattr(merges, "matches", None)
+    assert merges.split("▁the") == ["▁the"]
+
+
 def test_backtracking_meets_failed_places():
     """Pieces for which the longest match leads nowhere: `abc` and `bcd` merge late."""
     made = subwords.Merges.__new__(subwords.Merges)
