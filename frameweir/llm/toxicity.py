@@ -41,6 +41,8 @@ SEEN, FREQUENT, WORDS = 2, 20, 50_000  # a reading must be seen, a frequent word
 
 PREFIXES = range(3, 9)  # lengths of the word beginnings that are features, beside whole words
 LEVELS = (0.5, 0.7, 0.9)
+# Words remembered where only numbers of known features are kept of each, mostly none.
+SCORED = 120_000
 CACHE, LONG_RUN = 15_000, 64  # words whose features a task remembers (twice as many at most), longest run of single characters
 
 
@@ -268,10 +270,10 @@ def _split_words(parts: list[str], model: Letters, cache: Memory) -> set:
 
 class Memory:
     """Results by key, of which those not asked for lately are forgotten: at most
-    2 * CACHE, the newer half is kept whenever it is full."""
+    twice `most`, the newer half is kept whenever it is full."""
 
-    def __init__(self):
-        self.newer, self.older = {}, {}
+    def __init__(self, most: int = CACHE):
+        self.newer, self.older, self.most = {}, {}, most
 
     def get(self, key: str):
         found = self.newer.get(key)
@@ -280,7 +282,7 @@ class Memory:
         return found
 
     def __setitem__(self, key: str, value) -> None:
-        if len(self.newer) >= CACHE:
+        if len(self.newer) >= self.most:
             self.newer, self.older = {}, self.newer
         self.newer[key] = value
 
@@ -484,7 +486,7 @@ def fit(
     scorer = Scorer(model, choose_features(sample, model, max_features), np.zeros(1))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Memory()
+        cache = Memory(SCORED)
         for batch in pieces(batches):
             found = scorer.features(texts_of(batch), cache)
             yield pa.RecordBatch.from_pydict({"label": batch["label"], "found": pa.array(found, pa.list_(pa.int32()))})
@@ -518,7 +520,7 @@ def score_texts(docs: DataFrame, scorer: Scorer, threshold: float = 0.3) -> Data
     """
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Memory()
+        cache = Memory(SCORED)
         for batch in pieces(batches):
             score = scorer.score(texts_of(batch), cache)
             predicted = (score >= threshold).astype(np.int32)
@@ -537,7 +539,7 @@ def without_toxic(docs: DataFrame, scorer: Scorer, threshold: float = 0.3) -> Da
         return docs
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Memory()
+        cache = Memory(SCORED)
         for batch in pieces(batches):
             yield batch.filter(pa.array(scorer.score(texts_of(batch), cache) < threshold))
 

@@ -6,10 +6,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from frameweir.llm import lm, quality, queries, rules, toxicity
 from frameweir.llm.common import labelled_once, remainder
@@ -216,6 +218,23 @@ def test_split_words(vocabulary, text):
     assert toxicity.features_of("so it is the man", vocabulary, {"idiot": 0}, {}) == set()
 
 
+def test_scoring_remembers_words(vocabulary, monkeypatch):
+    """Rare words of many texts are looked at once, not once per text."""
+    scorer = toxicity.Scorer(vocabulary, [("idiot", 0.9)], np.zeros(5))
+    asked, may_have = [], scorer.tree.may_have
+    monkeypatch.setattr(scorer.tree, "may_have", lambda token: asked.append(token) or may_have(token))
+    texts = [" ".join(f"w{k}0rd" for k in range(start, start + 1000)) + " 1d10t" for start in range(0, 100_000, 1000)]
+    docs = pa.RecordBatch.from_pydict({"doc_id": [*range(200)], "text": [*texts, *texts]})
+
+    class Docs:
+        schema = {"doc_id": T.StructField("doc_id", T.LongType())}
+        select = staticmethod(lambda *names: Docs)
+        mapInArrow = staticmethod(lambda measure, schema: measure)
+
+    scores = [x for batch in toxicity.score_texts(Docs, scorer)(iter([docs])) for x in batch["score"].to_pylist()]
+    assert len(scores) == 200 and len(asked) == len(set(asked)) == 100_001
+
+
 def test_viterbi_is_the_best_path(letters):
     """Against all readings of a short lattice."""
 
