@@ -82,3 +82,14 @@ def test_run_is_all_stages(spark, folder, outputs):
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "line dedup", "SimHash near-dedup", "benchmark decontamination", "mixing",
     ]
+
+
+def test_left_text_is_made_once_for_the_filter(spark):
+    """Documents without a word left go, and the plan holds the text that is left once
+    for the filter and for each column that comes from it."""
+    rows = [(1, "a b c\nd e f"), (2, "a b c\n \t"), (3, "a b c\n x"), (4, ""), (5, " \n\x0b"), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = lines.without_repeated_lines(docs)
+    assert sorted(left.collect()) == [(1, "a b c\nd e f"), (3, " x"), (4, ""), (5, " \n\x0b"), (6, None)]
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("array_join(") <= 3
