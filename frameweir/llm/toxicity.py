@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from operator import eq
 
@@ -36,13 +36,17 @@ DOUBLED = re.compile(r"(.)\1")
 NO_LETTERS = re.compile(r"^[.,;:?\"')\[\]]+|[.,;:?\"')(\[\]]+$")  # edges that stand for no letter
 STANDS = set("$@€£|+#")  # signs that are no punctuation of a word
 SPACED = re.compile(r"(?<!\S)[^\s.,;:?](?:\s+[^\s.,;:?]){2,}(?!\S)")
+PUNCTUATION = ".,;:?\"'"  # edges that stand for no letter, whatever stands between them
 PART, NEAR = 4, 2  # most characters of a part of a split word, parts looked at on each side
+ALONE = b"\1\1\1"  # in the lengths of a text's tokens, where SPACED may match
+PARTS, NO_PART = 100_000, ("", False)  # short tokens remembered
 SEEN, FREQUENT, WORDS = 2, 20, 50_000  # a reading must be seen, a frequent word isn't read; how many are kept
 
 PREFIXES = range(3, 9)  # lengths of the word beginnings that are features, beside whole words
 LEVELS = (0.5, 0.7, 0.9)
 # Words remembered where only numbers of known features are kept of each, mostly none.
 SCORED = 120_000
+HELD = 200_000  # counts held in a task before they are handed on
 CACHE, LONG_RUN = 15_000, 64  # words whose features a task remembers (twice as many at most), longest run of single characters
 
 
@@ -76,10 +80,12 @@ class Letters:
         it is no frequent word of the sample."""
         found = self.parts.get(token)
         if found is None:
-            core = EDGES.sub("", token)
-            core = core if len(core) <= PART else ""
-            found = core, bool(core) and self.words.get(core, 0) < FREQUENT and bool(PLAIN.search(core))
-            if len(self.parts) >= CACHE:
+            core = token if PLAIN.fullmatch(token) else EDGES.sub("", token)
+            if not core or len(core) > PART:
+                found = NO_PART
+            else:
+                found = core, self.words.get(core, 0) < FREQUENT and bool(PLAIN.search(core))
+            if len(self.parts) >= PARTS:
                 self.parts.clear()
             self.parts[token] = found
         return found
@@ -128,9 +134,33 @@ def _lattice(text: str) -> Iterator[tuple[tuple[str, float], ...]]:
     return map(_choices, text, map(eq, text, "\0" + text))
 
 
+def _once(text: str, model: Letters) -> str | None:
+    """What `decode` makes of a plain word, where each doubled letter is judged by itself:
+    none stands there three times, or so near another that both change one
+    trigram. Else, or if it is a near tie, None."""
+    if RUN.search(text):
+        return None
+    log, signs = model.log, f"  {text} "
+    kept, last = signs, len(signs)
+    for m in reversed([*DOUBLED.finditer(text)]):
+        at = m.end() + 1  # of the second letter
+        if last - at < 3:
+            return None
+        last = at
+        a, b, c = signs[at - 2], signs[at], signs[at + 1]
+        gain = log(a + b, b) + log(b + b, c) - log(a + b, c) - AGAIN
+        if abs(gain) < 1e-9:
+            return None
+        if gain < 0:
+            kept = kept[:at] + kept[at + 1 :]
+    return kept[2:-1]
+
+
 def decode(text: str, model: Letters) -> str:
     """The likeliest text behind `text` (lower case): Viterbi over the lattice of
     options, with the last two restored characters as state."""
+    if PLAIN.fullmatch(text) and (word := _once(text, model)) is not None:
+        return word
     known, log = model.cost, model.log
     best = {"  ": (0.0, None)}  # state -> score, (character, what came before)
     for options in _lattice(text):
@@ -164,7 +194,7 @@ class Beginnings:
         self.begun = {x[:-1] for x in known if x.endswith("…")}
         self.ways = {x[:n] for x in self.whole | self.begun for n in range(len(x) + 1)}
 
-    def _read(self, text: str) -> bool:
+    def read(self, text: str) -> bool:
         """Whether a reading of `text` has a known feature, by walking tree and lattice
         side by side."""
         reached, ways = {""}, self.ways
@@ -180,22 +210,24 @@ class Beginnings:
         """The known features of a word."""
         if len(word) < 2 or word[:3] not in self.ways:
             return []
+        ways, begun = self.ways, self.begun
         found = [word] if word in self.whole else []
-        for n in PREFIXES:
-            if n > len(word) or word[:n] not in self.ways:
+        for n in range(PREFIXES[0], min(len(word), PREFIXES[-1]) + 1):
+            begin = word[:n]
+            if begin in begun:
+                found.append(begin + "…")
+            elif begin not in ways:
                 break
-            if word[:n] in self.begun:
-                found.append(word[:n] + "…")
         return found
 
     def may_have(self, token: str) -> bool:
         """Whether one of the readings that `restore` chooses from has a known feature.
         If none has, the token needs no decoding."""
         core, wide = EDGES.sub("", token), NO_LETTERS.sub("", token)
-        if self.features(core) or self._read(wide):  # `wide` is one of its own readings
+        if self.features(core) or self.read(wide):  # `wide` is one of its own readings
             return True
         stands = wide[:1] in STANDS or wide[-1:] in STANDS
-        return stands and any(map(self._read, _edges_read(wide)))
+        return stands and any(map(self.read, _edges_read(wide)))
 
 
 def _edges_read(text: str) -> Iterator[str]:
@@ -239,41 +271,54 @@ def restore(token: str, model: Letters) -> str:
     return decode(wide, model)
 
 
-def _split_words(parts: list[str], model: Letters, cache: Memory) -> set:
+def _split_words(parts: list[str], rare: set, model: Letters, cache: Memory, tree: Beginnings | None) -> set:
     """Words of the sample that stand in parts among the others ('id iot'): short
-    parts next to each other, not all of them frequent words, decoded together."""
-    held = model.parts.get
-    short = [(held(x) or model.part(x)) if len(x) <= PART + 2 else ("", False) for x in parts]
+    parts next to each other, one of them `rare`, decoded together. With
+    a `tree` parts without any reading that has a known feature are not decoded."""
+    known, words = model.parts.get, model.words
+    if not rare:
+        return set()
+
+    def part(i: int) -> str:
+        x = parts[i]
+        return (known(x) or model.part(x))[0] if len(x) <= PART + 2 else ""
+
     found: set = set()
-    for i in [i for i, x in enumerate(short) if x[1]]:
+    for i in [i for i, x in enumerate(parts) if x in rare]:
         start, end = i, i + 1
-        while start > max(0, i - NEAR) and short[start - 1][0]:
+        while start > max(0, i - NEAR) and part(start - 1):
             start -= 1
-        while end < min(len(parts), i + NEAR + 1) and short[end][0]:
+        while end < min(len(parts), i + NEAR + 1) and part(end):
             end += 1
+        short = [part(k) for k in range(start, end)]
         for first in range(start, i + 1):
-            for last in range(max(i + 1, first + 2), end + 1):
-                text = "".join([x[0] for x in short[first:last]])
+            text = "".join(short[first - start : max(i, first + 1) - start])
+            for last in range(max(i, first + 1), end):
+                text += short[last - start]
                 if len(text) <= PART:  # mostly words that follow each other
                     continue
-                word = text if text in model.words else ""
-                if not word and not PLAIN.fullmatch(text):
+                if text in words:
+                    found.add(text)
+                elif not PLAIN.fullmatch(text):
                     word = cache.get(" " + text)
                     if word is None:
-                        word = decode(text, model)
-                        word = word if word in model.words and len(word) > PART else ""
+                        word = decode(text, model) if tree is None or tree.read(text) else ""
+                        word = word if word in words and len(word) > PART else ""
                         cache[" " + text] = word
-                if word:
-                    found.add(word)
+                    if word:
+                        found.add(word)
     return found
 
 
 class Memory:
     """Results by key, of which those not asked for lately are forgotten: at most
-    twice `most`, the newer half is kept whenever it is full."""
+    twice `most`, the newer half is kept whenever it is full. Tokens that need no
+    work are only marked as `settled`, as many again."""
 
     def __init__(self, most: int = CACHE):
         self.newer, self.older, self.most = {}, {}, most
+        self.settled, self.before = set(), set()
+        self.rare: set = set()  # of the tokens settled, those that may be parts of words
 
     def get(self, key: str):
         found = self.newer.get(key)
@@ -286,16 +331,43 @@ class Memory:
             self.newer, self.older = {}, self.newer
         self.newer[key] = value
 
+    def settle(self, token: str, rare: bool) -> None:
+        if len(self.settled) >= self.most:
+            self.settled, self.before = set(), self.settled
+            self.rare = {x for x in self.rare if x in self.before}
+        self.settled.add(token)
+        if rare:
+            self.rare.add(token)
 
-def features_of(text: str, model: Letters, known: dict | None, cache: Memory, tree: Beginnings | None = None) -> set:
-    """The features of a text: restored words and word beginnings. With `known`
-    (feature -> number) the numbers of those that are known, and with their `tree`
+    def unsettled(self, tokens: set) -> set:
+        return tokens - self.settled - self.before
+
+
+def _word(token: str, model: Letters, tree: Beginnings | None) -> str:
+    """A token restored; with a `tree` '' if the word has no known feature, and
     tokens that can have none aren't decoded."""
+    word = token.strip(PUNCTUATION)
+    if word.isascii() and word.isalpha() or PLAIN.fullmatch(word):
+        if not DOUBLED.search(word):  # as `restore` takes it
+            return word if tree is None or tree.features(word) else ""
+        if tree is not None and not tree.features(word) and not tree.read(word):
+            return ""
+        word = restore(word, model)
+    elif tree is None or tree.may_have(token):
+        word = restore(token, model)
+    else:
+        return ""
+    return word if tree is None or tree.features(word) else ""
+
+
+def words_of(text: str, model: Letters, cache: Memory, tree: Beginnings | None = None) -> set:
+    """The restored words of a text; with a `tree` those that have a known feature. A
+    memory serves calls of one kind."""
     text = text.lower()
-    found: set = set()
     parts = text.split()
     tokens = set(parts)
-    for run in SPACED.findall(text):
+    lengths = bytes([n if n < 255 else 255 for n in map(len, parts)])
+    for run in SPACED.findall(text) if ALONE in lengths else ():
         run = " ".join(run.split())
         words = cache.get("  " + run)
         if words is None:
@@ -303,38 +375,71 @@ def features_of(text: str, model: Letters, known: dict | None, cache: Memory, tr
             if len(run) <= LONG_RUN:
                 cache["  " + run] = words
         tokens.update(words)
+    rest = cache.unsettled(tokens)
+    rare: set = set()
     if model.words:
-        tokens |= _split_words(parts, model, cache)
-    get = cache.get
-    for token in tokens:
-        own = get(token)
-        if own is None:
-            own = ()
-            plain = PLAIN.fullmatch(token) and not DOUBLED.search(token)
-            if plain or tree is None or tree.may_have(token):
-                word = token if plain else restore(token, model)
-                if tree is None:
-                    own = {word, *(word[:n] + "…" for n in PREFIXES if len(word) >= n)} if len(word) > 1 else ()
-                    if known is not None:
-                        own = tuple(known[x] for x in own if x in known)
-                else:
-                    own = tuple([known[x] for x in tree.features(word)])
-            cache[token] = own
-        if own:
-            found.update(own)
+        part = model.parts.get
+        rare = {x for x in rest if len(x) <= PART + 2 and (part(x) or model.part(x))[1]}
+        more = _split_words(parts, rare | (tokens & cache.rare), model, cache, tree)
+        tokens |= more
+        rest |= cache.unsettled(more)
+    found = tokens - rest if tree is None else set()
+    get, settled = cache.get, "" if tree is not None else None
+    for token in rest:
+        word = get(token)
+        if word is None:
+            word = _word(token, model, tree)
+            if word == (token if settled is None else settled):
+                cache.settle(token, token in rare)
+            else:
+                cache[token] = word
+        if word:
+            found.add(word)
     return found
 
 
+def features_of(text: str, model: Letters, known: dict | None, cache: Memory | dict, tree: Beginnings | None = None) -> set:
+    """The features of a text: restored words and word beginnings. With `known`
+    (feature -> number) the numbers of those that are known, and with their `tree`
+    tokens that can have none aren't decoded."""
+    words = words_of(text, model, cache if isinstance(cache, Memory) else Memory(), tree)
+    if tree is not None:
+        return {known[x] for word in words for x in tree.features(word)}
+    found = {word for word in words if len(word) > 1}
+    for begun in beginnings(words):
+        found.update([x + "…" for x in begun])
+    return found if known is None else {known[x] for x in found if x in known}
+
+
+def beginnings(words: set) -> Iterator[list[str]]:
+    """The word beginnings of each length in PREFIXES, each once."""
+    for n in reversed(PREFIXES):
+        words = {x[:n] for x in words}
+        yield [x for x in words if len(x) == n]
+
+
 # ---- learning -----------------------------------------------------------------------
 
 
+def _counted(batches: Iterator[pa.RecordBatch], cut: Callable[[str], list[str]]) -> Iterator[Counter]:
+    """How often each of what `cut` finds in the lower-case texts is there, about HELD of
+    them at a time."""
+    counts: Counter = Counter()
+    for batch in pieces(batches):
+        for text in texts_of(batch):
+            counts.update(cut(text.lower()))
+        if len(counts) >= HELD:
+            yield counts
+            counts = Counter()
+    yield counts
+
+
 def train_letters(sample: DataFrame) -> Letters:
     """Character trigrams of the plain words of the sample, and its most frequent
     words. The table is bounded by the alphabet: Latin letters and the blank."""
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            words = Counter(x for text in texts_of(batch) for x in PLAIN.findall(text.lower()))
+        for words in _counted(batches, PLAIN.findall):
             counts: Counter = Counter()
             for word, n in words.items():
                 if not RUN.search(word):
@@ -348,12 +453,12 @@ def train_letters(sample: DataFrame) -> Letters:
     rows = sample.select("text").mapInArrow(grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for tokens in _counted(batches, str.split):
             # only tokens that are plain but for their edges; parts of disguised ones are no words
-            tokens = Counter(x for text in texts_of(batch) for x in text.lower().split())
             counts: Counter = Counter()
             for token, n in tokens.items():
-                word = EDGES.sub("", token)
+                word = token.strip(PUNCTUATION)
+                word = word if PLAIN.fullmatch(word) else EDGES.sub("", token)
                 if PLAIN.fullmatch(word) and len(word) > 1 and not RUN.search(word):
                     counts[word] += n
             yield pa.RecordBatch.from_pydict(
@@ -373,16 +478,30 @@ def choose_features(sample: DataFrame, model: Letters, most: int) -> list[tuple[
     as if seen five times more."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Memory()
+        cache = Memory(SCORED)
+        whole, begun = (Counter(), Counter()), (Counter(), Counter())  # of clean texts and of toxic ones
+
+        def counted(counts: tuple[Counter, Counter], mark: str) -> pa.RecordBatch:
+            keys = list(counts[0] | counts[1])
+            columns = {"feature": pa.array([x + mark for x in keys], pa.string())}
+            for name, own in zip(("clean", "toxic"), counts, strict=True):
+                columns[name] = pa.array([own[x] for x in keys], pa.int64())
+                own.clear()
+            return pa.RecordBatch.from_pydict(columns)
+
+        def handed_on() -> Iterator[pa.RecordBatch]:
+            yield counted(whole, "")
+            yield counted(begun, "…")
+
         for batch in pieces(batches):
-            counts: dict = defaultdict(lambda: [0, 0])
             for text, label in zip(texts_of(batch), batch["label"].to_pylist(), strict=True):
-                for x in features_of(text, model, None, cache):
-                    counts[x][label > 0] += 1
-            columns = {"feature": pa.array(list(counts), pa.string())}
-            for i, name in enumerate(("clean", "toxic")):
-                columns[name] = pa.array([x[i] for x in counts.values()], pa.int64())
-            yield pa.RecordBatch.from_pydict(columns)
+                words = words_of(text, model, cache)
+                whole[label > 0].update([x for x in words if len(x) > 1])
+                for own in beginnings(words):
+                    begun[label > 0].update(own)
+            if sum(map(len, (*whole, *begun))) >= HELD:
+                yield from handed_on()
+        yield from handed_on()
 
     rows = sample.select("text", "label").mapInArrow(count, "feature string, clean long, toxic long")
     rows = rows.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))

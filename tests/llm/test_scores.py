@@ -363,3 +363,41 @@ def test_gradients():
     model = quality.train(x, text, label, 4, 60, 0.05, 2)
     y = model.forward(x, text, 3)["y"]
     assert (np.abs(y - label) < 0.2).all()
+
+
+def test_plain_words_need_no_lattice(letters, monkeypatch):
+    """Doubled letters of plain words are judged one by one, with the result of the search
+    over all readings; words with near doubles go through the lattice."""
+    draw = random.Random(7)
+    words = ["".join(draw.choice("idotheclw") for _ in range(draw.randrange(1, 10))) for _ in range(3000)] + ["hello", "idiiot", "thhere"]
+    asked, lattice, once = [], toxicity._lattice, toxicity._once
+    monkeypatch.setattr(toxicity, "_lattice", lambda text: asked.append(text) or lattice(text))
+    quick = [toxicity.decode(x, letters) for x in words]
+    assert "thhere" not in asked and len(asked) < 600
+    monkeypatch.setattr(toxicity, "_once", lambda text, model: None)
+    assert quick == [toxicity.decode(x, letters) for x in words]
+    assert once("thherre", letters) == toxicity.decode("thherre", letters)
+    assert once("hellloo", letters) is None and once("eell", letters) is None
+
+
+def test_words_forgotten_are_found_again(vocabulary):
+    """A small memory gives the words that a large one gives, with a tree and without."""
+    draw = random.Random(9)
+    known = {"idiot": 0, "idi…": 1, "stupid": 2}
+    tree = toxicity.Beginnings(known)
+    pool = ["id", "iot", "io", "t", "1d", "stuupid", "so", "it", "there,", "st-upid", *(f"w{k}" for k in range(40))]
+    texts = [" ".join(draw.choice(pool) for _ in range(12)) for _ in range(400)]
+    for way in (None, tree):
+        small, large = toxicity.Memory(5), toxicity.Memory()
+        found = [toxicity.words_of(x, vocabulary, large, way) for x in texts]
+        assert any("idiot" in x for x in found)
+        assert found == [toxicity.words_of(x, vocabulary, small, way) for x in texts]
+
+
+def test_feature_counts_are_of_documents(spark, vocabulary, monkeypatch):
+    """Counts of features: documents, not occurrences, in any number of pieces."""
+    texts = [("idiot idiot hello", 1), ("IDIOT, there", 1), ("hello there", 0), ("hello there you", 0), ("so it is", 0)] * 3
+    sample = spark.createDataFrame(texts, "text string, label int")
+    found = dict(toxicity.choose_features(sample, vocabulary, 50))
+    share = 6 / 15
+    assert found["idiot"] == found["idi…"] == pytest.approx((6 + 5 * share) / 11) and "hello" not in found
