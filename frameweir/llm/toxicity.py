@@ -10,12 +10,15 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from frameweir.llm.common import id_and, labelled_once, pieces, texts_of
+from frameweir.llm.common import id_and, labelled_once, pieces, row_id, texts_of
+from frameweir.operators.joins import lookup_join
 from frameweir.session import stored
 
 # What a writer may have meant by a character: the letters it stands for.
@@ -47,6 +50,7 @@ LEVELS = (0.5, 0.7, 0.9)
 # Words remembered where only numbers of known features are kept of each, mostly none.
 SCORED = 120_000
 HELD = 200_000  # counts held in a task before they are handed on
+PAIRS = 1 << 20  # words of texts that are counted at a time
 CACHE, LONG_RUN = 15_000, 64  # words whose features a task remembers (twice as many at most), longest run of single characters
 
 
@@ -220,11 +224,26 @@ class Beginnings:
                 break
         return found
 
+    def has(self, word: str) -> bool:
+        """Whether a word has a known feature."""
+        if len(word) < 2 or word[:3] not in self.ways:
+            return False
+        if word in self.whole:
+            return True
+        ways, begun = self.ways, self.begun
+        for n in range(PREFIXES[0], min(len(word), PREFIXES[-1]) + 1):
+            begin = word[:n]
+            if begin in begun:
+                return True
+            if begin not in ways:
+                return False
+        return False
+
     def may_have(self, token: str) -> bool:
         """Whether one of the readings that `restore` chooses from has a known feature.
         If none has, the token needs no decoding."""
         core, wide = EDGES.sub("", token), NO_LETTERS.sub("", token)
-        if self.features(core) or self.read(wide):  # `wide` is one of its own readings
+        if self.has(core) or self.read(wide):  # `wide` is one of its own readings
             return True
         stands = wide[:1] in STANDS or wide[-1:] in STANDS
         return stands and any(map(self.read, _edges_read(wide)))
@@ -349,15 +368,15 @@ def _word(token: str, model: Letters, tree: Beginnings | None) -> str:
     word = token.strip(PUNCTUATION)
     if word.isascii() and word.isalpha() or PLAIN.fullmatch(word):
         if not DOUBLED.search(word):  # as `restore` takes it
-            return word if tree is None or tree.features(word) else ""
-        if tree is not None and not tree.features(word) and not tree.read(word):
+            return word if tree is None or tree.has(word) else ""
+        if tree is not None and not tree.has(word) and not tree.read(word):
             return ""
         word = restore(word, model)
     elif tree is None or tree.may_have(token):
         word = restore(token, model)
     else:
         return ""
-    return word if tree is None or tree.features(word) else ""
+    return word if tree is None or tree.has(word) else ""
 
 
 def words_of(text: str, model: Letters, cache: Memory, tree: Beginnings | None = None) -> set:
@@ -366,7 +385,10 @@ def words_of(text: str, model: Letters, cache: Memory, tree: Beginnings | None =
     text = text.lower()
     parts = text.split()
     tokens = set(parts)
-    lengths = bytes([n if n < 255 else 255 for n in map(len, parts)])
+    try:
+        lengths = bytes(map(len, parts))
+    except ValueError:  # a token of more than 255 characters
+        lengths = bytes([min(n, 255) for n in map(len, parts)])
     for run in SPACED.findall(text) if ALONE in lengths else ():
         run = " ".join(run.split())
         words = cache.get("  " + run)
@@ -436,38 +458,77 @@ def _counted(batches: Iterator[pa.RecordBatch], cut: Callable[[str], list[str]])
 
 def train_letters(sample: DataFrame) -> Letters:
     """Character trigrams of the plain words of the sample, and its most frequent
-    words. The table is bounded by the alphabet: Latin letters and the blank."""
-
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words in _counted(batches, PLAIN.findall):
-            counts: Counter = Counter()
-            for word, n in words.items():
-                if not RUN.search(word):
-                    padded = f"  {word} "
-                    for i in range(len(word) + 1):
-                        counts[padded[i : i + 3]] += n
-            yield pa.RecordBatch.from_pydict(
-                {"gram": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())}
-            )
-
-    rows = sample.select("text").mapInArrow(grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words, both from the tokens of one pass. The table is bounded by the alphabet:
+    Latin letters and the blank."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tokens in _counted(batches, str.split):
-            # only tokens that are plain but for their edges; parts of disguised ones are no words
-            counts: Counter = Counter()
+            runs, words = Counter(), Counter()
             for token, n in tokens.items():
                 word = token.strip(PUNCTUATION)
-                word = word if PLAIN.fullmatch(word) else EDGES.sub("", token)
-                if PLAIN.fullmatch(word) and len(word) > 1 and not RUN.search(word):
-                    counts[word] += n
-            yield pa.RecordBatch.from_pydict(
-                {"word": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())}
-            )
-
-    plain = sample.select("text").mapInArrow(words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    plain = plain.where(F.col("n") >= SEEN).orderBy(F.desc("n"), "word").limit(WORDS)
-    return Letters({gram: n for gram, n in rows.collect()}, {word: n for word, n in plain.collect()})
+                if PLAIN.fullmatch(word):
+                    runs[word] += n
+                else:  # parts of disguised words are no words
+                    for run in PLAIN.findall(token):
+                        runs[run] += n
+                    word = EDGES.sub("", token)
+                    if not PLAIN.fullmatch(word):
+                        continue
+                if len(word) > 1 and not RUN.search(word):
+                    words[word] += n
+            grams: Counter = Counter()
+            for run, n in runs.items():
+                if not RUN.search(run):
+                    padded = f"  {run} "
+                    for i in range(len(run) + 1):
+                        grams[padded[i : i + 3]] += n
+            for counts, whole in ((grams, False), (words, True)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(whole, len(counts)), pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
+                    names=["whole", "part", "n"],
+                )
+
+    rows = sample.select("text").mapInArrow(count, "whole boolean, part string, n long")
+    rows = rows.groupBy("whole", "part").agg(F.sum("n").alias("n")).where(~F.col("whole") | (F.col("n") >= SEEN))
+    rows = stored(rows, "letters")
+    grams = rows.where(~F.col("whole")).select("part", "n").collect()
+    plain = rows.where("whole").orderBy(F.desc("n"), "part").limit(WORDS).select("part", "n")
+    return Letters(dict(map(tuple, grams)), dict(map(tuple, plain.collect())))
+
+
+def feature_counts(words: list[str], sizes: list[int], toxic: list[bool]) -> pa.RecordBatch:
+    """(feature, clean, toxic): in how many clean and toxic texts each word of two characters
+    or more is, and each word beginning. `words` are the different words of each
+    text, one text after the other, and `sizes` their numbers. In sorted order the
+    words of one beginning stand together, also among those of one text."""
+    known = sorted(set(words))
+    rank = dict(zip(known, range(len(known)), strict=True))
+    at = np.fromiter(map(rank.__getitem__, words), np.int64, len(words))
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    text, at = np.divmod(np.sort(text * len(known) + at), max(1, len(known)))
+    kind = np.array(toxic, bool)[text]
+    length = np.fromiter(map(len, known), np.int64, len(known))
+    signs = np.array(known, f"U{PREFIXES[-1]}").view(np.uint32).reshape(len(known), PREFIXES[-1])
+    alike = np.logical_and.accumulate(signs[1:] == signs[:-1], axis=1).sum(axis=1)  # signs that a word begins with like the one before
+    names, found = pa.array(known, pa.string()), []
+    for n in (0, *PREFIXES):  # 0: the whole word
+        new = np.ones(len(known), bool)
+        if n:
+            new[1:] = alike < n
+        group = np.cumsum(new) - 1
+        own = length[at] >= (n or 2)
+        g, t, k = group[at[own]], text[own], kind[own]
+        once = np.ones(len(g), bool)
+        once[1:] = (g[1:] != g[:-1]) | (t[1:] != t[:-1])
+        clean, bad = (np.bincount(g[once & x], minlength=len(known)) for x in (~k, k))
+        head = np.zeros(len(known), np.int64)
+        head[g] = at[own]  # any word of a group
+        there = np.flatnonzero(clean + bad)
+        feature = names.take(pa.array(head[there]))
+        if n:
+            feature = pc.binary_join_element_wise(pc.utf8_slice_codeunits(feature, 0, n), "…", "")
+        found.append(pa.RecordBatch.from_arrays([feature, pa.array(clean[there]), pa.array(bad[there])], names=["feature", "clean", "toxic"]))
+    return pa.concat_batches(found)
 
 
 def choose_features(sample: DataFrame, model: Letters, most: int) -> list[tuple[str, float]]:
@@ -479,29 +540,17 @@ def choose_features(sample: DataFrame, model: Letters, most: int) -> list[tuple[
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = Memory(SCORED)
-        whole, begun = (Counter(), Counter()), (Counter(), Counter())  # of clean texts and of toxic ones
-
-        def counted(counts: tuple[Counter, Counter], mark: str) -> pa.RecordBatch:
-            keys = list(counts[0] | counts[1])
-            columns = {"feature": pa.array([x + mark for x in keys], pa.string())}
-            for name, own in zip(("clean", "toxic"), counts, strict=True):
-                columns[name] = pa.array([own[x] for x in keys], pa.int64())
-                own.clear()
-            return pa.RecordBatch.from_pydict(columns)
-
-        def handed_on() -> Iterator[pa.RecordBatch]:
-            yield counted(whole, "")
-            yield counted(begun, "…")
-
+        words, sizes, toxic = [], [], []
         for batch in pieces(batches):
             for text, label in zip(texts_of(batch), batch["label"].to_pylist(), strict=True):
-                words = words_of(text, model, cache)
-                whole[label > 0].update([x for x in words if len(x) > 1])
-                for own in beginnings(words):
-                    begun[label > 0].update(own)
-            if sum(map(len, (*whole, *begun))) >= HELD:
-                yield from handed_on()
-        yield from handed_on()
+                own = words_of(text, model, cache)
+                words.extend(own)
+                sizes.append(len(own))
+                toxic.append(label > 0)
+            if len(words) >= PAIRS:
+                yield feature_counts(words, sizes, toxic)
+                words, sizes, toxic = [], [], []
+        yield feature_counts(words, sizes, toxic)
 
     rows = sample.select("text", "label").mapInArrow(count, "feature string, clean long, toxic long")
     rows = rows.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
@@ -583,12 +632,52 @@ class Scorer:
             found.append(sorted({*own, *(k for x in own for k in self.levels[x])}))
         return found
 
-    def score(self, texts: list[str], cache: Memory) -> np.ndarray:
+    def found_in(self, rows: DataFrame) -> DataFrame:
+        """`rows` with the features `found` instead of `text`. Whole texts, one pass, no shuffle."""
+        others = [x for x in rows.schema if x.name != "text"]
+        schema = T.StructType([*others, T.StructField("found", T.ArrayType(T.IntegerType()))])
+
+        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            cache = Memory(SCORED)
+            for batch in pieces(batches):
+                found = pa.array(self.features(texts_of(batch), cache), pa.list_(pa.int32()))
+                names = [x.name for x in others]
+                yield pa.RecordBatch.from_arrays([*[batch[x] for x in names], found], names=[*names, "found"])
+
+        return rows.mapInArrow(find, schema)
+
+    def weigh(self, rows: DataFrame, driver_rows: int) -> None:
+        """Learn the weights from rows (label, found). Rows of the same label and features
+        are weighed as one, and where more than `driver_rows` are left, the
+        weights are fitted in Spark."""
+        rows = stored(rows.groupBy("label", "found").agg(F.count(F.lit(1)).alias("n")), "found")
+        # One kind of label alone has no features: the constant is all there is to fit.
+        if self.learned and rows.count() > driver_rows:
+            self.weights = fit_weights_spread(rows, self.size)
+            return
+        if not self.learned:
+            rows = rows.where(F.lit(False))  # every text gets the score 0
+        few = sorted((x.label, x.found, x.n) for x in rows.collect())
+        each = [found for _, found, n in few for _ in range(n)]
+        label = np.array([kind > 0 for kind, _, n in few for _ in range(n)], float)
+        self.weights = fit_weights(each, label, self.size)
+
+    def score_found(self, found: list[list[int]]) -> np.ndarray:
+        """The scores of texts with these features."""
         if not self.learned:
-            return np.zeros(len(texts))
-        values = np.array([self.weights[x].sum() for x in self.features(texts, cache)]) + self.weights[-1]
+            return np.zeros(len(found))
+        values = np.array([self.weights[x].sum() for x in found]) + self.weights[-1]
         return 1 / (1 + np.exp(-np.clip(values, -30, 30)))
 
+    def score(self, texts: list[str], cache: Memory) -> np.ndarray:
+        return self.score_found(self.features(texts, cache) if self.learned else [[]] * len(texts))
+
+
+def chosen(sample: DataFrame, max_features: int) -> Scorer:
+    """A scorer with the features of the sample, and no weights yet."""
+    model = train_letters(sample)
+    return Scorer(model, choose_features(sample, model, max_features), np.zeros(1))
+
 
 def fit(
     docs: DataFrame,
@@ -597,37 +686,22 @@ def fit(
     max_features: int = 4_000,
     driver_rows: int = 8_000,
 ) -> Scorer:
-    """Learn from all labelled documents, whole texts. Counts are added up in Spark; rows
-    of the same label and features are weighed as one, and where more than
-    `driver_rows` are left, the weights are fitted in Spark, too."""
+    """Learn from all labelled documents, whole texts. Counts are added up in Spark; for
+    the weights see `Scorer.weigh`."""
     sample = labelled_once(docs, labels, "toxic", use=use)
-    model = train_letters(sample)
-    scorer = Scorer(model, choose_features(sample, model, max_features), np.zeros(1))
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Memory(SCORED)
-        for batch in pieces(batches):
-            found = scorer.features(texts_of(batch), cache)
-            yield pa.RecordBatch.from_pydict({"label": batch["label"], "found": pa.array(found, pa.list_(pa.int32()))})
-
-    rows = sample.select("label", "text").mapInArrow(find, "label int, found array<int>")
-    rows = stored(rows.groupBy("label", "found").agg(F.count(F.lit(1)).alias("n")), "found")
-    # One kind of label alone has no features: the constant is all there is to fit.
-    if scorer.learned and rows.count() > driver_rows:
-        scorer.weights = fit_weights_spread(rows, scorer.size)
-        return scorer
-    if not scorer.learned:
-        rows = rows.where(F.lit(False))  # every text gets the score 0
-    few = sorted((x.label, x.found, x.n) for x in rows.collect())
-    each = [found for _, found, n in few for _ in range(n)]
-    label = np.array([kind > 0 for kind, _, n in few for _ in range(n)], float)
-    scorer.weights = fit_weights(each, label, scorer.size)
+    scorer = chosen(sample, max_features)
+    scorer.weigh(scorer.found_in(sample.select("label", "text")), driver_rows)
     return scorer
 
 
 SCHEMA = "score double, predicted int"
 
 
+def _scored(doc_id: pa.Array, score: np.ndarray, threshold: float) -> pa.RecordBatch:
+    predicted = (score >= threshold).astype(np.int32)
+    return pa.RecordBatch.from_arrays([doc_id, pa.array(score, pa.float64()), pa.array(predicted)], names=["doc_id", "score", "predicted"])
+
+
 def score_texts(docs: DataFrame, scorer: Scorer, threshold: float = 0.3) -> DataFrame:
     """One row per row of `docs` (doc_id, text; other columns are not read).
 
@@ -641,16 +715,40 @@ def score_texts(docs: DataFrame, scorer: Scorer, threshold: float = 0.3) -> Data
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = Memory(SCORED)
         for batch in pieces(batches):
-            score = scorer.score(texts_of(batch), cache)
-            predicted = (score >= threshold).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(score, pa.float64()), pa.array(predicted)],
-                names=["doc_id", "score", "predicted"],
-            )
+            yield _scored(batch["doc_id"], scorer.score(texts_of(batch), cache), threshold)
 
     return docs.select("doc_id", "text").mapInArrow(measure, id_and(docs, SCHEMA))
 
 
+def fitted_scores(
+    docs: DataFrame,
+    labels: DataFrame,
+    use: Column | None = None,
+    threshold: float = 0.3,
+    max_features: int = 4_000,
+    driver_rows: int = 8_000,
+) -> DataFrame:
+    """`score_texts` of `docs` by what `fit` learns from them. The features of each text
+    are found once and kept: those of labelled texts serve the weights, then all
+    are scored. Labels reach them by a key made of id and text, on narrow rows."""
+    sample = labelled_once(docs, labels, "toxic", use=use, named=True)
+    scorer = chosen(sample, max_features)
+    if not scorer.learned:
+        return score_texts(docs, scorer, threshold)
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    found = stored(scorer.found_in(texts.withColumn("rid", row_id())), "found")
+    known = lookup_join(found.select("rid", "found"), sample.select("rid", "label"), ["rid"], "inner")
+    once = known.groupBy("rid").agg(F.first("label").alias("label"), F.first("found").alias("found"))  # a row may be there twice
+    scorer.weigh(once, driver_rows)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score = scorer.score_found(batch["found"].to_pylist())
+            yield _scored(batch["doc_id"], score, threshold)
+
+    return found.select("doc_id", "found").mapInArrow(measure, id_and(docs, SCHEMA))
+
+
 def without_toxic(docs: DataFrame, scorer: Scorer, threshold: float = 0.3) -> DataFrame:
     """`docs` with all its columns, without the rows whose score reaches `threshold`;
     all rows where nothing could be learned."""

@@ -293,6 +293,43 @@ def test_weights_fitted_in_spark(spark):
     assert got == want == {x[0]: x[2] for x in plain + clean}
 
 
+def test_features_are_counted_by_text():
+    """Against sets of words and beginnings of each text."""
+    texts = [{"abcd", "abce", "ab", "a", "ab\0", "ab\0c", "ab\0\0"}, set(), {"abcd", "abcdefghij", "abcdefghik", "abc…"}, {"abcd"}, {"💥💥💥x", "💥💥💥"}]
+    toxic = [True, True, False, False, True]
+    batch = toxicity.feature_counts([w for x in texts for w in x], [len(x) for x in texts], toxic)
+    got = {}
+    for row in batch.to_pylist():
+        old = got.get(row["feature"], (0, 0))
+        got[row["feature"]] = old[0] + row["clean"], old[1] + row["toxic"]
+    own = [[w for w in x if len(w) > 1] + [*{w[:n] + "…" for w in x for n in range(3, 9) if len(w) >= n}] for x in texts]
+    kinds = [(k, x) for k, found in zip(toxic, own, strict=True) for x in found]
+    assert got == {x: (kinds.count((False, x)), kinds.count((True, x))) for _, x in kinds}
+    assert toxicity.feature_counts([], [], []).num_rows == 0
+
+
+def test_features_are_found_once(spark, monkeypatch):
+    """Weights and scores come from one pass, with the scores of `fit` and `score_texts`,
+    also where ids and rows repeat, or ids, texts and labels are null."""
+    words = ["idiot", "moron", "clown", "house", "river", "garden"]
+    rows = [(i, f"some words here {words[i % 6]} and more {i % 13}") for i in range(120)]
+    rows += [(3, rows[3][1]), (3, "another text idiot"), (None, "a moron"), (7, None), (7, ""), (500, "m0ron"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = [(i, int(i % 6 < 3)) for i in range(100)] + [(3, 1), (None, 1), (110, None)]
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    want = toxicity.score_texts(docs, toxicity.fit(docs, labels, F.col("doc_id") % 7 != 2))
+    passes, found_in = [], toxicity.Scorer.found_in
+    monkeypatch.setattr(toxicity.Scorer, "found_in", lambda self, rows: passes.append(rows.count()) or found_in(self, rows))
+    got = toxicity.fitted_scores(docs, labels, F.col("doc_id") % 7 != 2)
+    order = lambda r: (str(r.doc_id), r.score)
+    want, got = (sorted(x.collect(), key=order) for x in (want, got))
+    assert [(r.doc_id, r.predicted) for r in got] == [(r.doc_id, r.predicted) for r in want] and passes == [len(rows)]
+    assert [r.score for r in got] == pytest.approx([r.score for r in want], abs=1e-9)
+    assert len({r.predicted for r in got}) == 2
+    one = toxicity.fitted_scores(docs, labels.where("toxic = 0"))  # nothing to tell apart
+    assert {(r.score, r.predicted) for r in one.collect()} == {(0.0, 0)}
+
+
 def test_toxic_words_in_disguise(spark):
     plain = [(i, f"some words here {w} and more of them", 1) for i, w in enumerate(["idiot", "moron", "clown"] * 30)]
     clean = [(100 + i, f"some words there and {w} of them, no harm", 0) for i, w in enumerate(["house", "river", "garden"] * 60)]
