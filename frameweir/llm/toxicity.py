@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+from array import array
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import count as numbers
 from operator import eq
 
 import numpy as np
@@ -50,7 +52,7 @@ LEVELS = (0.5, 0.7, 0.9)
 # Words remembered where only numbers of known features are kept of each, mostly none.
 SCORED = 120_000
 HELD = 200_000  # counts held in a task before they are handed on
-PAIRS = 1 << 20  # words of texts that are counted at a time
+PAIRS = 1 << 18  # words of texts that are counted at a time
 CACHE, LONG_RUN = 15_000, 64  # words whose features a task remembers (twice as many at most), longest run of single characters
 
 
@@ -496,21 +498,21 @@ def train_letters(sample: DataFrame) -> Letters:
     return Letters(dict(map(tuple, grams)), dict(map(tuple, plain.collect())))
 
 
-def feature_counts(words: list[str], sizes: list[int], toxic: list[bool]) -> pa.RecordBatch:
+def feature_counts(index: dict[str, int], words: array, sizes: list[int], toxic: list[bool]) -> Iterator[pa.RecordBatch]:
     """(feature, clean, toxic): in how many clean and toxic texts each word of two characters
     or more is, and each word beginning. `words` are the different words of each
-    text, one text after the other, and `sizes` their numbers. In sorted order the
-    words of one beginning stand together, also among those of one text."""
-    known = sorted(set(words))
-    rank = dict(zip(known, range(len(known)), strict=True))
-    at = np.fromiter(map(rank.__getitem__, words), np.int64, len(words))
+    text as numbers of `index`, one text after the other, and `sizes` how many they are. In
+    sorted order the words of one beginning stand together, also among those of one text."""
+    known = sorted(index)
+    rank = np.empty(len(known), np.int64)
+    rank[np.fromiter(map(index.__getitem__, known), np.int64, len(known))] = np.arange(len(known))
     text = np.repeat(np.arange(len(sizes)), sizes)
-    text, at = np.divmod(np.sort(text * len(known) + at), max(1, len(known)))
+    text, at = np.divmod(np.sort(text * len(known) + rank[np.asarray(words)]), max(1, len(known)))
     kind = np.array(toxic, bool)[text]
     length = np.fromiter(map(len, known), np.int64, len(known))
     signs = np.array(known, f"U{PREFIXES[-1]}").view(np.uint32).reshape(len(known), PREFIXES[-1])
     alike = np.logical_and.accumulate(signs[1:] == signs[:-1], axis=1).sum(axis=1)  # signs that a word begins with like the one before
-    names, found = pa.array(known, pa.string()), []
+    names = pa.array(known, pa.string())
     for n in (0, *PREFIXES):  # 0: the whole word
         new = np.ones(len(known), bool)
         if n:
@@ -527,8 +529,7 @@ def feature_counts(words: list[str], sizes: list[int], toxic: list[bool]) -> pa.
         feature = names.take(pa.array(head[there]))
         if n:
             feature = pc.binary_join_element_wise(pc.utf8_slice_codeunits(feature, 0, n), "…", "")
-        found.append(pa.RecordBatch.from_arrays([feature, pa.array(clean[there]), pa.array(bad[there])], names=["feature", "clean", "toxic"]))
-    return pa.concat_batches(found)
+        yield pa.RecordBatch.from_arrays([feature, pa.array(clean[there]), pa.array(bad[there])], names=["feature", "clean", "toxic"])
 
 
 def choose_features(sample: DataFrame, model: Letters, most: int) -> list[tuple[str, float]]:
@@ -540,17 +541,21 @@ def choose_features(sample: DataFrame, model: Letters, most: int) -> list[tuple[
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = Memory(SCORED)
-        words, sizes, toxic = [], [], []
+
+        def none() -> tuple[defaultdict, array, list, list]:
+            return defaultdict(numbers().__next__), array("q"), [], []
+
+        index, words, sizes, toxic = none()
         for batch in pieces(batches):
             for text, label in zip(texts_of(batch), batch["label"].to_pylist(), strict=True):
                 own = words_of(text, model, cache)
-                words.extend(own)
+                words.extend(map(index.__getitem__, own))
                 sizes.append(len(own))
                 toxic.append(label > 0)
             if len(words) >= PAIRS:
-                yield feature_counts(words, sizes, toxic)
-                words, sizes, toxic = [], [], []
-        yield feature_counts(words, sizes, toxic)
+                yield from feature_counts(index, words, sizes, toxic)
+                index, words, sizes, toxic = none()
+        yield from feature_counts(index, words, sizes, toxic)
 
     rows = sample.select("text", "label").mapInArrow(count, "feature string, clean long, toxic long")
     rows = rows.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))

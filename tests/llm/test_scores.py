@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -297,15 +298,17 @@ def test_features_are_counted_by_text():
     """Against sets of words and beginnings of each text."""
     texts = [{"abcd", "abce", "ab", "a", "ab\0", "ab\0c", "ab\0\0"}, set(), {"abcd", "abcdefghij", "abcdefghik", "abc…"}, {"abcd"}, {"💥💥💥x", "💥💥💥"}]
     toxic = [True, True, False, False, True]
-    batch = toxicity.feature_counts([w for x in texts for w in x], [len(x) for x in texts], toxic)
+    index = {w: i for i, w in enumerate({w for x in texts for w in x})}
+    words = array("q", [index[w] for x in texts for w in x])
+    batches = toxicity.feature_counts(index, words, [len(x) for x in texts], toxic)
     got = {}
-    for row in batch.to_pylist():
+    for row in (row for batch in batches for row in batch.to_pylist()):
         old = got.get(row["feature"], (0, 0))
         got[row["feature"]] = old[0] + row["clean"], old[1] + row["toxic"]
     own = [[w for w in x if len(w) > 1] + [*{w[:n] + "…" for w in x for n in range(3, 9) if len(w) >= n}] for x in texts]
     kinds = [(k, x) for k, found in zip(toxic, own, strict=True) for x in found]
     assert got == {x: (kinds.count((False, x)), kinds.count((True, x))) for _, x in kinds}
-    assert toxicity.feature_counts([], [], []).num_rows == 0
+    assert sum(x.num_rows for x in toxicity.feature_counts({}, array("q"), [], [])) == 0
 
 
 def test_features_are_found_once(spark, monkeypatch):
