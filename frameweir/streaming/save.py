@@ -25,7 +25,7 @@ from frameweir.operators.parse import bad_messages, good_frames, parse_messages,
 from frameweir.operators.positions import POSITION, with_positions
 from frameweir.operators.state import frame_order
 from frameweir.schema import FRAME_ORDER, HISTORY_ORDER
-from frameweir.session import file_system, stored
+from frameweir.session import checkpointed, file_system, stored
 from frameweir.sinks.images import export_images, write_images
 from frameweir.streaming.emit import emit_stream
 
@@ -188,7 +188,7 @@ def stepping(spark: SparkSession, folder: str, checkpoint: str, **options) -> Da
     # No file is ever too old to be read: this stream may be behind by any time.
     places = spark.readStream.schema(_PLACES).option("maxFileAge", "36500d").parquet(f"{folder}/places/*")
     writer = emit_stream(places).writeStream.outputMode("update").foreachBatch(step_batch(folder, **options))
-    return writer.option("checkpointLocation", f"{checkpoint}/stepping")
+    return checkpointed(writer, f"{checkpoint}/stepping")
 
 
 def both_streams(records: DataFrame, folder: str, checkpoint: str, strict: bool = False, **options) -> list[DataStreamWriter]:

@@ -10,6 +10,7 @@ from frameweir.operators.parse import frames, rejects
 from frameweir.session import new_folder
 from frameweir.streaming import emit, run, save
 from frameweir.streaming.emit import emit_stream
+from frameweir.streaming.replay import replay
 from frameweir.sources.topics import read_topic_table
 from tests.helpers import expected_steps, message, records
 from tests.test_images import read_png
@@ -88,6 +89,46 @@ def test_stateful_rows(spark, topic):
     assert all(0 <= row.task_partition < parts for row in got)
 
 
+def test_checkpoint_files_of_a_local_folder(spark, topic, tmp_path):
+    """By the file system in a `file:` folder, by Spark's own choice elsewhere; a class
+    that the session names stays."""
+    name = "spark.sql.streaming.checkpointFileManagerClass"
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.frameweir.link./in", f"file://{tmp_path}")
+
+    def chosen(checkpoint):
+        run.store_steps(topic.stream(), new_folder(spark, "out"), checkpoint, strict=False)
+        return spark.conf.get(name, None)
+
+    spark.conf.unset(name)
+    try:
+        assert chosen("viewfs://frameweir/in/c") is None
+        assert chosen(f"file://{tmp_path}/c").endswith("FileSystemBasedCheckpointFileManager")
+        assert chosen("viewfs://frameweir/in/c") is None
+        spark.conf.set(name, "own.Manager")
+        assert chosen(f"file://{tmp_path}/c") == chosen("viewfs://frameweir/in/c") == "own.Manager"
+    finally:
+        spark.conf.unset(name)
+
+
+def test_replayed_batch_is_read_by_several_tasks(spark):
+    """Also one that is smaller than a partition asks for; all its rows arrive once."""
+    key, found = "spark.sql.adaptive.coalescePartitions.enabled", []  # as where the table fills many partitions
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    texts = [(batch, 1000 * batch + k, message("a")) for batch in range(3) for k in range(40)]
+
+    def start(stream, checkpoint):
+        look = lambda batch, _: found.append((batch.select(F.input_file_name()).distinct().count(), batch.select("offset").collect()))
+        return stream.writeStream.foreachBatch(look).option("checkpointLocation", checkpoint)
+
+    try:
+        replay(records(spark, texts), start)
+    finally:
+        spark.conf.set(key, before)
+    assert [sorted(r.offset for r in rows) for _, rows in found] == [[1000 * batch + k for k in range(40)] for batch in range(3)]
+    assert all(files > 1 for files, _ in found)
+
+
 @pytest.mark.parametrize("start", [run.store_emitted, run.store_steps])
 def test_strict_streams_fail_on_a_bad_message(spark, topic, start):
     topic.land(1)
