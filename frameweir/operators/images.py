@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,6 +107,7 @@ def resize_tiles(
     part of the frame that lies under it and a border of two pixels, cut out before
     Python sees it; so a task holds a tile and what lies under it, however large the
     frame. Pixels equal those of `resize_frames`. Frames without pixels give no tiles.
+    The tiles of a frame follow each other in the task that has the frame.
     """
     count = channels(F.col("type")).cast("bigint")
     grid = [F.sequence(F.lit(0), F.lit((n - 1) // side * side), F.lit(side)) for n in (height, width)]
@@ -150,13 +151,50 @@ def resize_tiles(
     return tiles.mapInArrow(run, schema)
 
 
-def assemble_frames(tiles: DataFrame, keys: list[str], height: int = 480, width: int = 640) -> DataFrame:
+def assemble_frames(tiles: DataFrame, keys: list[str], height: int = 480, width: int = 640, in_turn: bool = False) -> DataFrame:
     """Frames (`keys`, `rows`, `cols`, `type`, `bytes`) out of their tiles. The keys tell
     frames apart; a frame with a tile missing fails the job. One shuffle, of the tiles;
-    a task holds the tiles of the frame that it puts together, and that frame."""
+    a task holds the tiles of the frame that it puts together, and that frame.
+
+    With `in_turn` the tiles of a frame follow each other in one task, as `resize_tiles`
+    leaves them, and are put together where they are: no pixel is shuffled or written.
+    A task holds a frame and some tiles. Tiles that don't follow each other fail the job
+    as missing ones do. Frames of the same keys each come out then (see `each_once`).
+    """
+    schema = T.StructType([*[tiles.schema[k] for k in keys], T.StructField("rows", T.IntegerType()), T.StructField("cols", T.IntegerType()), tiles.schema["type"], T.StructField("bytes", T.BinaryType())])
+
+    def frame_row(row: pa.RecordBatch, frame: np.ndarray) -> pa.RecordBatch:
+        sides = [pa.array([n], pa.int32()) for n in (height, width)]
+        columns = [*[row.column(k) for k in keys], *sides, row.column("type"), pa.array([frame.tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    def lacking(filled: int) -> ValueError:
+        return ValueError(f"tiles of a frame cover {filled} of {height * width} pixels")
+
+    def run_in_turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, own, places, filled = [*keys, "type"], None, set(), 0  # of the frame at work
+        for batch in batches:
+            columns = [batch.column(n) for n in ("top", "left", "tall", "wide")]
+            for at in range(batch.num_rows):
+                key = batch.select(names).slice(at, 1)
+                y, x, tall, wide = (c[at].as_py() for c in columns)
+                if not places:
+                    own, frame = key, np.empty((height, width, (key.column("type")[0].as_py() >> 3) + 1), np.uint8)
+                elif not key.equals(own) or (y, x) in places:
+                    raise lacking(filled)
+                frame[y : y + tall, x : x + wide] = np.frombuffer(batch.column("bytes")[at].as_buffer(), np.uint8).reshape(tall, wide, -1)
+                places.add((y, x))
+                filled += tall * wide
+                if filled == height * width:
+                    yield frame_row(own, frame)
+                    places, filled = set(), 0
+        if places:
+            raise lacking(filled)
+
+    if in_turn:
+        return tiles.select(*keys, "type", "top", "left", "tall", "wide", "bytes").mapInArrow(run_in_turn, schema)
     tile = F.struct("top", "left", "tall", "wide", "bytes")
     whole = tiles.groupBy(*keys, "type").agg(F.collect_list(tile).alias("tiles"))  # each knows its place
-    schema = T.StructType([*[tiles.schema[k] for k in keys], T.StructField("rows", T.IntegerType()), T.StructField("cols", T.IntegerType()), tiles.schema["type"], T.StructField("bytes", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,14 +207,19 @@ def assemble_frames(tiles: DataFrame, keys: list[str], height: int = 480, width:
                     frame[y : y + tall, x : x + wide] = np.frombuffer(t["bytes"].as_buffer(), np.uint8).reshape(tall, wide, -1)
                     filled += tall * wide
                 if filled != height * width:
-                    raise ValueError(f"tiles of a frame cover {filled} of {height * width} pixels")
-                sides = [pa.array([n], pa.int32()) for n in (height, width)]
-                columns = [*[row.column(k) for k in keys], *sides, row.column("type"), pa.array([frame.tobytes()], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+                    raise lacking(filled)
+                yield frame_row(row, frame)
 
     return whole.mapInArrow(run, schema)
 
 
+def each_once(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows; the job fails where several have the same keys (null is one, too). They
+    are shuffled, so they should be narrow."""
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    return rows.withColumn("_number", number).where(F.when(F.col("_number") == 1, True).otherwise(F.raise_error(F.lit(f"rows with the same {', '.join(keys)}")).cast("boolean"))).drop("_number")
+
+
 def add_png(frames: DataFrame) -> DataFrame:
     """Replace the payload `bytes` by the image file `png`; null where the
     format has no such image."""

@@ -15,11 +15,13 @@ from frameweir.operators.images import (
     add_png,
     assemble_frames,
     decode_frames,
+    each_once,
     frame_pixels,
     resize_frames,
     resize_tiles,
 )
 from frameweir.plans.collector import collect_frames
+from frameweir.plans.queries import QUERIES
 from frameweir.session import new_folder
 from frameweir.sinks.images import export_images, write_images
 from tests.helpers import frame_rows
@@ -229,6 +231,45 @@ def test_tiles_give_the_same_pixels(spark, target):
         assert (row.rows, row.cols, row.type, row.bytes) == (*target, whole[id].type, whole[id].bytes)
 
 
+def test_tiles_that_follow_each_other_stay_where_they_are(spark):
+    """Frames put together without a shuffle, also over several batches of tiles; equal
+    keys are of frames of their own, and tiles out of turn fail the job."""
+    sizes = [(2, 3, 3), (33, 20, 4), (64, 64, 3), (5, 200, 1), (33, 20, 4), (33, 20, 4)]
+    given = table(spark, [frame(i, *size) for i, size in enumerate(sizes)])
+    frames = given.withColumn("id", F.when(F.col("id") < 4, F.nullif("id", F.lit(2))).otherwise(9)).coalesce(1)
+    tiles = resize_tiles(frames, ["id"], 40, 33, side=16)
+    put = assemble_frames(tiles, ["id"], 40, 33, in_turn=True)
+    assert "Exchange" not in put._jdf.queryExecution().executedPlan().toString()
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "5")
+    try:
+        got = [tuple(r) for r in put.collect()]
+    finally:
+        spark.conf.set(key, before)
+    assert got == [tuple(r) for r in resize_frames(frames, 40, 33).collect()]
+    with pytest.raises(Exception, match="cover [0-9]+ of 1320 pixels"):
+        assemble_frames(tiles.where("top + left > 0"), ["id"], 40, 33, in_turn=True).collect()
+    with pytest.raises(Exception, match="cover [0-9]+ of 1320 pixels"):
+        assemble_frames(tiles.orderBy("top", "left"), ["id"], 40, 33, in_turn=True).collect()
+    assert assemble_frames(tiles.where("false"), ["id"], 40, 33, in_turn=True).count() == 0
+
+
+def test_tiled_query_moves_no_pixels(spark, folder):
+    """What is shuffled are the sums of each frame."""
+    plan = QUERIES["resize_tiled"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.split("\n") if "Exchange" in line]
+    assert len(shuffles) == 1 and plan.index("Exchange") < plan.index("MapInArrow")
+
+
+def test_rows_with_the_same_keys_fail(spark):
+    rows = spark.createDataFrame([(1, 0, 5), (1, 8, 5), (None, 0, 5)], "id int, type int, total int")
+    assert sorted(map(str, each_once(rows, ["id", "type"]).collect())) == sorted(map(str, rows.collect()))
+    for again in ((1, 8, 6), (None, 0, 5)):
+        with pytest.raises(Exception, match="rows with the same id, type"):
+            each_once(rows.unionAll(spark.createDataFrame([again], rows.schema)), ["id", "type"]).collect()
+
+
 def test_tiles_of_empty_frames_and_missing_tiles(spark):
     none = spark.createDataFrame([(1, 0, 0, 0, bytearray()), (2, 1, 1, 0, None)], SCHEMA)
     assert resize_tiles(none, ["id"], 8, 8).count() == 0
